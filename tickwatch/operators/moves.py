@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.functions import durations
+from tickwatch.functions.barrier import computed_once
 from tickwatch.functions.grading import change_percent, grade
 from tickwatch.functions.numbers import as_float, as_int, is_given, round_half_even
 from tickwatch.operators.ticks import decode
@@ -40,13 +41,15 @@ def priced_ticks(
         event_ms = F.when(sent.isNull(), F.unix_millis(record_time)).otherwise(event_ms)
         kept.append(record_time)
     ticks = decode(df.select(*kept, value), fields, value)
-    prices = ticks.select(
-        F.col("tick.code").alias("market_code"),
-        event_ms.alias("event_ms"),
-        as_float(F.col("tick.trade_price")).alias("price"),
-        F.col(arrival).cast("decimal(20,0)").alias("arrival"),
-        *([as_float(F.col("tick.trade_volume")).alias("volume"), is_given(sent).alias("timed")] if valid_only else []),
-    ).where(
+    columns = {
+        "market_code": F.col("tick.code"),
+        "event_ms": event_ms,
+        "price": as_float(F.col("tick.trade_price")),
+        "arrival": F.col(arrival).cast("decimal(20,0)"),
+    }
+    if valid_only:
+        columns |= {"volume": as_float(F.col("tick.trade_volume")), "timed": is_given(sent)}
+    prices = computed_once(ticks, [], columns).where(
         F.col("market_code").isNotNull()
         & F.col("price").isNotNull()
         & F.col("event_ms").between(_FIRST_MS, _LAST_MS)

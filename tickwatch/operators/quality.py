@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwatch.functions.barrier import computed_once
 from tickwatch.functions.numbers import as_decimal, as_flag, as_float, as_int, is_given
 from tickwatch.operators.ticks import decode
 from tickwatch.schemas import STORAGE, StorageColumn
@@ -63,15 +64,14 @@ def _stored_value(column: StorageColumn) -> Column:
 
 def _storage_problem(column: StorageColumn) -> Column:
     """Why this column cannot be stored, null if it can."""
-    problem = F.when(F.lit(False), "")
-    if not column.nullable:
-        problem = F.when(~_given(column.field), f"{column.column}: missing")
-    if column.is_text:
-        too_long = F.length(f"tick.{column.field}") > column.max_length
-        return problem.when(too_long, f"{column.column}: longer than {column.max_length}")
-    if column.type == "json":
-        return problem
-    return problem.when(_stored_value(column).isNull(), f"{column.column}: not {column.type}")
+    saved = F.col(f"saved.{column.column}")
+    if column.nullable:
+        return F.lit(None).cast("string")
+    unfit = F.lit(f"{column.column}: not {column.type}")
+    absent = F.when(saved.isNull(), F.when(_given(column.field), unfit).otherwise(f"{column.column}: missing"))
+    if not column.is_text:
+        return absent
+    return absent.when(F.length(saved) > column.max_length, f"{column.column}: longer than {column.max_length}")
 
 
 def validate(df: DataFrame, value: str = "value") -> DataFrame:
@@ -79,12 +79,14 @@ def validate(df: DataFrame, value: str = "value") -> DataFrame:
 
     The payload is kept as ``raw_data``.
     """
+    rest = [name for name in df.columns if name != value]
     decoded = decode(df.withColumn("raw_data", F.col(value)), _KINDS, value)
-    return decoded.withColumn("error_log", F.nullif(_reasons(), F.lit("")))
+    checked = {"tick": F.col("tick"), "error_log": F.nullif(_reasons(), F.lit(""))}
+    return computed_once(decoded, [*rest, "raw_data"], checked)
 
 
 def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
-    """One row per tick with its ``outcome`` and what that outcome needs.
+    """One row per tick with what decides its outcome.
 
     A tick that breaks a rule is a dead letter; one of an unknown market is skipped;
     one that does not fit the storage columns is unstorable; the rest is stored.
@@ -96,45 +98,56 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     checked = validate(df, value)
     lookup = F.when(F.col("error_log").isNull(), F.col("tick.code"))
     joined = checked.withColumn("_code", lookup).join(known, F.col("_code") == F.col("_known"), "left")
-    problems = F.concat_ws(SEPARATOR, *[_storage_problem(column) for column in STORAGE])
+    rest = [name for name in checked.columns if name != "tick"]
     may_store = F.col("error_log").isNull() & F.col("_known").isNotNull()
-    outcome = (
+    saved = F.struct(*[_stored_value(column).alias(column.column) for column in STORAGE])
+    prepared = computed_once(
+        joined, [*rest, "tick"], {"is_known": F.col("_known").isNotNull(), "saved": F.when(may_store, saved)}
+    )
+    # An array keeps the generated method small enough to be compiled.
+    problems = F.array_join(F.array_compact(F.array(*[_storage_problem(column) for column in STORAGE])), SEPARATOR)
+    return prepared.select(
+        *rest,
+        F.col("tick.code").alias("code"),
+        "is_known",
+        "saved",
+        F.when(F.col("saved").isNotNull(), F.nullif(problems, F.lit(""))).alias("save_error"),
+    )
+
+
+def outcome() -> Column:
+    """Name of the output a routed tick goes to."""
+    return (
         F.when(F.col("error_log").isNotNull(), DEAD)
-        .when(F.col("_known").isNull(), SKIPPED)
+        .when(~F.col("is_known"), SKIPPED)
         .when(F.col("save_error").isNotNull(), UNSTORABLE)
         .otherwise(STORED)
     )
-    return joined.withColumn("save_error", F.when(may_store, F.nullif(problems, F.lit("")))).withColumn(
-        "outcome", outcome
-    ).drop("_code", "_known")
 
 
 def stored(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks in storage columns, with their load time."""
-    return routed.where(F.col("outcome") == STORED).select(
-        *keep,
-        *[_stored_value(column).alias(column.column) for column in STORAGE],
-        F.current_timestamp().alias("created_at"),
-    )
+    fits = F.col("saved").isNotNull() & F.col("save_error").isNull()
+    return routed.where(fits).select(*keep, "saved.*", F.current_timestamp().alias("created_at"))
 
 
 def dead_letters(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Whole payload and all reasons of the ticks that break a rule."""
-    return routed.where(F.col("outcome") == DEAD).select(
+    return routed.where(F.col("error_log").isNotNull()).select(
         *keep, "raw_data", "error_log", F.current_timestamp().alias("created_at")
     )
 
 
 def skipped(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks of a market that the market table does not have."""
-    return routed.where(F.col("outcome") == SKIPPED).select(
-        *keep, F.col("tick.code").alias("market_code"), "raw_data"
+    return routed.where(F.col("error_log").isNull() & ~F.col("is_known")).select(
+        *keep, F.col("code").alias("market_code"), "raw_data"
     )
 
 
 def unstorable(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks that pass the rules but do not fit the storage columns, and why."""
-    return routed.where(F.col("outcome") == UNSTORABLE).select(*keep, "raw_data", "save_error")
+    return routed.where(F.col("save_error").isNotNull()).select(*keep, "raw_data", "save_error")
 
 
 OUTPUTS = {STORED: stored, DEAD: dead_letters, SKIPPED: skipped, UNSTORABLE: unstorable}

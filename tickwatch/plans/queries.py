@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickwatch.operators import markets, metrics, moves, quality, serving
 from tickwatch.operators.ticks import metric_events, publish_envelope, rename_long
 from tickwatch.plans import views
+from tickwatch.settings import as_table
 from tickwatch.streaming import clocks
 from tickwatch.streaming.runner import drop_late_at_once, run_available
 
@@ -152,7 +153,7 @@ def unstorable_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _routed(spark, sf_dir).groupBy("outcome").agg(F.count("*").alias("ticks"))
+    return _routed(spark, sf_dir).groupBy(quality.outcome().alias("outcome")).agg(F.count("*").alias("ticks"))
 
 
 def dead_letter_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +213,7 @@ def market_metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def experiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = serving.experiment_summary(_health(spark, sf_dir, "1 second"))
+    summary = serving.experiment_summary(as_table(_health(spark, sf_dir, "1 second"), "health"))
     means = ("mean_throughput", "mean_latency_ms", "p95_latency_ms", "error_rate_percentage")
     return summary.withColumns({name: F.round(name, 6) for name in means})
 

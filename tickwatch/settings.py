@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sized so that a task's share fits in executor memory; AQE merges small
 # shuffle partitions and splits skewed ones at run time.
@@ -48,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for one run under the shared folder."""
     return f"{shared_dir(spark)}/tickwatch/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def as_table(df: DataFrame, label: str) -> DataFrame:
+    """Write rows that several reads need as a table in the shared folder, and read it back."""
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
