@@ -1,0 +1,101 @@
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import at
+
+from tickwatch.operators.metrics import health_metrics, market_metrics
+
+EVENTS = "ingest_ms BIGINT, is_error BOOLEAN, market STRING, latency_ms DOUBLE, trade_amount_krw DOUBLE"
+
+
+def events(spark, rows):
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame(rows, EVENTS).withColumn("ingest_time", F.timestamp_millis("ingest_ms"))
+
+
+def made_up(count, seed=3):
+    source = random.Random(seed)
+    rows = []
+    for _ in range(count):
+        bad = source.random() < 0.2
+        # One market holds a third of the rows.
+        market = "HOT" if source.random() < 0.33 else source.choice(["A", "B", "C", None])
+        rows.append(
+            (
+                source.randrange(0, 10000),
+                bad or market is None,
+                market,
+                0.0 if bad or market is None else float(source.randrange(0, 5000)),
+                0.0 if bad or market is None else float(source.randrange(0, 100000)),
+            )
+        )
+    return rows
+
+
+def expected(rows, key):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[key(row)].append(row)
+    out = {}
+    for k, group in groups.items():
+        good = [r for r in group if not r[1]]
+        latency = [r[3] for r in good]
+        errors = len(group) - len(good)
+        out[k] = (
+            len(group),
+            errors,
+            errors / len(group) * 100,
+            sum(latency) / len(latency) if latency else 0.0,
+            max(latency) if latency else 0.0,
+            len({r[2] for r in good if r[2] is not None}),
+            float(sum(r[4] for r in good)),
+        )
+    return out
+
+
+def test_health_against_brute_force(spark):
+    rows = made_up(5000)
+    got = {
+        r.checked_at: (r[2], r[3], r[4], r[5], r[6], r[7], r[8])
+        for r in health_metrics(events(spark, rows)).collect()
+    }
+    assert got == {at((k + 1) * 1000): v for k, v in expected(rows, lambda r: r[0] // 1000).items()}
+
+
+def test_market_health_against_brute_force(spark):
+    rows = made_up(5000)
+    got = {(r.checked_at, r.market): tuple(r)[3:] for r in market_metrics(events(spark, rows)).collect()}
+    wanted = expected(rows, lambda r: (r[0] // 1000, r[2]))
+    assert got == {(at((k[0] + 1) * 1000), k[1]): v[:5] + v[6:] for k, v in wanted.items()}
+
+
+def test_bucket_of_errors_only(spark):
+    row = health_metrics(events(spark, [(1, True, "A", 0.0, 0.0), (2, True, None, 0.0, 0.0)])).first()
+    assert tuple(row) == (at(1000), "1s", 2, 2, 100.0, 0.0, 0.0, 0, 0.0)
+
+
+def test_empty_market_name_is_a_market(spark):
+    row = health_metrics(events(spark, [(1, False, "", 1.0, 1.0), (2, False, "A", 1.0, 1.0)])).first()
+    assert row.unique_market_count == 2
+
+
+def test_nothing_in_nothing_out(spark):
+    assert health_metrics(events(spark, [])).count() == 0
+    assert market_metrics(events(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(("bucket", "label"), [("1 second", "1s"), ("5 minutes", "5m"), ("1 hour", "1h")])
+def test_label(spark, bucket, label):
+    assert health_metrics(events(spark, [(1, False, "A", 1.0, 1.0)]), bucket).first().time_unit == label
+
+
+def test_types(spark):
+    empty = events(spark, [])
+    assert [f.dataType.simpleString() for f in health_metrics(empty).schema] == [
+        "timestamp", "string", "bigint", "int", "double", "double", "double", "int", "double",
+    ]
+    assert [f.dataType.simpleString() for f in market_metrics(empty).schema] == [
+        "timestamp", "string", "string", "bigint", "int", "double", "double", "double", "double",
+    ]

@@ -1,0 +1,168 @@
+import json
+import math
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import at
+from pyspark.sql import functions as F
+
+from tickwatch.operators.moves import known_market_moves, move_status_counts, price_moves
+
+MINUTE = 60000
+BASE = 1718942400000  # a whole number of minutes
+
+
+def tick(code, ms, price, **more):
+    return json.dumps({"code": code, "trade_price": price, "timestamp": ms, **more})
+
+
+def moves(texts, rows, **options):
+    ticks = texts([(seq, 0, text) for seq, text in rows])
+    return sorted(tuple(r) for r in price_moves(ticks, **options).collect())
+
+
+def brute_force(ticks, size, slide):
+    """Follow every tick in arrival order through every window it is in."""
+    spans = defaultdict(dict)
+    for code, ms, price in ticks:
+        start = ms // slide * slide
+        while start > ms - size:
+            span = spans[(start, code)]
+            if "first" not in span or ms < span["first"][0]:
+                span["first"] = (ms, price)
+            if "last" not in span or ms > span["last"][0]:
+                span["last"] = (ms, price)
+            start -= slide
+    out = []
+    for (start, code), span in spans.items():
+        begin, end = span["first"][1], span["last"][1]
+        if begin == 0:
+            continue
+        rate = (end - begin) / begin * 100
+        size_of = abs(rate)
+        status = "danger" if size_of >= 3 else "warning" if size_of >= 1 else "caution" if size_of >= 0.5 else "normal"
+        out.append((at(start), at(start + size), begin, end, round(rate, 2), status, code))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("size", "slide"), [(5, 1), (6, 4), (2, 2)])
+def test_against_brute_force(texts, size, slide):
+    source = random.Random(11)
+    ticks = []
+    for _ in range(3000):
+        code = "HOT" if source.random() < 0.33 else source.choice("ABC")
+        # Few distinct times, so that ties are common at both ends.
+        ms = BASE + source.randrange(0, 20) * 15000
+        ticks.append((code, ms, round(source.uniform(99, 101), 2)))
+    got = moves(
+        texts,
+        [(i, tick(*t)) for i, t in enumerate(ticks)],
+        size=f"{size} minutes",
+        slide=f"{slide} minutes",
+    )
+    assert got == brute_force(ticks, size * MINUTE, slide * MINUTE)
+
+
+def test_first_arrival_wins_a_tie_at_both_ends(texts):
+    rows = [(1, tick("A", BASE, 100.0)), (2, tick("A", BASE, 200.0)), (3, tick("A", BASE + 5, 300.0)), (4, tick("A", BASE + 5, 400.0))]
+    assert {r[2:4] for r in moves(texts, rows)} == {(100.0, 300.0)}
+    # Order of arrival is the arrival number, not the order of the rows.
+    assert {r[2:4] for r in moves(texts, rows[::-1])} == {(100.0, 300.0)}
+
+
+def test_any_arrival_number(texts):
+    big = 2**63 - 1
+    rows = [(-big, tick("A", BASE, 1.0)), (big, tick("A", BASE, 2.0)), (big, tick("A", BASE + 1, 3.0)), (-big, tick("A", BASE + 1, 4.0))]
+    assert {r[2:4] for r in moves(texts, rows)} == {(1.0, 4.0)}
+
+
+def test_one_tick_fills_five_windows(texts):
+    got = moves(texts, [(1, tick("A", BASE + 30000, 100.0))])
+    assert [r[0] for r in got] == [at(BASE - k * MINUTE) for k in (4, 3, 2, 1, 0)]
+    assert {r[2:6] for r in got} == {(100.0, 100.0, 0.0, "normal")}
+
+
+def test_start_at_zero_is_left_out_and_negative_is_not(texts):
+    rows = [(1, tick("Z", BASE, 0)), (2, tick("Z", BASE + 1, 5)), (3, tick("N", BASE, -100)), (4, tick("N", BASE + 1, -97))]
+    got = moves(texts, rows)
+    assert {r[6] for r in got} == {"N"}
+    assert {r[4:6] for r in got} == {(-3.0, "danger")}
+
+
+def test_grade_comes_from_the_unrounded_change(texts):
+    rows = [(1, tick("A", BASE, 1000)), (2, tick("A", BASE + 1, 1004.99))]
+    assert {r[4:6] for r in moves(texts, rows)} == {(0.5, "normal")}
+
+
+def test_no_number_is_normal(texts):
+    rows = [(1, '{"code":"A","trade_price":NaN,"timestamp":%d}' % BASE)]
+    assert {r[5] for r in moves(texts, rows)} == {"normal"}
+    assert all(math.isnan(r[4]) for r in moves(texts, rows))
+
+
+def test_ticks_that_cannot_take_part(texts):
+    rows = [
+        (1, "{broken"),
+        (2, '{"market":"A","trade_price":1,"timestamp":%d}' % BASE),
+        (3, '{"code":"A","timestamp":%d}' % BASE),
+        (4, '{"code":"A","trade_price":"abc","timestamp":%d}' % BASE),
+        (5, '{"code":"A","trade_price":1}'),
+        (6, '{"code":"A","trade_price":1,"timestamp":null}'),
+        (7, '{"code":"A","trade_price":1,"timestamp":9223372036854775807}'),
+    ]
+    assert moves(texts, rows) == []
+
+
+def test_record_time_stands_in_for_an_absent_time(texts):
+    ticks = texts([(1, BASE, '{"code":"A","trade_price":1}'), (2, BASE, '{"code":"B","trade_price":1,"timestamp":null}')])
+    got = price_moves(ticks, record_time="ingest_time").collect()
+    assert {(r.market_code, r.window_end) for r in got} == {("A", at(BASE + k * MINUTE)) for k in range(1, 6)}
+
+
+def test_valid_only(texts):
+    rows = [
+        (1, tick("A", BASE, -5, trade_volume=1)),
+        (2, tick("A", BASE + 1, 100, trade_volume=1)),
+        (3, tick("A", BASE + 2, 200)),
+        (4, tick("A", BASE + 3, 102, trade_volume=0)),
+        (5, tick("A", BASE + 4, 300, trade_volume=-1)),
+    ]
+    assert {r[2:4] for r in moves(texts, rows, valid_only=True)} == {(100.0, 102.0)}
+    assert {r[2:4] for r in moves(texts, rows)} == {(-5.0, 300.0)}
+
+
+def test_slide_longer_than_size(texts):
+    with pytest.raises(ValueError):
+        moves(texts, [(1, tick("A", BASE, 1))], size="1 minute", slide="5 minutes")
+
+
+def test_before_the_epoch(texts):
+    ticks = [("A", -90000, 10.0), ("A", -30000, 11.0)]
+    got = moves(texts, [(i, tick(*t)) for i, t in enumerate(ticks)])
+    assert got == brute_force(ticks, 5 * MINUTE, MINUTE)
+
+
+def test_counts_and_known_markets(spark, texts):
+    ticks = texts([(1, 0, tick("A", BASE, 1)), (2, 0, tick("B", BASE, 1))])
+    found = price_moves(ticks)
+    assert [tuple(r) for r in move_status_counts(found).collect()] == [("normal", 10)]
+    # A market listed twice must not double its moves.
+    markets = spark.createDataFrame([("A",), ("A",), ("C",)], "market STRING")
+    known = known_market_moves(found, markets)
+    assert known.columns == found.columns
+    assert [r.market_code for r in known.collect()] == ["A"] * 5
+
+
+def test_batch_keeps_columns_and_types(texts):
+    schema = price_moves(texts([])).schema
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("window_start", "timestamp"),
+        ("window_end", "timestamp"),
+        ("start_price", "double"),
+        ("end_price", "double"),
+        ("change_rate", "double"),
+        ("status", "string"),
+        ("market_code", "string"),
+    ]
+    assert price_moves(texts([])).agg(F.count("*")).first()[0] == 0

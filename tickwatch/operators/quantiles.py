@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,31 +17,41 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10000)
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     margin = 2.0 / accuracy
-    ends = [max(q - margin, 0.0), min(q + margin, 1.0)]
-    sketch = values.agg(F.percentile_approx("v", ends, accuracy).alias("ends"))
+    bracket = [max(q - margin, 0.0), min(q + margin, 1.0)]
+    sketch = values.agg(F.percentile_approx("v", bracket, accuracy).alias("ends"))
     low, high = (sketch.select(F.col("ends")[i]).scalar() for i in (0, 1))
     side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
     folded = (
         values.select(side.alias("side"), "v")
-        .groupBy("side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
-        .agg(F.count("*").alias("n"))
+        .groupBy("side", F.when(F.col("side") == 0, F.col("v")).alias("inside"))
+        .agg(F.count("*").alias("n"), F.min("v").alias("lowest"), F.max("v").alias("highest"))
     )
-    in_order = Window.orderBy("side", "v")
+    in_order = Window.orderBy("side", "inside")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = folded.select(
-        "v",
+        "side",
+        "n",
+        "lowest",
+        "highest",
         F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        (F.lit(q) * (F.sum("n").over(in_order.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - 1)).alias("place"),
+        (F.lit(q) * (F.sum("n").over(whole) - 1)).alias("place"),
     )
-    at_least = [F.floor("place"), F.ceil("place")]
-    found = ranked.agg(
-        *[
-            F.min_by(F.struct("v"), F.when(F.col("upto") > rank, F.col("upto"))).alias(name)
-            for name, rank in zip(("below", "above"), at_least)
-        ],
+
+    def value_at(rank: Column) -> Column:
+        # Of the rows outside, the neighbours of the bracket are known as well.
+        outside = F.when((F.col("side") > 0) & (rank == F.col("upto") - F.col("n")), F.col("lowest")).when(
+            (F.col("side") < 0) & (rank == F.col("upto") - 1), F.col("highest")
+        )
+        found = F.when(F.col("side") == 0, F.col("lowest")).otherwise(outside)
+        return F.min_by(found, F.when(F.col("upto") > rank, F.col("upto")))
+
+    ends = ranked.agg(
+        value_at(F.floor("place")).alias("below"),
+        value_at(F.ceil("place")).alias("above"),
         F.max(F.col("place") - F.floor("place")).alias("part"),
     )
-    missed = F.col("below").isNotNull() & (F.col("below.v").isNull() | F.col("above.v").isNull())
-    between = F.col("below.v") + (F.col("above.v") - F.col("below.v")) * F.col("part")
-    return found.select(
+    missed = F.col("part").isNotNull() & (F.col("below").isNull() | F.col("above").isNull())
+    between = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
+    return ends.select(
         F.when(missed, F.raise_error(F.lit("the sketch missed the rank"))).otherwise(between).alias("quantile")
     )

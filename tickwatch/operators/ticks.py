@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwatch.functions.barrier import computed_once
 from tickwatch.functions.numbers import as_float, as_int, first_text
 from tickwatch.schemas import BACKFILL, SHORT_TO_LONG, STORAGE
 
@@ -22,7 +23,7 @@ def decode(df: DataFrame, fields: Iterable[str], value: str = "value", into: str
     named fields are built. The text is read as a member of an outer object,
     because a parser that stops after the first object would accept what follows it.
     """
-    members = ", ".join(f"{name}: {_DECODED_AS[name]}" for name in fields)
+    members = ", ".join(f"{name}: {_DECODED_AS.get(name, 'string')}" for name in fields)
     outer = F.from_json(
         F.concat(F.lit('{"tick":'), F.col(value), F.lit("}")),
         f"tick STRUCT<{members}>",
@@ -84,15 +85,10 @@ def publish_envelope(
     ``cd`` every long-named tick shares the key ``unknown`` and so one partition
     of the topic; ``("code", "cd")`` spreads them by market.
     """
-    members = ", ".join(f"{name}: string" for name in key_fields)
-    outer = F.from_json(
-        F.concat(F.lit('{"tick":'), F.col(value), F.lit("}")),
-        f"tick STRUCT<{members}>",
-        {"allowSingleQuotes": "false"},
-    )
-    found = df.withColumn("_tick", outer["tick"]).where(F.col("_tick").isNotNull())
-    keys = [F.col("_tick")[name] for name in key_fields]
-    columns = [F.coalesce(*keys, F.lit("unknown")).alias("key"), F.col(value).alias("value")]
+    decoded = decode(df.select(value, F.col(value).alias("_text")), key_fields, value)
+    found = computed_once(decoded, ["_text"], {"tick": F.col("tick")}).where(F.col("tick").isNotNull())
+    keys = [F.col(f"tick.{name}") for name in key_fields]
+    columns = [F.coalesce(*keys, F.lit("unknown")).alias("key"), F.col("_text").alias("value")]
     if topic is not None:
         columns.append(F.lit(topic).alias("topic"))
     return found.select(*columns)

@@ -36,19 +36,25 @@ def read_market_feed(spark: SparkSession, path: str) -> DataFrame:
     """Landed feed replies, each file one JSON array, as entries in array order (``seq``).
 
     Files are ordered by time of change and name. Each reply is one file because the
-    order of its entries decides which of two for the same market is the last.
+    order of its entries decides which of two for the same market is the last. A
+    reply that is no list of named markets fails the read: taken as empty, it would
+    delist every market.
     """
     replies = (
-        spark.read.option("wholetext", "true")
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select("value", "_metadata.file_modification_time", "_metadata.file_path")
     )
-    items = F.from_json("value", f"ARRAY<{FEED_ITEM_SCHEMA}>", {"allowSingleQuotes": "false"})
+    options = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+    items = F.from_json("value", f"ARRAY<{FEED_ITEM_SCHEMA}>", options)
     entries = replies.select(
         "file_modification_time", "file_path", F.posexplode(items).alias("position", "item")
     )
+    needed = [
+        F.coalesce(F.col(f"item.{name}"), F.raise_error(F.lit(f"feed entry without {name}"))).alias(name)
+        for name in ("market", "korean_name", "english_name")
+    ]
     return entries.select(
-        F.struct("file_modification_time", "file_path", "position").alias("seq"), "item.*"
+        F.struct("file_modification_time", "file_path", "position").alias("seq"), *needed, "item.market_event"
     )
 
 
