@@ -95,6 +95,9 @@ def test_reasons(routed, text, log):
         (changed(trade_volume="DROP"), "trade_volume: missing"),
         (changed(trade_price="abc"), "trade_price: not decimal(20,4)"),
         (changed(change_rate=12345.5), "change_rate: not decimal(10,6)"),
+        (changed(high_price="1,234.5"), "high_price: not decimal(20,4)"),
+        (changed(trade_price="1,234.5"), "trade_price: not decimal(20,4)"),
+        (changed(low_price="1.5d", acc_bid_volume=True), "low_price: not decimal(20,4)"),
         (changed(trade_timestamp="12.7"), "trade_timestamp: not bigint"),
         (changed(is_trading_suspended="maybe"), "is_trading_suspended: not boolean"),
         (changed(ask_bid="ASKS"), "ask_bid: longer than 3"),
@@ -107,6 +110,21 @@ def test_storage_problems(routed, text, problem):
     assert quality.stored(routed(text)).count() == 0
 
 
+def test_numeric_text_is_stored(routed):
+    row = quality.stored(routed(changed(high_price="2.5", low_price="1e-1", trade_price=" 3 ", timestamp="7", trade_timestamp=8.9))).first()
+    assert (float(row.high_price), float(row.low_price), float(row.trade_price)) == (2.5, 0.1, 3.0)
+    assert (row.timestamp, row.trade_timestamp) == (7, 8)
+
+
+def test_one_odd_value_does_not_change_the_others(routed):
+    plain, odd = (quality.stored(routed(changed(**v))).drop("created_at").first() for v in ({}, {"high_price": "2"}))
+    assert plain == odd
+
+
+def test_sign_is_taken_before_rounding(routed):
+    assert reasons(routed, changed(trade_volume=-0.000000000001)) == NEGATIVE
+
+
 def test_length_counts_characters(routed):
     assert quality.stored(routed(changed(market_state="한" * 40))).count() == 1
 

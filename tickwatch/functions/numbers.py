@@ -33,6 +33,12 @@ def as_float(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.when(text.rlike(_FLOAT_TEXT), number)).otherwise(number)
 
 
+def is_negative(value: Column) -> Column:
+    """Below zero, never null; the closer look that text needs is taken only then."""
+    below = F.coalesce(F.try_variant_get(value, "$", "double") < 0, F.lit(False))
+    return below & F.coalesce(as_float(value) < 0, F.lit(False))
+
+
 def as_int(value: Column) -> Column:
     """Number (fraction cut off), whole-number text or flag to BIGINT, else null."""
     return F.try_variant_get(value, "$", "bigint")

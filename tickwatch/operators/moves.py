@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tickwatch.functions import durations
 from tickwatch.functions.barrier import computed_once
 from tickwatch.functions.grading import change_percent, grade
-from tickwatch.functions.numbers import as_float, as_int, is_given, round_half_even
-from tickwatch.operators.ticks import decode
+from tickwatch.functions.numbers import round_half_even
+from tickwatch.operators.ticks import decode_numbers
 from tickwatch.schemas import MOVE_COLUMNS, typed
 
 # Epoch milliseconds of the years 0001 and 9999, the ends of what a timestamp holds.
@@ -33,22 +33,24 @@ def priced_ticks(
     ``record_time`` names that column. ``valid_only`` also drops what the global
     health rules call an error.
     """
-    fields = ["code", "trade_price", "timestamp"] + (["trade_volume"] if valid_only else [])
+    fields = {"code": "string", "trade_price": "double", "timestamp": "bigint"}
+    if valid_only:
+        fields |= {"trade_volume": "double"}
+    kept = [arrival] if record_time is None else [arrival, record_time]
     sent = F.col("tick.timestamp")
-    event_ms = as_int(sent)
-    kept = [arrival]
+    event_ms, absent = sent, None
     if record_time is not None:
-        event_ms = F.when(sent.isNull(), F.unix_millis(record_time)).otherwise(event_ms)
-        kept.append(record_time)
-    ticks = decode(df.select(*kept, value), fields, value)
+        absent = "timestamp"
+        event_ms = F.when(F.col("tick_absent"), F.unix_millis(record_time)).otherwise(sent)
     columns = {
         "market_code": F.col("tick.code"),
         "event_ms": event_ms,
-        "price": as_float(F.col("tick.trade_price")),
+        "price": F.col("tick.trade_price"),
         "arrival": F.col(arrival).cast("decimal(20,0)"),
     }
     if valid_only:
-        columns |= {"volume": as_float(F.col("tick.trade_volume")), "timed": is_given(sent)}
+        columns |= {"volume": F.col("tick.trade_volume"), "sent": sent}
+    ticks = decode_numbers(df.select(*kept, value), fields, value, absent=absent)
     prices = computed_once(ticks, [], columns).where(
         F.col("market_code").isNotNull()
         & F.col("price").isNotNull()
@@ -56,11 +58,7 @@ def priced_ticks(
     )
     if valid_only:
         prices = prices.where(
-            (F.col("market_code") != "")
-            & (F.col("price") > 0)
-            & (F.col("volume") >= 0)
-            & F.col("timed")
-            & (F.col("event_ms") > 0)
+            (F.col("market_code") != "") & (F.col("price") > 0) & (F.col("volume") >= 0) & (F.col("sent") > 0)
         )
     return prices.select(
         "market_code", "event_ms", F.timestamp_millis("event_ms").alias("event_time"), "price", "arrival"

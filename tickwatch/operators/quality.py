@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.functions.barrier import computed_once
-from tickwatch.functions.numbers import as_decimal, as_flag, as_float, as_int, is_given
-from tickwatch.operators.ticks import decode
+from tickwatch.operators.ticks import decode_columns
 from tickwatch.schemas import STORAGE, StorageColumn
 
 STORED, DEAD, SKIPPED, UNSTORABLE = "stored", "dead_letter", "skipped", "unstorable"
@@ -26,40 +25,27 @@ BAD_CHANGE = "Invalid Change Type: "
 BAD_STREAM_TYPE = "Invalid Stream Type: "
 MALFORMED = "Malformed JSON"
 
-_KINDS = {column.field: column for column in STORAGE}
+_COLUMN_OF = {column.field: column.column for column in STORAGE}
 
 
-def _given(field: str) -> Column:
-    value = F.col(f"tick.{field}")
-    return is_given(value) if _KINDS[field].decoded_as == "variant" else value.isNotNull()
+def _is_missing(column: str) -> Column:
+    """Neither a value that fits nor one that does not."""
+    return F.col(f"saved.{column}").isNull() & ~F.array_contains("unread", column)
 
 
-def _outside(field: str, allowed: tuple[str, ...], wording: str) -> Column:
-    value = F.col(f"tick.{field}")
+def _outside(column: str, allowed: tuple[str, ...], wording: str) -> Column:
+    value = F.col(f"saved.{column}")
     inside = F.coalesce(value.isin(*allowed), F.lit(False))
     return F.when(~inside, F.concat(F.lit(wording), F.coalesce(value, F.lit("None"))))
 
 
 def _reasons() -> Column:
     """All reasons in rule order, empty text when there are none."""
-    price = F.coalesce(as_float(F.col("tick.trade_price")), F.lit(0.0))
-    volume = F.coalesce(as_float(F.col("tick.trade_volume")), F.lit(0.0))
-    rules = [F.when(~_given(field), MISSING.format(field)) for field in REQUIRED]
-    rules.append(F.when((price < 0) | (volume < 0), NEGATIVE))
+    rules = [F.when(_is_missing(_COLUMN_OF[field]), MISSING.format(field)) for field in REQUIRED]
+    rules.append(F.when(F.col("below_zero"), NEGATIVE))
     rules.append(_outside("change", CHANGES, BAD_CHANGE))
     rules.append(_outside("stream_type", STREAM_TYPES, BAD_STREAM_TYPE))
-    return F.when(F.col("tick").isNull(), MALFORMED).otherwise(F.concat_ws(SEPARATOR, *rules))
-
-
-def _stored_value(column: StorageColumn) -> Column:
-    value = F.col(f"tick.{column.field}")
-    if column.type.startswith("decimal"):
-        return as_decimal(value, column.type)
-    if column.type == "bigint":
-        return as_int(value)
-    if column.type == "boolean":
-        return as_flag(value)
-    return value
+    return F.when(F.col("saved").isNull(), MALFORMED).otherwise(F.concat_ws(SEPARATOR, *rules))
 
 
 def _storage_problem(column: StorageColumn) -> Column:
@@ -67,22 +53,22 @@ def _storage_problem(column: StorageColumn) -> Column:
     saved = F.col(f"saved.{column.column}")
     if column.nullable:
         return F.lit(None).cast("string")
-    unfit = F.lit(f"{column.column}: not {column.type}")
-    absent = F.when(saved.isNull(), F.when(_given(column.field), unfit).otherwise(f"{column.column}: missing"))
-    if not column.is_text:
-        return absent
-    return absent.when(F.length(saved) > column.max_length, f"{column.column}: longer than {column.max_length}")
+    if column.is_text:
+        too_long = F.when(F.length(saved) > column.max_length, f"{column.column}: longer than {column.max_length}")
+        return F.when(saved.isNull(), f"{column.column}: missing").otherwise(too_long)
+    unfit = F.when(F.array_contains("unread", column.column), f"{column.column}: not {column.type}")
+    return F.when(saved.isNull(), unfit.otherwise(f"{column.column}: missing"))
 
 
 def validate(df: DataFrame, value: str = "value") -> DataFrame:
-    """Decode all wire fields and add ``error_log``, null for a tick that breaks no rule.
+    """Decode to storage columns and add ``error_log``, null for a tick that breaks no rule.
 
     The payload is kept as ``raw_data``.
     """
     rest = [name for name in df.columns if name != value]
-    decoded = decode(df.withColumn("raw_data", F.col(value)), _KINDS, value)
-    checked = {"tick": F.col("tick"), "error_log": F.nullif(_reasons(), F.lit(""))}
-    return computed_once(decoded, [*rest, "raw_data"], checked)
+    decoded = decode_columns(df.withColumn("raw_data", F.col(value)), STORAGE, value)
+    checked = {"error_log": F.nullif(_reasons(), F.lit(""))}
+    return computed_once(decoded, [*rest, "raw_data", "saved", "unread"], checked)
 
 
 def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
@@ -96,22 +82,16 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     """
     known = markets.select(F.col("market").alias("_known")).distinct()
     checked = validate(df, value)
-    lookup = F.when(F.col("error_log").isNull(), F.col("tick.code"))
+    lookup = F.when(F.col("error_log").isNull(), F.col("saved.market_code"))
     joined = checked.withColumn("_code", lookup).join(known, F.col("_code") == F.col("_known"), "left")
-    rest = [name for name in checked.columns if name != "tick"]
+    rest = [name for name in checked.columns if name != "unread"]
     may_store = F.col("error_log").isNull() & F.col("_known").isNotNull()
-    saved = F.struct(*[_stored_value(column).alias(column.column) for column in STORAGE])
-    prepared = computed_once(
-        joined, [*rest, "tick"], {"is_known": F.col("_known").isNotNull(), "saved": F.when(may_store, saved)}
-    )
     # An array keeps the generated method small enough to be compiled.
     problems = F.array_join(F.array_compact(F.array(*[_storage_problem(column) for column in STORAGE])), SEPARATOR)
-    return prepared.select(
+    return joined.select(
         *rest,
-        F.col("tick.code").alias("code"),
-        "is_known",
-        "saved",
-        F.when(F.col("saved").isNotNull(), F.nullif(problems, F.lit(""))).alias("save_error"),
+        F.col("_known").isNotNull().alias("is_known"),
+        F.when(may_store, F.nullif(problems, F.lit(""))).alias("save_error"),
     )
 
 
@@ -127,7 +107,7 @@ def outcome() -> Column:
 
 def stored(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks in storage columns, with their load time."""
-    fits = F.col("saved").isNotNull() & F.col("save_error").isNull()
+    fits = F.col("error_log").isNull() & F.col("is_known") & F.col("save_error").isNull()
     return routed.where(fits).select(*keep, "saved.*", F.current_timestamp().alias("created_at"))
 
 
@@ -141,7 +121,7 @@ def dead_letters(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def skipped(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks of a market that the market table does not have."""
     return routed.where(F.col("error_log").isNull() & ~F.col("is_known")).select(
-        *keep, F.col("code").alias("market_code"), "raw_data"
+        *keep, "saved.market_code", "raw_data"
     )
 
 

@@ -2,60 +2,179 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.functions.barrier import computed_once
-from tickwatch.functions.numbers import as_float, as_int, first_text
-from tickwatch.schemas import BACKFILL, SHORT_TO_LONG, STORAGE
+from tickwatch.functions.numbers import as_decimal, as_flag, as_float, as_int, first_text, is_given, is_negative
+from tickwatch.schemas import BACKFILL, SHORT_TO_LONG, STORAGE, StorageColumn
 
 _DECODED_AS = {column.field: column.decoded_as for column in STORAGE} | {"market": "string"}
 
-METRIC_FIELDS = ("code", "market", "trade_price", "trade_volume", "timestamp")
+METRIC_FIELDS = {
+    "code": "string",
+    "market": "string",
+    "trade_price": "double",
+    "trade_volume": "double",
+    "timestamp": "bigint",
+}
+
+
+# Fields whose sign the rules look at.
+SIGNED_FIELDS = ("trade_price", "trade_volume")
+
+
+def _parsed(value: str, members: dict[str, str], *flags: str) -> Column:
+    """The text read as the member ``tick`` of an outer object.
+
+    A parser that stops after the first object would accept whatever follows it;
+    inside an outer object that is an error, and ``tick`` is null. The locale only
+    matters for numeric text: the default one would drop commas from it.
+    """
+    inner = ", ".join(f"{name}: {kind}" for name, kind in members.items())
+    outer = ", ".join([f"tick STRUCT<{inner}>", *(f"{flag} STRING" for flag in flags)])
+    options = {"allowSingleQuotes": "false", "locale": "de-CH"}
+    if flags:
+        options["columnNameOfCorruptRecord"] = flags[0]
+    return F.from_json(F.concat(F.lit('{"tick":'), F.col(value), F.lit("}")), outer, options)
 
 
 def decode(df: DataFrame, fields: Iterable[str], value: str = "value", into: str = "tick") -> DataFrame:
     """Replace the JSON text by a struct of the named fields.
 
     The struct is null when the text is not exactly one JSON object. Only the
-    named fields are built. The text is read as a member of an outer object,
-    because a parser that stops after the first object would accept what follows it.
+    named fields are built. Numbers and flags keep their JSON kind (VARIANT).
     """
-    members = ", ".join(f"{name}: {_DECODED_AS.get(name, 'string')}" for name in fields)
-    outer = F.from_json(
-        F.concat(F.lit('{"tick":'), F.col(value), F.lit("}")),
-        f"tick STRUCT<{members}>",
-        {"allowSingleQuotes": "false"},
-    )
     rest = [name for name in df.columns if name != value]
-    return df.select(*rest, outer["tick"].alias(into))
+    members = {name: _DECODED_AS.get(name, "string") for name in fields}
+    return df.select(*rest, _parsed(value, members)["tick"].alias(into))
 
 
-def _judged(df: DataFrame, require_market: bool, market: Column, ingest: str, value: str) -> DataFrame:
+def decode_numbers(
+    df: DataFrame,
+    fields: Mapping[str, str],
+    value: str = "value",
+    into: str = "tick",
+    absent: str | None = None,
+) -> DataFrame:
+    """Replace the JSON text by a struct of fields of type string, double or bigint.
+
+    Numeric text and flags count as numbers, anything else as null, and a null
+    struct stands for text that is not one JSON object. Nearly all ticks hold plain
+    numbers, which the parser reads as such; where it has no objection, a null is a
+    field that is missing or null. Only the other texts are read again with their
+    JSON kinds kept. ``absent`` names a number for which ``<into>_absent`` tells a
+    field that is not there at all from one that is null.
+    """
     rest = [name for name in df.columns if name != value]
-    numbers = decode(df, METRIC_FIELDS, value).select(
+    kinds = {name: "string" if kind == "string" else "variant" for name, kind in fields.items()}
+    read = df.select(*rest, value, _parsed(value, dict(fields), "_objection").alias("_read"))
+    settled = F.col("_read._objection").isNull()
+    if absent is not None:
+        settled = settled & F.col(f"_read.tick.{absent}").isNotNull()
+    again = read.select(
         *rest,
-        market.alias("market"),
-        as_float(F.col("tick.trade_price")).alias("_price"),
-        as_float(F.col("tick.trade_volume")).alias("_volume"),
-        as_int(F.col("tick.timestamp")).alias("_sent_ms"),
+        F.when(settled, F.col("_read.tick")).alias("_plain"),
+        F.when(~settled, _parsed(value, kinds)["tick"]).alias("_again"),
     )
+    turn = {"string": lambda c: c, "double": as_float, "bigint": as_int}
+    turned = F.struct(*[turn[kind](F.col(f"_again.{name}")).alias(name) for name, kind in fields.items()])
+    columns = [
+        F.when(F.col("_plain").isNotNull(), F.col("_plain"))
+        .when(F.col("_again").isNotNull(), turned)
+        .alias(into)
+    ]
+    if absent is not None:
+        not_there = F.col("_again").isNotNull() & F.col(f"_again.{absent}").isNull()
+        columns.append(not_there.alias(f"{into}_absent"))
+    return again.select(*rest, *columns)
+
+
+def decode_columns(df: DataFrame, columns: Sequence[StorageColumn], value: str = "value") -> DataFrame:
+    """Replace the JSON text by its storage columns.
+
+    ``saved`` holds the columns in their storage types, null where a value is
+    missing or does not fit, and is null itself for text that is not one JSON
+    object. ``unread`` lists the columns whose value is there but does not fit, and
+    ``below_zero`` tells whether a signed field is negative before any rounding.
+
+    As in ``decode_numbers`` plain values are read in their types at once, and the
+    texts the parser objects to are read again.
+    """
+    rest = [name for name in df.columns if name != value]
+    exact = {c.field: c.decoded_as for c in columns}
+    plain = {c.field: exact[c.field] if c.field in SIGNED_FIELDS else c.read_as for c in columns}
+    read = df.select(*rest, value, _parsed(value, plain, "_objection").alias("_read"))
+    settled = F.col("_read._objection").isNull()
+    again = read.select(
+        *rest,
+        F.when(settled, F.col("_read.tick")).alias("_plain"),
+        F.when(~settled, _parsed(value, exact)["tick"]).alias("_again"),
+    )
+    is_plain, is_again = F.col("_plain").isNotNull(), F.col("_again").isNotNull()
+    plain_values = [
+        (_stored("_plain", c) if c.field in SIGNED_FIELDS else F.col(f"_plain.{c.field}")).alias(c.column)
+        for c in columns
+    ]
+    exact_values = [_stored("_again", c).alias(c.column) for c in columns]
+    misfits = [
+        F.when(is_given(F.col(f"_again.{c.field}")) & _stored("_again", c).isNull(), c.column)
+        for c in columns
+        if c.decoded_as == "variant"
+    ]
+    signed = [F.coalesce(F.col(f"_plain.{f}"), F.col(f"_again.{f}")).alias(f) for f in SIGNED_FIELDS]
+    turned = again.select(
+        *rest,
+        F.when(is_plain, F.struct(*plain_values)).when(is_again, F.struct(*exact_values)).alias("saved"),
+        F.when(is_again, F.array_compact(F.array(*misfits))).alias("_misfits"),
+        F.struct(*signed).alias("_signed"),
+    )
+    # A stored value above zero settles the sign; only the others are looked at again.
+    below_zero, plain_misfits = F.lit(False), []
+    for field in SIGNED_FIELDS:
+        stored, given = F.col(f"saved.{field}"), F.col(f"_signed.{field}")
+        below_zero = below_zero | F.when(F.coalesce(stored <= 0, F.lit(True)), is_negative(given)).otherwise(False)
+        plain_misfits.append(F.when(stored.isNull() & is_given(given), field))
+    return turned.select(
+        *rest,
+        "saved",
+        F.coalesce("_misfits", F.array_compact(F.array(*plain_misfits))).alias("unread"),
+        below_zero.alias("below_zero"),
+    )
+
+
+def _stored(source: str, column: StorageColumn) -> Column:
+    """The field's value in its storage type, null if it does not fit."""
+    value = F.col(f"{source}.{column.field}")
+    if column.type.startswith("decimal"):
+        return as_decimal(value, column.type)
+    if column.type == "bigint":
+        return as_int(value)
+    if column.type == "boolean":
+        return as_flag(value)
+    return value
+
+
+def _judged(df: DataFrame, require_market: bool, market: Column, ingest: str, value: str) -> DataFrame:
+    rest = [name for name in df.columns if name != value]
+    price, volume, sent = F.col("tick.trade_price"), F.col("tick.trade_volume"), F.col("tick.timestamp")
     # A missing field and one that is no number are both null by now.
-    broken = F.col("_price").isNull() | F.col("_volume").isNull() | F.col("_sent_ms").isNull()
+    broken = price.isNull() | volume.isNull() | sent.isNull()
     if require_market:
-        broken = broken | F.col("market").isNull()
-    broken = broken | (F.col("_price") <= 0) | (F.col("_volume") < 0) | (F.col("_sent_ms") <= 0)
-    latency = F.unix_micros(ingest) / F.lit(1000.0) - F.col("_sent_ms")
-    return numbers.withColumn("is_error", broken).select(
+        broken = broken | market.isNull()
+    broken = broken | (price <= 0) | (volume < 0) | (sent <= 0)
+    latency = F.unix_micros(ingest) / F.lit(1000.0) - sent
+    judged = decode_numbers(df, METRIC_FIELDS, value).select(
+        *rest, "tick", market.alias("market"), broken.alias("is_error")
+    )
+    return judged.select(
         *rest,
         "is_error",
         "market",
         F.when(F.col("is_error"), 0.0).otherwise(F.greatest(F.lit(0.0), latency)).alias("latency_ms"),
-        F.when(F.col("is_error"), 0.0)
-        .otherwise(F.col("_price") * F.col("_volume"))
-        .alias("trade_amount_krw"),
+        F.when(F.col("is_error"), 0.0).otherwise(price * volume).alias("trade_amount_krw"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.schemas import CAUTION_FLAGS, SHORT_TO_LONG
-from tickwatch.sources.files import stream_table
+from tickwatch.sources.files import spread, stream_table
 
 # Fields of a short tick besides price and volume: (field, SQL over the clean tick).
 SHORT_FIELDS = (
@@ -100,7 +100,7 @@ def tick_text(clean: DataFrame, full: bool = False) -> DataFrame:
 
 
 def ticks(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
-    return tick_text(clean_ticks(table(spark, sf_dir, "events")), full)
+    return tick_text(spread(clean_ticks(table(spark, sf_dir, "events"))), full)
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:

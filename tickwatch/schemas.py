@@ -160,6 +160,11 @@ class StorageColumn:
     def max_length(self) -> int:
         return int(self.type[len("varchar("):-1])
 
+    @property
+    def read_as(self) -> str:
+        """The type a plain value of this field has."""
+        return "string" if self.is_text or self.type == "json" else self.type
+
     @property
     def decoded_as(self) -> str:
         """Text stays text; numbers and flags keep their JSON kind."""

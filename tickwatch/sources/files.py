@@ -32,6 +32,16 @@ def stream_table(
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a batch out to all cores if it has fewer splits than that.
+
+    Decoding is bound by the processor, and a small table may be a single row
+    group. A table with a split per core or more is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_market_feed(spark: SparkSession, path: str) -> DataFrame:
     """Landed feed replies, each file one JSON array, as entries in array order (``seq``).
 
