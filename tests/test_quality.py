@@ -171,6 +171,27 @@ def test_collapse(spark):
     assert got == [('{"code":"A","price":null}', "why"), ('{"code":"B","price":2.5}', "so")]
 
 
+def test_a_hot_market_is_split(spark, texts):
+    ticks = texts([(i, 0, changed(code="KRW-A" if i % 3 else f"KRW-{i}")) for i in range(6000)]).repartition(8)
+    markets = spark.createDataFrame([(f"KRW-{i}",) for i in range(0, 6000, 3)] + [("KRW-A",)], "market STRING")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, setting in conf.items():
+        spark.conf.set(name, setting)
+    try:
+        counts = quality.route(ticks, markets).groupBy(quality.outcome().alias("o")).agg(F.count("*").alias("n"))
+        assert [tuple(r) for r in counts.collect()] == [("stored", 6000)]
+        assert "skew=true" in counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+
+
 def test_same_result_without_broadcast(spark, texts):
     ticks = texts([(i, 0, changed(code="KRW-A" if i % 3 else "KRW-Z")) for i in range(60)])
     markets = spark.createDataFrame([("KRW-A",)], "market STRING")

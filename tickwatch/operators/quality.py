@@ -80,10 +80,15 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     broadcasts the markets while their measured size allows and otherwise
     shuffles, where AQE splits the partitions of a hot market.
     """
-    known = markets.select(F.col("market").alias("_known")).distinct()
     checked = validate(df, value)
     lookup = F.when(F.col("error_log").isNull(), F.col("saved.market_code"))
-    joined = checked.withColumn("_code", lookup).join(known, F.col("_code") == F.col("_known"), "left")
+    # AQE splits a join only where both sides come straight from a shuffle. On the
+    # market alone the distinct markets would lie right already and not be shuffled.
+    known = markets.select(F.col("market").alias("_known")).distinct()
+    known = known.withColumn("_known_sum", F.crc32("_known"))
+    joined = checked.withColumns({"_code": lookup, "_code_sum": F.crc32(lookup)}).join(
+        known, (F.col("_code") == F.col("_known")) & (F.col("_code_sum") == F.col("_known_sum")), "left"
+    )
     rest = [name for name in checked.columns if name != "unread"]
     may_store = F.col("error_log").isNull() & F.col("_known").isNotNull()
     # An array keeps the generated method small enough to be compiled.

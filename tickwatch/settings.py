@@ -40,9 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="tickwatch-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickwatch-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

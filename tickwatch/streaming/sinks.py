@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.operators import quality
+from tickwatch.operators import moves, quality
 
 
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
@@ -43,6 +43,18 @@ def routed_outputs(
     return write
 
 
+def known_moves(
+    markets: Callable[[], DataFrame], write: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """Hand on the moves of known markets, with their load time."""
+
+    def pass_on(batch: DataFrame, batch_id: int) -> None:
+        known = moves.known_market_moves(batch, markets())
+        write(known.withColumn("created_at", F.current_timestamp()), batch_id)
+
+    return pass_on
+
+
 def write_market_metrics(metrics: DataFrame, path: str) -> None:
     """Append market metrics by day, sorted by market and newest first within files.
 
