@@ -15,8 +15,12 @@ def read_ticks(
     starting: str = "latest",
     group_prefix: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Stream of a topic's ticks. Needs the Kafka connector on the session's classpath."""
+    """Stream of a topic's ticks. Needs the Kafka connector on the session's classpath.
+
+    ``min_partitions`` splits a hot topic partition over several tasks.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -27,6 +31,8 @@ def read_ticks(
         reader = reader.option("groupIdPrefix", group_prefix)
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return from_records(reader.load())
 
 
