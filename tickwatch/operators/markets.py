@@ -39,14 +39,19 @@ def _active(existing: DataFrame) -> DataFrame:
     return existing.where("is_active").select("market")
 
 
+def _listed(feed: DataFrame) -> DataFrame:
+    """Markets of the feed, copies folded before they are compared."""
+    return feed.select("market").distinct()
+
+
 def new_listings(existing: DataFrame, feed: DataFrame) -> DataFrame:
     """Markets of the feed that are not active now; a relisted market counts as new."""
-    return feed.select("market").subtract(_active(existing))
+    return _listed(feed).subtract(_active(existing))
 
 
 def delistings(existing: DataFrame, feed: DataFrame) -> DataFrame:
     """Active markets that the feed no longer has."""
-    return _active(existing).subtract(feed.select("market"))
+    return _active(existing).subtract(_listed(feed))
 
 
 def sync_changes(existing: DataFrame, feed: DataFrame, reactivate: bool = True, order: str = "seq") -> DataFrame:

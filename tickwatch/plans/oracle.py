@@ -202,8 +202,8 @@ ORACLES: dict[str, str] = {
     "tick_parse": _parse(_GLOBAL),
     "tick_parse_by_market": _parse(_MARKET),
     "tick_rename_long": _renamed(),
-    "publish_by_cd": f"WITH {_CLEAN} SELECT 'unknown' AS key, {_text(False)} AS value FROM clean WHERE fault <> 2",
-    "publish_by_code": f"""WITH {_CLEAN} SELECT CASE WHEN fault IN (5, 6) THEN 'unknown' WHEN fault = 10 THEN 'MKT-NONE'
+    "publish_envelope": f"WITH {_CLEAN} SELECT 'unknown' AS key, {_text(False)} AS value FROM clean WHERE fault <> 2",
+    "publish_envelope_by_code": f"""WITH {_CLEAN} SELECT CASE WHEN fault IN (5, 6) THEN 'unknown' WHEN fault = 10 THEN 'MKT-NONE'
 ELSE code END AS key, {_text(False)} AS value FROM clean WHERE fault <> 2""",
     "health_metrics": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')} SELECT * FROM health",
     "health_metrics_hourly": f"{_HOURLY} SELECT * FROM health",

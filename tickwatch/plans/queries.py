@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.operators import markets, metrics, moves, quality, serving
-from tickwatch.operators.ticks import metric_events, publish_envelope, rename_long
+from tickwatch.operators.ticks import metric_events, rename_long
+from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.plans import views
 from tickwatch.settings import as_table
 from tickwatch.streaming import clocks
@@ -54,12 +55,12 @@ def tick_rename_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(rename_long(views.short_named_ticks(spark, sf_dir)))
 
 
-def publish_by_cd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_envelope(views.ticks(spark, sf_dir))
+def publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(views.ticks(spark, sf_dir))
 
 
-def publish_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_envelope(views.ticks(spark, sf_dir), key_fields=("code", "cd"))
+def publish_envelope_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(views.ticks(spark, sf_dir), key_fields=("code", "cd"))
 
 
 # Health ---------------------------------------------------------------------
@@ -232,8 +233,8 @@ QUERIES: dict[str, Query] = {
         tick_parse,
         tick_parse_by_market,
         tick_rename_long,
-        publish_by_cd,
-        publish_by_code,
+        publish_envelope,
+        publish_envelope_by_code,
         health_metrics,
         health_metrics_hourly,
         health_metrics_stream,

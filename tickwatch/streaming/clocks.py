@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame
 MONOTONE = "0 seconds"
 
 
-def with_ingest_clock(df: DataFrame, clock: str = "ingest_time") -> DataFrame:
-    """Close buckets by the time ticks came in, which only moves forward."""
-    return df.withWatermark(clock, MONOTONE)
+def with_ingest_clock(df: DataFrame, clock: str = "ingest_time", delay: str = MONOTONE) -> DataFrame:
+    """Close buckets by the time ticks came in.
+
+    That time moves forward within a topic partition, but partitions may be read at
+    different speeds. ``delay`` is how far one may fall behind before its ticks
+    would be too late to count.
+    """
+    return df.withWatermark(clock, delay)
 
 
 def with_event_clock(df: DataFrame, delay: str = "1 second", clock: str = "event_time") -> DataFrame:

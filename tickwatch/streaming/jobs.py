@@ -23,17 +23,23 @@ from tickwatch.streaming.runner import drop_late_at_once, start_batches
 Write = Callable[[DataFrame, int], None]
 
 
-def start_health(ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", **run) -> StreamingQuery:
+# How far a topic partition may fall behind the others before its ticks are too late.
+BEHIND = "10 seconds"
+
+
+def start_health(
+    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", behind: str = BEHIND, **run
+) -> StreamingQuery:
     """Health of the whole stream per bucket."""
-    events = metric_events(clocks.with_ingest_clock(ticks))
+    events = metric_events(clocks.with_ingest_clock(ticks, delay=behind))
     return start_batches(health_metrics(events, bucket), write, checkpoint, **run)
 
 
 def start_market_health(
-    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", **run
+    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", behind: str = BEHIND, **run
 ) -> StreamingQuery:
     """Health of each market per bucket."""
-    events = metric_events(clocks.with_ingest_clock(ticks), rules="market")
+    events = metric_events(clocks.with_ingest_clock(ticks, delay=behind), rules="market")
     return start_batches(market_metrics(events, bucket), write, checkpoint, **run)
 
 
