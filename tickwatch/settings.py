@@ -16,6 +16,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Noting the Python call site of every column takes longer than planning a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Room for the compiled code of all queries a long session comes back to.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
 }
 
