@@ -1,5 +1,8 @@
 import json
+import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickwatch.operators.ticks import decode, metric_events, publish_envelope, rename_long, to_json_value
@@ -72,6 +75,53 @@ def test_market_rules(texts):
     assert judged(texts, "market") == [judge(m, "UNKNOWN") for m in MESSAGES]
 
 
+# Whole numbers beyond 64 bits are left out: they count as no numbers here.
+NUMBERS = [
+    "1", "0", "-1", "1.5", "1e3", "1E-7", "-0.0", "1718942400000", "1718942400000.7", "12.7",
+    '"1"', '"1.5"', '"-1"', '" 2 "', '"+3"', '"1e3"', '"abc"', '""', '"1.5d"', '"0x1p3"', '"1,5"', '"1718942400000"',
+    "true", "false", "null", "[1]", "{}", '{"a": [1, 2]}', "NaN", "Infinity", "-Infinity", '"nan"', '"inf"',
+    "1.23456789012345678901234567890", "0.1", "123456789.987654321", "99999999999999999", "9007199254740993",
+]
+NAMES = ['"A"', '"B"', '""', "null", '"한글"', '"a\\"b"', '"\\u00e9"']
+ENDINGS = ["", "", "", "", "", " ", " tail", "}", ",", "{}", ', {"code":"A"}']
+
+
+def random_message(source):
+    parts = []
+    for field, tokens in (
+        ("code", NAMES), ("market", NAMES), ("trade_price", NUMBERS), ("trade_volume", NUMBERS), ("timestamp", NUMBERS),
+    ):
+        # Plain values are likely, so that whole ticks come out valid too.
+        plain = {"code": '"A"', "market": '"M"', "timestamp": "1718942400000"}.get(field, "2.5")
+        for _ in range(source.choice([0, 1, 1, 1, 1, 1, 1, 2])):
+            parts.append(f'"{field}": {plain if source.random() < 0.6 else source.choice(tokens)}')
+    source.shuffle(parts)
+    return "{" + ", ".join(parts) + "}" + source.choice(ENDINGS)
+
+
+def same(a, b):
+    return a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+
+
+@pytest.mark.parametrize("rules", ["global", "market"])
+def test_random_messages(texts, rules):
+    source = random.Random(17)
+    messages, wanted = [], []
+    while len(messages) < 4000:
+        message = random_message(source)
+        try:
+            wanted.append(judge(message, None if rules == "global" else "UNKNOWN"))
+        except OverflowError:  # whole number of an infinite one: no answer to compare with
+            continue
+        messages.append(message)
+    ticks = texts([(i, NOW, m) for i, m in enumerate(messages)])
+    got = metric_events(ticks, rules).orderBy("seq").collect()
+    assert sum(not r.is_error for r in got) > 200
+    for message, row, expected in zip(messages, got, wanted):
+        found = (row.is_error, row.market, row.latency_ms, row.trade_amount_krw)
+        assert all(map(same, found, expected)), (message, found, expected)
+
+
 def test_missing_text_is_an_error(texts):
     row = metric_events(texts([(1, NOW, None)])).first()
     assert row.is_error and row.market is None

@@ -21,24 +21,31 @@ METRIC_FIELDS = {
     "timestamp": "bigint",
 }
 
-
 # Fields whose sign the rules look at.
 SIGNED_FIELDS = ("trade_price", "trade_volume")
 
 
 def _parsed(value: str, members: dict[str, str], *flags: str) -> Column:
-    """The text read as the member ``tick`` of an outer object.
+    """The text read as the one entry of a list, in an object with a last member ``end``.
 
-    A parser that stops after the first object would accept whatever follows it;
-    inside an outer object that is an error, and ``tick`` is null. The locale only
-    matters for numeric text: the default one would drop commas from it.
+    A parser that stops after the first object would accept whatever follows it.
+    Inside the list that is an error or a second entry, and brackets that close too
+    early hide the end. The locale only matters for numeric text: the default one
+    would drop commas from it.
     """
     inner = ", ".join(f"{name}: {kind}" for name, kind in members.items())
-    outer = ", ".join([f"tick STRUCT<{inner}>", *(f"{flag} STRING" for flag in flags)])
+    outer = ", ".join([f"ticks ARRAY<STRUCT<{inner}>>, end BOOLEAN", *(f"{flag} STRING" for flag in flags)])
     options = {"allowSingleQuotes": "false", "locale": "de-CH"}
     if flags:
         options["columnNameOfCorruptRecord"] = flags[0]
-    return F.from_json(F.concat(F.lit('{"tick":'), F.col(value), F.lit("}")), outer, options)
+    text = F.concat(F.lit('{"ticks":['), F.col(value), F.lit('],"end":true}'))
+    return F.from_json(text, outer, options)
+
+
+def _only(read: str) -> Column:
+    """The entry of a read text, null if that is not exactly one object."""
+    whole = F.col(f"{read}.end") & (F.size(f"{read}.ticks") == 1)
+    return F.when(whole, F.get(f"{read}.ticks", 0))
 
 
 def decode(df: DataFrame, fields: Iterable[str], value: str = "value", into: str = "tick") -> DataFrame:
@@ -49,7 +56,27 @@ def decode(df: DataFrame, fields: Iterable[str], value: str = "value", into: str
     """
     rest = [name for name in df.columns if name != value]
     members = {name: _DECODED_AS.get(name, "string") for name in fields}
-    return df.select(*rest, _parsed(value, members)["tick"].alias(into))
+    read = df.select(*rest, _parsed(value, members).alias("_read"))
+    return read.select(*rest, _only("_read").alias(into))
+
+
+def _read_twice(
+    df: DataFrame, value: str, plain: dict[str, str], exact: dict[str, str], needed: Iterable[str] = ()
+) -> DataFrame:
+    """Read each text in plain types (``_plain``) or, where the parser objects or a
+    needed field is null, with its JSON kinds (``_again``). Both are null for text
+    that is not one object."""
+    rest = [name for name in df.columns if name != value]
+    read = df.select(*rest, value, _parsed(value, plain, "_objection").alias("_read"))
+    settled = F.col("_read._objection").isNull()
+    for name in needed:
+        settled = settled & F.get("_read.ticks", 0)[name].isNotNull()
+    again = read.select(
+        *rest,
+        F.when(settled, _only("_read")).alias("_plain"),
+        F.when(~settled, _parsed(value, exact)).alias("_reread"),
+    )
+    return again.select(*rest, "_plain", _only("_reread").alias("_again"))
 
 
 def decode_numbers(
@@ -70,15 +97,7 @@ def decode_numbers(
     """
     rest = [name for name in df.columns if name != value]
     kinds = {name: "string" if kind == "string" else "variant" for name, kind in fields.items()}
-    read = df.select(*rest, value, _parsed(value, dict(fields), "_objection").alias("_read"))
-    settled = F.col("_read._objection").isNull()
-    if absent is not None:
-        settled = settled & F.col(f"_read.tick.{absent}").isNotNull()
-    again = read.select(
-        *rest,
-        F.when(settled, F.col("_read.tick")).alias("_plain"),
-        F.when(~settled, _parsed(value, kinds)["tick"]).alias("_again"),
-    )
+    again = _read_twice(df, value, dict(fields), kinds, [absent] if absent else [])
     turn = {"string": lambda c: c, "double": as_float, "bigint": as_int}
     turned = F.struct(*[turn[kind](F.col(f"_again.{name}")).alias(name) for name, kind in fields.items()])
     columns = [
@@ -106,13 +125,7 @@ def decode_columns(df: DataFrame, columns: Sequence[StorageColumn], value: str =
     rest = [name for name in df.columns if name != value]
     exact = {c.field: c.decoded_as for c in columns}
     plain = {c.field: exact[c.field] if c.field in SIGNED_FIELDS else c.read_as for c in columns}
-    read = df.select(*rest, value, _parsed(value, plain, "_objection").alias("_read"))
-    settled = F.col("_read._objection").isNull()
-    again = read.select(
-        *rest,
-        F.when(settled, F.col("_read.tick")).alias("_plain"),
-        F.when(~settled, _parsed(value, exact)["tick"]).alias("_again"),
-    )
+    again = _read_twice(df, value, plain, exact)
     is_plain, is_again = F.col("_plain").isNotNull(), F.col("_again").isNotNull()
     plain_values = [
         (_stored("_plain", c) if c.field in SIGNED_FIELDS else F.col(f"_plain.{c.field}")).alias(c.column)
