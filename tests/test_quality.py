@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.operators import quality
 from tickwatch.schemas import STORAGE
+from tickwatch.streaming import sinks
 
 GOOD = {
     "type": "ticker", "code": "KRW-A", "opening_price": 1.5, "high_price": 2, "low_price": 1, "trade_price": 1.25,
@@ -165,6 +166,21 @@ def test_every_tick_has_one_outcome(spark, texts):
     assert named == sizes
 
 
+def test_one_pass_gives_the_same_outputs(spark, texts, tmp_path):
+    mixed = [changed(), changed(code="KRW-Z"), changed(trade_volume=None), changed(trade_price=-1), "{", "null"]
+    ticks = texts([(i, 0, mixed[i % len(mixed)]) for i in range(60)])
+    frame = quality.route(ticks, spark.createDataFrame([("KRW-A",)], "market STRING"))
+    sinks.write_routed(frame, str(tmp_path / "routed"))
+    for name, output in quality.OUTPUTS.items():
+        direct, read = output(frame, ("seq",)), sinks.read_routed(spark, str(tmp_path / "routed"), name, ("seq",))
+        assert read.columns == direct.columns
+        drop = [c for c in direct.columns if c == "created_at"]
+        assert sorted(map(repr, read.drop(*drop).collect())) == sorted(map(repr, direct.drop(*drop).collect()))
+        assert read.count() > 0
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outcome" in plan
+
+
 def test_collapse(spark):
     wide = spark.createDataFrame([("A", None, "why"), ("B", 2.5, "so")], "code STRING, price DOUBLE, error_log STRING")
     got = [tuple(r) for r in quality.dead_letter_collapse(wide).collect()]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.operators import moves, quality
@@ -43,6 +43,28 @@ def routed_outputs(
     return write
 
 
+def write_routed(routed: DataFrame, path: str) -> None:
+    """Write all outputs of routed ticks in one pass, a folder per outcome of one table.
+
+    Nothing is cached and no tick is decoded twice, which suits a batch of any size.
+    The payload is left out of stored ticks. ``read_routed`` gives the single outputs.
+    """
+    outcome = quality.outcome()
+    (
+        routed.withColumn("raw_data", F.when(outcome != quality.STORED, F.col("raw_data")))
+        .withColumn("outcome", outcome)
+        .write.mode("overwrite")
+        .partitionBy("outcome")
+        .parquet(path)
+    )
+
+
+def read_routed(spark: SparkSession, path: str, outcome: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One output of a table that ``write_routed`` wrote; only its folder is read."""
+    rows = spark.read.parquet(path).where(F.col("outcome") == outcome)
+    return quality.OUTPUTS[outcome](rows, keep)
+
+
 def known_moves(
     markets: Callable[[], DataFrame], write: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
