@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -122,6 +123,38 @@ def test_one_odd_value_does_not_change_the_others(routed):
     assert plain == odd
 
 
+NUMBERS = [
+    "1", "0", "-1", "1.5", "1e3", "1E-7", "-0.0", "0.00005", "0.00015", "0.000049999999999999999999999", "-0.00005",
+    "1.23456789012345678901234567890", "9999999999999999.99995", "9999999999999999.99994", "123456789.987654321",
+    "99999999999999999999999999", "0.1", "1e30", '"2.5"', '"x"', "true", "null",
+]
+
+
+def test_both_ways_of_reading_agree(spark, texts):
+    source = random.Random(23)
+    numeric = [c.field for c in STORAGE if c.type.startswith("decimal")]
+    plain, odd = [], []
+    for _ in range(1500):
+        tick = {k: json.dumps(v) for k, v in GOOD.items()}
+        for field in source.sample(numeric, 4):
+            tick[field] = source.choice(NUMBERS)
+        # A flag as text makes the parser object, so that the whole tick is read again.
+        for rows, flag in ((plain, "false"), (odd, '"f"')):
+            tick["is_trading_suspended"] = flag
+            rows.append("{" + ",".join(f'"{k}":{v}' for k, v in tick.items()) + "}")
+    markets = spark.createDataFrame([("KRW-A",)], "market STRING")
+    results = [
+        quality.route(texts([(i, 0, t) for i, t in enumerate(rows)]), markets)
+        .orderBy("seq")
+        .select("error_log", "save_error", F.to_json("saved"))
+        .collect()
+        for rows in (plain, odd)
+    ]
+    assert len({r.save_error for r in results[0]}) > 5
+    for text, one, other in zip(plain, *results):
+        assert one == other, text
+
+
 def test_sign_is_taken_before_rounding(routed):
     assert reasons(routed, changed(trade_volume=-0.000000000001)) == NEGATIVE
 

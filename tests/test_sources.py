@@ -59,3 +59,10 @@ def test_kafka_records_become_ticks(spark):
 def test_jdbc_append_options():
     options = jdbc.append_options("jdbc:x", "t", {"user": "u"}, jdbc.MOVES_BATCH)
     assert options == {"url": "jdbc:x", "dbtable": "t", "batchsize": "50", "user": "u"}
+
+
+def test_only_small_tables_are_dealt_out(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert files.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    large = spark.range(0, 1000, 1, files.FEW_SPLITS)
+    assert files.spread(large).rdd.getNumPartitions() == files.FEW_SPLITS

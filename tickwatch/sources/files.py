@@ -32,14 +32,19 @@ def stream_table(
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
+# Tables of fewer splits, about 2 GB at the default split size, are worth dealing out.
+FEW_SPLITS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a batch out to all cores if it has fewer splits than that.
+    """Deal a small batch out to all cores.
 
     Decoding is bound by the processor, and a small table may be a single row
-    group. A table with a split per core or more is left as it is.
+    group. A larger table is left as it is; moving it would cost more than it gains.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
+    return df.repartition(cores) if few else df
 
 
 def read_market_feed(spark: SparkSession, path: str) -> DataFrame:
