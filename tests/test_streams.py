@@ -168,3 +168,12 @@ def test_shared_folder_is_the_named_one(spark):
 def test_stream_queries_write_under_the_shared_folder(spark):
     result = QUERIES["monotone_watermark_echo"](spark, "/root/testdata/sf0.001")
     assert all(settings.shared_dir(spark) in path for path in result.inputFiles())
+
+
+def test_console_sink_runs(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"code":"SEEN"}\n')
+    query = sinks.to_console(read_tick_lines(spark, str(tmp_path / "in"), streaming=True), str(tmp_path / "checkpoint"))
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None and query.lastProgress["numInputRows"] in (0, 1)
