@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, token_counts
+from tickwatch.llm import byte_bpe, quality, token_counts
+from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, distances from the language references and the verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    # Only the counts are written for the references, not the texts.
+    measured = quality.measure(docs).withColumn("row", F.struct(F.lit(0).alias("none"), F.col("row.doc_id")))
+    measured = as_table(measured, "measured")
+    return quality.verdicts(measured, quality.Rules(), quality.learn_references(measured))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,5 +50,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
 }
