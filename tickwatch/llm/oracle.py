@@ -1,3 +1,25 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, pos, line,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), repeated AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND k.doc_id <> r.top AS dropped
+  FROM keyed k LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP}

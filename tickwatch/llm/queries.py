@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, quality, token_counts
+from tickwatch.llm import byte_bpe, line_dedup, quality, token_counts
 from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when repeated lines go."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances from the language references and the verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -50,6 +56,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
 }
