@@ -22,4 +22,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP}
+URL_FILTERS = r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), rests AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), places AS (SELECT DISTINCT host, path FROM parts),
+best AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host) + length(rule_path)) AS rule,
+         arg_max(rule_verdict, length(rule_host) + length(rule_path)) AS verdict
+  FROM places JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path
+)
+SELECT page_id, parts.host, parts.path, best.rule, coalesce(best.verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best ON parts.host = best.host AND parts.path = best.path
+"""
+
+ORACLES: dict[str, str] = {"op3_url_filters": URL_FILTERS, "op4_line_dedup": LINE_DEDUP}

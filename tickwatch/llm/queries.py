@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, line_dedup, quality, token_counts
+from tickwatch.llm import byte_bpe, line_dedup, neighbours, quality, token_counts, url_filters
 from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rules for URLs: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL, and the rule it comes from."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge_urls(pages, rules).drop("url")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps when repeated lines go."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,9 +73,35 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors found for every twentieth id."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver found it, whatever folder Spark was started in."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
+def ready(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+REGISTERED: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_url_filters": op3_url_filters,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_neighbours": op9_neighbours,
 }
+
+QUERIES: dict[str, Query] = {name: ready(query) for name, query in REGISTERED.items()}
