@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, line_dedup, neighbours, quality, token_counts, url_filters
+from tickwatch.llm import byte_bpe, line_dedup, neighbours, packing, quality, token_counts, url_filters
 from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(measured, quality.Rules(), quality.learn_references(measured))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the tokens of every document lie in sequences of 4096."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Lengths and checksums are packed, not the ids themselves.
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(pieces)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,6 +109,7 @@ REGISTERED: dict[str, Query] = {
     "op3_url_filters": op3_url_filters,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
 }
