@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, line_dedup, neighbours, packing, quality, token_counts, url_filters
+from tickwatch.llm import byte_bpe, line_dedup, near_dedup, neighbours, packing, quality, token_counts, url_filters
 from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose two-word shingles overlap by 80 per cent."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and what they decode to, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -105,6 +110,7 @@ def ready(query: Query) -> Query:
 
 
 REGISTERED: dict[str, Query] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_url_filters": op3_url_filters,
     "op4_line_dedup": op4_line_dedup,
