@@ -19,6 +19,8 @@ from tickwatch.llm.frames import quoted, with_struct
 # Matches held at once for one text, so that a very long one needs no more memory.
 MATCHES = 1 << 18
 LONG = 1 << 20
+# Pieces whose ids are kept, in each of two generations.
+ENTRIES = 150_000
 UNKNOWN = "\ue000"
 
 # Field numbers and values of the sentencepiece model format (fixed values).
@@ -100,7 +102,7 @@ class Codec:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(ranks))
-        self.packed = BoundedCache(self.encode_piece)
+        self.packed = BoundedCache(self.encode_piece, ENTRIES)
         self.tokens = [unmapped(self.model.id_to_piece(number)) for number in range(len(ranks))]
 
     def encode_piece(self, piece: str) -> bytes:
