@@ -7,10 +7,21 @@ import os
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import byte_bpe, line_dedup, near_dedup, neighbours, packing, quality, token_counts, url_filters
+from tickwatch.llm import (
+    byte_bpe,
+    line_dedup,
+    lm_scoring,
+    near_dedup,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    url_filters,
+)
 from tickwatch.settings import as_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +72,33 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the fixed patterns, and all spans."""
+    found = pii.found_spans(table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, pii.KINDS))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                F.sort_array(spans),
+                lambda span: F.concat_ws(":", F.get(kinds, span["kind"]), span["start"].cast("string"), span["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == number)).cast("bigint")
+
+    counts = [count(number).alias(f"n_{name}") for number, name in enumerate(pii.KINDS)]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "learned")).alias("spans"),
+        F.size("learned").cast("bigint").alias("n_learned"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances from the language references and the verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -92,6 +130,14 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more every document resembles those of good quality than all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return lm_scoring.score(docs, "target", *vocabulary).select("doc_id", *lm_scoring.COLUMNS)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this library where the driver found it, whatever folder Spark was started in."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -114,10 +160,12 @@ REGISTERED: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_url_filters": op3_url_filters,
     "op4_line_dedup": op4_line_dedup,
+    "op5_pii": op5_pii,
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 QUERIES: dict[str, Query] = {name: ready(query) for name, query in REGISTERED.items()}
