@@ -1,0 +1,80 @@
+import math
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from llm.conftest import ODD
+from pyspark.sql import functions as F
+
+from tickwatch.llm import lm_scoring
+
+VOCABULARY = 300
+PLACE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def ids_of(text):
+    packed = lm_scoring.codec(*PLACE, VOCABULARY).encode(text or "")
+    return [int.from_bytes(packed[at : at + 4], "little") for at in range(0, len(packed), 4)]
+
+
+def brute_losses(texts):
+    pairs, single = Counter(), Counter()
+    for text in texts:
+        ids = ids_of(text)
+        for before, token in zip([VOCABULARY, *ids], ids):
+            pairs[before, token] += 1
+            single[token] += 1
+    after = Counter(before for before, _ in pairs)
+    total = Counter()
+    for (before, _), n in pairs.items():
+        total[before] += n
+    kinds, whole = len(single), sum(single.values())
+
+    def loss(before, token):
+        low = (single[token] + kinds / VOCABULARY) / (whole + kinds) if whole else 1 / VOCABULARY
+        weight = total[before] + after[before]
+        return -math.log2((pairs[before, token] + after[before] * low) / weight if weight else low)
+
+    return loss
+
+
+def scored(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, target BOOLEAN").repartition(3)
+    return lm_scoring.score(df, "target", *PLACE, vocabulary=VOCABULARY)
+
+
+def prose(source, words, count=60):
+    return " ".join(source.choice(words) for _ in range(count))
+
+
+def test_losses_equal_brute_force(spark):
+    texts = [*ODD[:-1], "the cat the cat", "the dog", "a cat"]
+    rows = [(n, text, n % 2 == 0 if n % 5 else None) for n, text in enumerate(texts)]
+    target, whole = brute_losses([t for _, t, wanted in rows if wanted]), brute_losses(texts)
+    for r in scored(spark, rows).collect():
+        ids = ids_of(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        if not ids:
+            assert r.target_loss is None and r.background_loss is None and r.score is None
+            continue
+        pairs = list(zip([VOCABULARY, *ids], ids))
+        means = [sum(model(*pair) for pair in pairs) / len(pairs) for model in (target, whole)]
+        assert (r.target_loss, r.background_loss) == pytest.approx(means, abs=1e-4)
+        assert r.score == pytest.approx(r.target_loss - r.background_loss, abs=1e-12)
+
+
+def test_held_out_documents_are_told_apart(spark):
+    source = random.Random(1)
+    good, bad = [f"good{n}ly" for n in range(40)], [f"{n}XX#!" for n in range(40)]
+    rows = [(n, prose(source, good if n % 2 else bad), bool(n % 2) and n < 100) for n in range(160)]
+    held = scored(spark, rows).where("doc_id >= 100").orderBy("score").collect()
+    assert {r.doc_id % 2 for r in held[:30]} == {1} and {r.doc_id % 2 for r in held[30:]} == {0}
+
+
+def test_no_target_clashing_columns_and_empty(spark):
+    df = spark.createDataFrame([(1, "a b", False, 3)], "doc_id BIGINT, text STRING, good BOOLEAN, SCORE INT")
+    made = lm_scoring.score(df, "good", *PLACE, vocabulary=VOCABULARY)
+    assert made.columns == ["doc_id", "text", "good", *lm_scoring.COLUMNS]
+    assert made.first().target_loss == pytest.approx(math.log2(VOCABULARY), abs=1e-4)
+    assert lm_scoring.score(df.where(F.lit(False)), "good", *PLACE, vocabulary=VOCABULARY).count() == 0

@@ -1,0 +1,103 @@
+import bisect
+import random
+import struct
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from llm.conftest import ODD
+from tokenizers import Tokenizer
+
+from tickwatch.llm import packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def serial_best_fit(lengths, capacity):
+    gaps, opened = [], 0
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, length)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        opened += at == len(gaps) and gap == capacity
+        bisect.insort(gaps, gap - length)
+    return opened
+
+
+def check(rows, capacity):
+    lying = defaultdict(list)
+    for r in rows:
+        lying[r.sequence_id].append((r.offset, r.length))
+    for placed in lying.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(lying)
+
+
+def packed(spark, lengths, capacity, parts=5):
+    df = spark.createDataFrame([(n, length) for n, length in enumerate(lengths)], "id INT, length INT").repartition(parts)
+    rows = packing.pack(df, capacity).collect()
+    assert sorted(r.id for r in rows) == list(range(len(lengths)))
+    return check(rows, capacity)
+
+
+@pytest.mark.parametrize("kind", ["mixed", "equal", "large", "small"])
+def test_few_sequences_without_gaps(spark, kind):
+    source = random.Random(kind)
+    lengths = {
+        "mixed": [min(100, int(source.expovariate(0.05)) + 1) for _ in range(800)],
+        "equal": [34] * 300 + [100] * 5,
+        "large": [source.randrange(51, 101) for _ in range(100)],
+        "small": [source.randrange(1, 12) for _ in range(300)],
+    }[kind]
+    found = packed(spark, lengths, 100)
+    assert -(-sum(lengths) // 100) <= found <= serial_best_fit(lengths, 100) * 1.03 + 1
+
+
+def test_one_and_none(spark):
+    assert packed(spark, [1], 4096) == 1 and packed(spark, [4096, 4096], 4096) == 2
+    none = spark.createDataFrame([], "id INT, length INT")
+    assert packing.pack(none, 10).count() == 0
+
+
+@pytest.mark.parametrize("length", [None, 0, 11])
+def test_lengths_that_cannot_be_packed_fail(spark, length):
+    with pytest.raises(Exception, match="no length to pack"):
+        packing.pack(spark.createDataFrame([(1, length)], "id INT, length INT"), 10).collect()
+
+
+def test_same_named_columns_give_way(spark):
+    df = spark.createDataFrame([(1, 5, "x", "y")], "length INT, item INT, OFFSET STRING, `gap row` STRING")
+    made = packing.pack(df, 10)
+    assert made.columns == ["length", "item", "gap row", "sequence_id", "offset"] and made.first().item == 5
+
+
+def test_ranges_between_blocks_match_all_they_can():
+    left = {0: {packing.PIECE_LEFT: 3}, 1: {packing.GAP_LEFT: 2, packing.PIECE_LEFT: 4}, 3: {packing.GAP_LEFT: 6}}
+    assert packing.ranges_between(left) == [(0, 2, 1, 0, 0, 2), (2, 4, 3, 0, 1, 3), (6, 1, 3, 4, 0, 0)]
+
+
+def test_pieces_equal_the_library(documents):
+    texts = [*ODD, "a\x1cb\x85c d", "The cat's <|endoftext|>end Ωσς Σ.", "word " * 40]
+    tokeniser = Tokenizer.from_file(PATH)
+    got = defaultdict(dict)
+    for r in packing.token_pieces(documents(list(enumerate(texts))), PATH, capacity=16).collect():
+        got[r.doc_id][r.piece] = r
+    for n, text in enumerate(texts):
+        ids = [*tokeniser.encode(text or "", add_special_tokens=False).ids, 1]
+        parts = [ids[at : at + 16] for at in range(0, len(ids), 16)]
+        assert len(got[n]) == len(parts)
+        for piece, part in enumerate(parts):
+            row = got[n][piece]
+            assert (row.start, row.length, bytes(row.ids)) == (16 * piece, len(part), struct.pack(f"<{len(part)}I", *part))
+
+
+def test_long_texts_go_word_by_word(monkeypatch):
+    own = packing.tokeniser(PATH)
+    text = "some words\u2003and\tmore\nwords " * 50
+    whole = own.encode(text)
+    monkeypatch.setattr(packing, "LONG", 5)
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 3)
+    assert own.encode(text) == whole

@@ -1,0 +1,100 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from llm.conftest import ODD, words_of
+
+from tickwatch.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+CLEAN = "the cat sat on the mat and it was as happy as that old dog in the garden of his house for a day with us"
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def histogram(text, lang):
+    text = text or ""
+    space = len(re.findall(r"[\x20\x09-\x0D]", text))
+    symbol = sum(text.count(c) for c in "#*$%&|<>")
+    lower, upper, digit = sum(c.islower() and c.isalpha() for c in text), sum(c.isupper() for c in text), sum(c.isdigit() for c in text)
+    classes = [lower, upper, digit, space, symbol]
+    known = quality.COMMON_WORDS[lang]
+    slots = [0] * (quality.SLOTS + 1)
+    for word in WORD.findall(text):
+        slots[known.index(word) if word in known else -1] += 1
+    return [*classes, len(text) - sum(classes)], slots
+
+
+def distance(counts, reference):
+    p = [c / sum(counts) for c in counts]
+    q = [c / sum(reference) for c in reference]
+    m = [(a + b) / 2 for a, b in zip(p, q)]
+    kl = lambda x: sum(a * math.log2(a / b) for a, b in zip(x, m) if a)
+    return math.sqrt(max(0.0, (kl(p) + kl(q)) / 2))
+
+
+TEXTS = [
+    *ODD, CLEAN * 3, "a b c a b c a b c d", "a a a a a", "x y\n x y\nx y\n\n\n \nx y", "#*$%&|<> #1", "a\x0bb\x0cc\rd\te",
+    " ".join(f"r{n % 40}" for n in range(400)), words_of(2000, 1, 30), words_of(500, 2, 5000),
+]
+
+
+def test_base_counts_equal_brute_force(documents):
+    rows = list(enumerate(TEXTS))
+    made = quality.judge(documents(rows)).collect()
+    assert len(made) == len(rows)
+    for r in made:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base(TEXTS[r.doc_id]), r.doc_id
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def test_distances_equal_brute_force(documents):
+    texts = [CLEAN, CLEAN.upper() * 2, words_of(120, 3), "the of and " * 40, CLEAN.replace(" ", " | ") * 3]
+    sums = [[sum(c) for c in zip(*part)] for part in zip(*[histogram(t, "en") for t in texts])]
+    rules = quality.Rules(least_chars=1, least_judged_words=1)
+    for r in quality.judge(documents(list(enumerate(texts))), rules).collect():
+        classes, words = histogram(texts[r.doc_id], "en")
+        assert r.class_distance == pytest.approx(distance(classes, sums[0]), abs=1e-9)
+        assert r.word_distance == pytest.approx(distance(words, sums[1]), abs=1e-9)
+
+
+def test_junk_goes_and_clean_texts_stay(documents):
+    import random
+
+    source = random.Random(1)
+    vocabulary = quality.COMMON_WORDS["en"][:12] * 3 + [f"noun{chr(97 + n)}" for n in range(26)] * 2
+    prose = lambda: " ".join(source.choice(vocabulary) for _ in range(150))
+    junk = [" | ".join(f"cell{source.randrange(10_000)}" for _ in range(150)), " ".join(f"{w.upper()}!!" for w in prose().split())]
+    rows = [(n, prose()) for n in range(60)] + [(100 + n, text) for n, text in enumerate(junk)]
+    kept = {r.doc_id for r in quality.judge(documents(rows)).where("kept").collect()}
+    assert kept == set(range(60))
+
+
+def test_short_and_unknown_languages_are_not_judged_by_words(documents):
+    made = quality.judge(documents([(1, words_of(100, 1)), (2, "few words")], lang="xx")).collect()
+    assert {r.doc_id: (r.class_distance is None, r.word_distance is None) for r in made} == {1: (False, True), 2: (True, True)}
+    assert quality.judge(documents([(1, words_of(100, 1))], lang=None)).first().word_distance is None
+
+
+def test_clashing_columns_no_language_and_empty(documents, spark):
+    df = spark.createDataFrame([(1, CLEAN, "w", "z", 3)], "doc_id BIGINT, text STRING, words STRING, `lower` STRING, KEPT INT")
+    made = quality.judge(df)
+    assert made.columns == ["doc_id", "text", "words", "lower", *quality.RESULTS]
+    assert made.first().words == "w" and made.first()["lower"] == "z"
+    assert quality.judge(df.limit(0)).count() == 0
+
+
+def test_no_python_on_the_path(documents):
+    plan = quality.judge(documents([(1, CLEAN)]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,87 @@
+import hashlib
+import random
+import struct
+
+import public_tokenizers
+import pytest
+import sentencepiece
+import tiktoken
+from llm.conftest import ODD
+
+from tickwatch.llm import byte_bpe, queries, token_counts
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+ALPHABET = list("ab cdeé漢😀\n\t  ▁<>|'s.,#0123́\x00 !*")
+
+
+def random_texts(count, seed):
+    source = random.Random(seed)
+    return ["".join(source.choice(ALPHABET) for _ in range(source.randrange(60))) for _ in range(count)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = byte_bpe.codec(RANKS, public_tokenizers.PATTERN).ranks
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_equal_the_library_and_come_back(spark, library):
+    texts = [*ODD, *random_texts(500, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    encoded = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN)
+    rows = byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        text = texts[row.doc_id] or ""
+        ids = library.encode_ordinary(text)
+        assert bytes(row.ids) == struct.pack(f"<{len(ids)}I", *ids)
+        assert bytes(row.decoded) == text.encode()
+
+
+def test_long_texts_are_matched_in_parts(monkeypatch, library):
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    text = " ".join(random_texts(300, 2))
+    whole = codec.encode(text)
+    monkeypatch.setattr(byte_bpe, "LONG", 10)
+    monkeypatch.setattr(byte_bpe, "MATCHES", 7)
+    assert codec.encode(text) == whole and codec.decode(whole) == text.encode()
+
+
+def test_ranks_must_be_whole():
+    with pytest.raises(ValueError, match="gaps"):
+        byte_bpe.serialised_model({b"a": 0, b"b": 2})
+
+
+def test_byte_query_on_given_documents(spark, library, tmp_path):
+    texts = random_texts(40, 3)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    for row in queries.QUERIES["op2_byte_bpe"](spark, str(tmp_path)).collect():
+        ids = library.encode_ordinary(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_counts_equal_the_library(spark):
+    texts = [*ODD, *random_texts(500, 4), "  two  spaces ", "line\nline\n\n"]
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    for row in token_counts.count_tokens(df, PIECES, limit=20).collect():
+        text = texts[row.doc_id] or ""
+        wanted = len(library.encode(text))
+        assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), wanted, wanted > 20)
+
+
+def test_chunks_are_merged_lowest_rank_first():
+    merges = token_counts.Merges({"a": 9.0, "b": 9.0, "c": 9.0, "ab": 2.0, "bc": 1.0, "abc": 3.0})
+    assert [merges.count(text) for text in ("", "a", "abc", "abab", "a?é")] == [0, 1, 1, 2, 4]
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, "a b", "kept", 7)], "doc_id BIGINT, text STRING, `odd name` STRING, N_TOKENS INT")
+    made = token_counts.count_tokens(df, PIECES)
+    assert made.columns == ["doc_id", "text", "odd name", "n_bytes", "n_tokens", "over_limit"]
+    assert made.first().n_tokens == 2
+    assert token_counts.count_tokens(df.limit(0), PIECES).count() == 0
+    assert byte_bpe.encode(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
