@@ -7,7 +7,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from tickwatch.operators.moves import known_market_moves, move_status_counts, price_moves
+from tickwatch.operators.moves import known_market_moves, move_rejects, move_status_counts, price_moves
 
 MINUTE = 60000
 BASE = 1718942400000  # a whole number of minutes
@@ -112,6 +112,16 @@ def test_ticks_that_cannot_take_part(texts):
         (7, '{"code":"A","trade_price":1,"timestamp":9223372036854775807}'),
     ]
     assert moves(texts, rows) == []
+    ticks = texts([(seq, BASE, text) for seq, text in rows])
+    reasons = [r.reason for r in move_rejects(ticks).orderBy("seq").collect()]
+    assert reasons == ["no tick", "no code", "no price", "no price", "no time", "no time", "time out of range"]
+
+
+def test_times_far_beyond_the_calendar(texts):
+    ticks = texts([(1, BASE, tick("A", 400_000_000_000_000, 5.0))])
+    counted = price_moves(ticks).selectExpr("count(*)", "min(unix_millis(window_end))").first()
+    assert counted[0] == 5 and counted[1] > 400_000_000_000_000 - MINUTE
+    assert move_rejects(ticks).count() == 0
 
 
 def test_record_time_stands_in_for_an_absent_time(texts):

@@ -131,3 +131,13 @@ def test_durations():
     assert durations.label("1 second") == "1s"
     assert durations.label("1 hour") == "1h"
     assert durations.common_step("5 minutes", "2 minutes") == "60 seconds"
+
+
+def test_rounding_of_large_numbers(spark):
+    source = random.Random(9)
+    numbers = [1e13 + 0.125, 4e13 + 7 / 128, -4e13 - 7 / 128, 2.0**46 + 1 / 64, 1e15 + 0.5, -1e16, 1e300, float("inf")]
+    numbers += [source.choice([-1, 1]) * source.uniform(1e12, 1e14) for _ in range(3000)]
+    numbers += [source.randrange(2**44, 2**47) + source.randrange(128) / 128 for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x DOUBLE")
+    for got, x in zip([r[0] for r in df.select(round_half_even(F.col("x"), 2)).collect()], numbers):
+        assert got == round(x, 2), x

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.operators import serving
 from tickwatch.operators.quantiles import exact_quantile
+from tickwatch.streaming import sinks
 from tickwatch.schemas import HEALTH_COLUMNS
 
 SCHEMA = "ms BIGINT, " + ", ".join(f"{n} {k}" for n, k in HEALTH_COLUMNS.items() if n != "checked_at")
@@ -67,9 +68,9 @@ def test_history(spark):
     assert [r.ms for r in serving.market_history(frame, "B").collect()] == [2, 1]
 
 
-def quantile(spark, numbers, q, accuracy=10000):
+def quantile(spark, numbers, q, accuracy=10000, few=100):
     df = spark.createDataFrame([(x,) for x in numbers], "x DOUBLE").repartition(4)
-    return exact_quantile(df, "x", q, accuracy).first()["quantile"]
+    return exact_quantile(df, "x", q, accuracy, few)
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.95, 0.999, 1.0])
@@ -83,7 +84,7 @@ def test_quantile(spark, q, shape):
         "one": [4.0],
     }[shape]
     # A rough sketch still has to lead to the exact value.
-    for accuracy in (10000, 50):
+    for accuracy in (10000, 100):
         assert quantile(spark, numbers, q, accuracy) == pytest.approx(np.quantile(numbers, q), rel=1e-12)
 
 
@@ -106,3 +107,18 @@ def test_summary(spark):
 def test_summary_of_nothing(spark):
     got = serving.experiment_summary(metrics(spark, [])).first()
     assert (got.samples, got.p95_latency_ms, got.error_rate_percentage) == (0, None, 0.0)
+
+
+def test_stored_rows_are_read_from_the_newest_days(spark, tmp_path):
+    rows = [row(s * 7200000, count=s) for s in range(1, 60)]
+    path = str(tmp_path / "t")
+    sinks.write_by_day(metrics(spark, rows), path, 0)
+    assert serving.stored_latest(spark, path).first().total_collected_count == 59
+    got = serving.stored_recent(spark, path, 20)
+    assert [r.total_collected_count for r in got.collect()] == list(range(59, 39, -1))
+    assert len({f.split("checked_date=")[1][:10] for f in got.inputFiles()}) == 5 or "PartitionFilters" in str(
+        got._jdf.queryExecution().executedPlan()
+    )
+    empty = str(tmp_path / "none")
+    sinks.write_by_day(metrics(spark, rows), empty, 0)
+    assert serving.newest_days(serving.stored(spark, empty).limit(0), 5).count() == 0

@@ -17,25 +17,39 @@ def item(market, korean, **flags):
     }
 
 
-def test_market_feed_keeps_array_and_file_order(spark, tmp_path):
-    replies = [[item("A", "first"), item("B", "b"), item("A", "second", PRICE_FLUCTUATIONS=True)], [item("B", "later")]]
+def test_market_feed_is_the_newest_reply_in_array_order(spark, tmp_path):
+    replies = [[item("B", "later")], [item("A", "first"), item("B", "b"), item("A", "second", PRICE_FLUCTUATIONS=True)]]
     for number, reply in enumerate(replies):
         path = tmp_path / f"reply-{1 - number}.json"
         path.write_text(json.dumps(reply, indent=1, ensure_ascii=False))
         os.utime(path, (1000 + number, 1000 + number))
     feed = files.read_market_feed(spark, str(tmp_path))
-    assert feed.count() == 4
+    assert feed.count() == 3
     got = {r.market: (r.korean_name, r.price_fluc) for r in flatten_feed(feed).collect()}
-    assert got == {"A": ("second", True), "B": ("later", False)}
+    assert got == {"A": ("second", True), "B": ("b", False)}
 
 
-@pytest.mark.parametrize("reply", ['{"error": "limit"}', "[{", '[{"market": "A"}]', '[{"market": 1, "korean_name": ["x"]'])
+ONE = '{"market":"A","korean_name":"a","english_name":"a"}'
+
+
+@pytest.mark.parametrize(
+    "reply",
+    [
+        '{"error": "limit"}', "[{", '[{"market": "A"}]', '[{"market": 1, "korean_name": ["x"]', "", "  \n", "null", ONE, "[]",
+        f"[{ONE}] garbage", f"[{ONE}][{ONE}]", f'[{ONE}],"x":[1]', f"[{ONE}]}}", f"{ONE},{ONE}",
+    ],
+)
 def test_a_broken_reply_fails(spark, tmp_path, reply):
     (tmp_path / "a.json").write_text(reply)
-    with pytest.raises(Exception, match="feed entry without|MALFORMED"):
+    with pytest.raises(Exception, match="feed entry without|MALFORMED|not one list|feed reply is empty"):
         files.read_market_feed(spark, str(tmp_path)).collect()
 
 
+def test_an_empty_reply_may_be_allowed(spark, tmp_path):
+    (tmp_path / "a.json").write_text(" [ ] \n")
+    assert files.read_market_feed(spark, str(tmp_path), allow_empty=True).count() == 0
+
+
 def test_markets_round_trip(spark, tmp_path):
     feed_dir = tmp_path / "feed"
     feed_dir.mkdir()
@@ -61,8 +75,6 @@ def test_jdbc_append_options():
     assert options == {"url": "jdbc:x", "dbtable": "t", "batchsize": "50", "user": "u"}
 
 
-def test_only_small_tables_are_dealt_out(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert files.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    large = spark.range(0, 1000, 1, files.FEW_SPLITS)
-    assert files.spread(large).rdd.getNumPartitions() == files.FEW_SPLITS
+def test_jobs_append_with_their_batch_sizes():
+    for make in (jdbc.health_appender, jdbc.market_health_appender, jdbc.moves_appender):
+        assert callable(make("jdbc:x", "t", {}, connections=2))

@@ -6,7 +6,7 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from tickwatch import settings
-from tickwatch.operators import metrics, moves, quality
+from tickwatch.operators import metrics, moves, quality, serving
 from tickwatch.operators.ticks import metric_events
 from tickwatch.plans.queries import QUERIES
 from tickwatch.sources.files import read_tick_lines, stream_table
@@ -122,7 +122,7 @@ def test_routed_outputs_arrive_once(spark, texts, tmp_path):
     write = sinks.routed_outputs(lambda: markets, str(tmp_path))
     for batch_id in (0, 1, 1):
         write(ticks, batch_id)
-    sizes = {o: spark.read.parquet(f"{tmp_path}/{o}").count() for o in quality.OUTPUTS}
+    sizes = {o: sinks.read_routed(spark, str(tmp_path), o).count() for o in quality.OUTPUTS}
     assert sizes == {"stored": 0, "dead_letter": 40, "skipped": 20, "unstorable": 20}
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
@@ -134,18 +134,25 @@ def test_routed_stream_of_lines(spark, tmp_path):
     stream = read_tick_lines(spark, str(tmp_path / "in"), streaming=True)
     write = sinks.routed_outputs(lambda: markets, str(tmp_path / "out"))
     runner.start_batches(stream, write, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
-    logs = {r.error_log.split(" | ")[0] for r in spark.read.parquet(str(tmp_path / "out" / "dead_letter")).collect()}
+    dead = sinks.read_routed(spark, str(tmp_path / "out"), "dead_letter")
+    assert sorted(dead.collect()) == sorted(dead.collect())
+    logs = {r.error_log.split(" | ")[0] for r in dead.collect()}
     assert logs == {"Malformed JSON", "Missing Field: trade_price"}
 
 
 def test_market_metric_table_layout(spark, tmp_path):
     rows = [(f"M{i % 7}", BASE + i * 3600000) for i in range(200)]
     frame = spark.createDataFrame(rows, "market STRING, ms BIGINT").withColumn("checked_at", F.timestamp_millis("ms"))
-    sinks.write_market_metrics(frame, str(tmp_path / "t"))
-    back = spark.read.parquet(str(tmp_path / "t"))
+    for batch_id in (3, 3):
+        sinks.write_by_day(frame, str(tmp_path / "t"), batch_id)
+    back = serving.stored(spark, str(tmp_path / "t"))
     assert back.count() == 200
-    day = [p for p in os.listdir(tmp_path / "t") if p.startswith("checked_date=")]
+    day = [p for p in os.listdir(tmp_path / "t" / "batch_id=3") if p.startswith("checked_date=")]
     assert len(day) == len({ms // 86400000 for _, ms in rows})
+    one = serving.stored_market_history(spark, str(tmp_path / "t"), "M3", since="2024-06-22")
+    assert [r.ms for r in one.collect()] == sorted((ms for m, ms in rows if m == "M3" and ms >= 1719014400000), reverse=True)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "checked_date" in plan.split("PartitionFilters")[1][:120] and "EqualTo(market,M3)" in plan
 
 
 def test_stream_table_reads_a_file_or_a_folder(spark, tmp_path):

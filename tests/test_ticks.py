@@ -5,7 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tickwatch.operators.ticks import decode, metric_events, publish_envelope, rename_long, to_json_value
+from tickwatch.operators.ticks import (
+    decode,
+    metric_events,
+    publish_envelope,
+    publish_rejects,
+    rename_long,
+    to_json_value,
+)
 
 NOW = 1718942400500
 
@@ -48,6 +55,8 @@ def judge(text, unknown):
     market = tick.get("code") or tick.get("market")
     if unknown is not None:
         market = market or unknown
+    if market is not None and not isinstance(market, str):
+        market = json.dumps(market)
     failed = (True, market, 0.0, 0.0)
     needed = [tick.get("trade_price"), tick.get("trade_volume"), tick.get("timestamp")]
     if None in needed or market is None:
@@ -83,13 +92,18 @@ NUMBERS = [
     "1.23456789012345678901234567890", "0.1", "123456789.987654321", "99999999999999999", "9007199254740993",
 ]
 NAMES = ['"A"', '"B"', '""', "null", '"한글"', '"a\\"b"', '"\\u00e9"']
-ENDINGS = ["", "", "", "", "", " ", " tail", "}", ",", "{}", ', {"code":"A"}']
+# Values that count as false, and texts that look like them.
+FALSE_LOOKING = ["0", "0.0", "-0", "0e5", "false", "[]", "{}", '"0"', '"false"', '"[]"', "7", "true"]
+ENDINGS = [
+    "", "", "", "", "", " ", " tail", "}", ",", "{}", ', {"code":"A"}', '],"x":[{}', '],"x":[', '],"end":true}', '],"end":true} [',
+    '],"end":true,"ticks":[{"code":"A"}',
+]
 
 
 def random_message(source):
     parts = []
     for field, tokens in (
-        ("code", NAMES), ("market", NAMES), ("trade_price", NUMBERS), ("trade_volume", NUMBERS), ("timestamp", NUMBERS),
+        ("code", NAMES + FALSE_LOOKING), ("market", NAMES), ("trade_price", NUMBERS), ("trade_volume", NUMBERS), ("timestamp", NUMBERS),
     ):
         # Plain values are likely, so that whole ticks come out valid too.
         plain = {"code": '"A"', "market": '"M"', "timestamp": "1718942400000"}.get(field, "2.5")
@@ -171,3 +185,22 @@ def test_rename(spark):
     assert [float(x) for x in new.first()[4:]] == [1.0, 1.0]
     given = rename_long(spark.createDataFrame([(2.5,), (None,)], "acc_ask_volume DOUBLE"))
     assert [float(r.acc_ask_volume) for r in given.collect()] == [2.5, 1.0]
+
+
+def test_texts_that_close_and_reopen_the_wrapper(texts):
+    one = MESSAGES[0]
+    endings = ['],"x":[{}', '],"x":[', '],"end":true}', '],"end":true} junk [', '],"end":true,"ticks":[{"code":"A"}', f",{one}"]
+    odd = [one + ending for ending in endings]
+    fine = [one[:-1] + ',"note":"]}","list":[1,[2]]}']
+    rows = metric_events(texts([(i, NOW, t) for i, t in enumerate(odd + fine)])).orderBy("seq").collect()
+    assert [r.is_error for r in rows] == [True] * len(odd) + [False]
+    ticks = texts([(i, NOW, t) for i, t in enumerate([*odd, *fine, None, "{"])])
+    assert [r.value for r in publish_envelope(ticks).collect()] == fine
+    assert sorted(r.seq for r in publish_rejects(ticks).collect()) == [*range(len(odd)), len(odd) + 1, len(odd) + 2]
+
+
+def test_a_code_that_counts_as_false_gives_way(texts):
+    make = lambda code: '{"code":%s,"market":"M","trade_price":1,"trade_volume":1,"timestamp":1}' % code
+    codes = ["0", "false", "[]", "{}", "0.0", '"0"', '"false"', "7"]
+    rows = metric_events(texts([(i, NOW, make(c)) for i, c in enumerate(codes)])).orderBy("seq").collect()
+    assert [r.market for r in rows] == ["M"] * 5 + ["0", "false", "7"]

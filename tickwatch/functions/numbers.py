@@ -16,6 +16,9 @@ _FLOAT_TEXT = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|
 _TRUE_TEXT = ("true", "True", "t", "1")
 _FALSE_TEXT = ("false", "False", "f", "0")
 
+# Texts that a JSON value that counts as false is decoded to.
+_FALSE_LOOKING = r"^(-?0(\.0+)?([eE][+-]?\d+)?|false|\[\]|\{\})$"
+
 
 def is_given(value: Column) -> Column:
     """The field is there and is not JSON null."""
@@ -68,16 +71,17 @@ def first_text(*candidates: Column, default: str | None = None) -> Column:
     return F.coalesce(*chosen, F.nullif(last, F.lit("")), F.lit(default))
 
 
-def round_half_even(value: Column, digits: int = 2) -> Column:
-    """Round the binary value itself, ties to even, as IEEE-correct printing does.
+def truthy_text(text: Column, source: Column, field: str) -> Column:
+    """A decoded text, null where the JSON value behind it counts as false: 0, false, [] or {}.
 
-    Spark's ``round`` and ``bround`` round the shortest decimal text instead:
-    0.015 is stored below the tie, yet both give 0.02. Here the value is compared
-    with the midpoint above ``floor``. Where it equals the stored midpoint, the
-    sign of that midpoint's own error decides; the error is found exactly by
-    splitting the midpoint into two halves whose products do not round.
+    Only texts that look so are looked up again in the source, to tell ``0`` from ``"0"``.
     """
-    scale = float(10**digits)
+    kind = F.schema_of_variant(F.from_json(source, f"{field} VARIANT", {"allowSingleQuotes": "false"})[field])
+    return F.when(text.rlike(_FALSE_LOOKING), F.when(kind == "STRING", text)).otherwise(text)
+
+
+def _rounded_below(value: Column, scale: float) -> tuple[Column, Column]:
+    """The floor of the scaled value, and whether the value rounds up from there, ties to even."""
     down = F.floor(value * F.lit(scale)).cast("double")
     odd = down * 2.0 + 1.0
     middle = odd / F.lit(2 * scale)
@@ -86,7 +90,28 @@ def round_half_even(value: Column, digits: int = 2) -> Column:
     low = middle - high
     error = (odd - high * F.lit(2 * scale)) - low * F.lit(2 * scale)
     up = (value > middle) | ((value == middle) & ((error < 0) | ((error == 0) & (down % 2 != 0))))
-    # Beyond this size a double has no digits left to round; NaN also lands here.
-    return F.when(F.abs(value) < 1e13, (down + F.when(up, 1.0).otherwise(0.0)) / F.lit(scale)).otherwise(
-        F.round(value, digits)
+    return down, F.when(up, 1.0).otherwise(0.0)
+
+
+def round_half_even(value: Column, digits: int = 2) -> Column:
+    """Round the binary value itself, ties to even, as IEEE-correct printing does.
+
+    Spark's ``round`` and ``bround`` round the shortest decimal text instead:
+    0.015 is stored below the tie, yet both give 0.02. Here the value is compared
+    with the midpoint above ``floor``. Where it equals the stored midpoint, the
+    sign of that midpoint's own error decides; the error is found exactly by
+    splitting the midpoint into two halves whose products do not round.
+
+    Where twice the scaled value has no room for a last bit, whole and fraction are
+    rounded apart. From 2**53 / scale on, neighbouring doubles lie so far apart that
+    the value is its own nearest; infinities and NaN land there too.
+    """
+    scale = float(10**digits)
+    down, up = _rounded_below(value, scale)
+    whole = F.floor(value).cast("double")
+    part_down, part_up = _rounded_below(value - whole, scale)
+    return (
+        F.when(F.abs(value) < 2.0**51 / scale, (down + up) / F.lit(scale))
+        .when(F.abs(value) < 2.0**53 / scale, whole + (part_down + part_up) / F.lit(scale))
+        .otherwise(value)
     )

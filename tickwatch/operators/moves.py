@@ -12,8 +12,11 @@ from tickwatch.functions.numbers import round_half_even
 from tickwatch.operators.ticks import decode_numbers
 from tickwatch.schemas import MOVE_COLUMNS, typed
 
-# Epoch milliseconds of the years 0001 and 9999, the ends of what a timestamp holds.
-_FIRST_MS, _LAST_MS = -62135596800000, 253402300799999
+# A timestamp holds about 9.22e15 milliseconds either way; this leaves room for windows of some centuries.
+_LAST_MS = 9_200_000_000_000_000
+
+# Why a tick takes no part.
+NO_TICK, NO_CODE, NO_PRICE, NO_TIME, OUT_OF_RANGE = "no tick", "no code", "no price", "no time", "time out of range"
 
 # Room for any arrival number, of either sign, between two neighbouring milliseconds.
 _PER_MS = "100000000000000000000"
@@ -28,13 +31,44 @@ def priced_ticks(
 ) -> DataFrame:
     """Decode to (market_code, event_ms, event_time, price, arrival).
 
-    Ticks without a code, a price or a time cannot take part and are dropped.
-    A tick that has no ``timestamp`` field takes the time of its record, if
+    Ticks without a code, a price or a time cannot take part; ``move_rejects`` has
+    them. A tick that has no ``timestamp`` field takes the time of its record, if
     ``record_time`` names that column. ``valid_only`` also drops what the global
     health rules call an error.
     """
-    fields = {"code": "string", "trade_price": "double", "timestamp": "bigint"}
+    prices = _decoded(df, arrival, record_time, valid_only, value).where(_reject_reason().isNull())
     if valid_only:
+        prices = prices.where(
+            (F.col("market_code") != "") & (F.col("price") > 0) & (F.col("volume") >= 0) & (F.col("sent") > 0)
+        )
+    return prices.select(
+        "market_code", "event_ms", F.timestamp_millis("event_ms").alias("event_time"), "price", "arrival"
+    )
+
+
+def move_rejects(
+    df: DataFrame, arrival: str = "seq", record_time: str | None = None, value: str = "value"
+) -> DataFrame:
+    """(arrival, reason) of the ticks that cannot take part in price moves."""
+    rows = _decoded(df, arrival, record_time, False, value).withColumn("reason", _reject_reason())
+    return rows.where(F.col("reason").isNotNull()).select(F.col("arrival").cast("bigint").alias(arrival), "reason")
+
+
+def _reject_reason() -> Column:
+    """Why a decoded tick cannot take part, null if it can."""
+    in_range = F.col("event_ms").between(-_LAST_MS, _LAST_MS)
+    return (
+        F.when(~F.col("is_tick"), NO_TICK)
+        .when(F.col("market_code").isNull(), NO_CODE)
+        .when(F.col("price").isNull(), NO_PRICE)
+        .when(F.col("event_ms").isNull(), NO_TIME)
+        .when(~in_range, OUT_OF_RANGE)
+    )
+
+
+def _decoded(df: DataFrame, arrival: str, record_time: str | None, with_volume: bool, value: str) -> DataFrame:
+    fields = {"code": "string", "trade_price": "double", "timestamp": "bigint"}
+    if with_volume:
         fields |= {"trade_volume": "double"}
     kept = [arrival] if record_time is None else [arrival, record_time]
     sent = F.col("tick.timestamp")
@@ -43,26 +77,16 @@ def priced_ticks(
         absent = "timestamp"
         event_ms = F.when(F.col("tick_absent"), F.unix_millis(record_time)).otherwise(sent)
     columns = {
+        "is_tick": F.col("tick").isNotNull(),
         "market_code": F.col("tick.code"),
         "event_ms": event_ms,
         "price": F.col("tick.trade_price"),
         "arrival": F.col(arrival).cast("decimal(20,0)"),
     }
-    if valid_only:
+    if with_volume:
         columns |= {"volume": F.col("tick.trade_volume"), "sent": sent}
     ticks = decode_numbers(df.select(*kept, value), fields, value, absent=absent)
-    prices = computed_once(ticks, [], columns).where(
-        F.col("market_code").isNotNull()
-        & F.col("price").isNotNull()
-        & F.col("event_ms").between(_FIRST_MS, _LAST_MS)
-    )
-    if valid_only:
-        prices = prices.where(
-            (F.col("market_code") != "") & (F.col("price") > 0) & (F.col("volume") >= 0) & (F.col("sent") > 0)
-        )
-    return prices.select(
-        "market_code", "event_ms", F.timestamp_millis("event_ms").alias("event_time"), "price", "arrival"
-    )
+    return computed_once(ticks, [], columns)
 
 
 def _first_and_last(rows: DataFrame, window: Column) -> DataFrame:

@@ -72,7 +72,7 @@ def validate(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
-    """One row per tick with what decides its outcome.
+    """One row per tick with what decides its outcome, and its load time ``created_at``.
 
     A tick that breaks a rule is a dead letter; one of an unknown market is skipped;
     one that does not fit the storage columns is unstorable; the rest is stored.
@@ -86,7 +86,9 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     # market alone the distinct markets would lie right already and not be shuffled.
     known = markets.select(F.col("market").alias("_known")).distinct()
     known = known.withColumn("_known_sum", F.crc32("_known"))
-    joined = checked.withColumns({"_code": lookup, "_code_sum": F.crc32(lookup)}).join(
+    # Ticks that look nothing up match no market whatever their sum; theirs spreads them.
+    code_sum = F.coalesce(F.crc32(lookup), F.crc32("raw_data"))
+    joined = checked.withColumns({"_code": lookup, "_code_sum": code_sum}).join(
         known, (F.col("_code") == F.col("_known")) & (F.col("_code_sum") == F.col("_known_sum")), "left"
     )
     rest = [name for name in checked.columns if name != "unread"]
@@ -97,6 +99,7 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
         *rest,
         F.col("_known").isNotNull().alias("is_known"),
         F.when(may_store, F.nullif(problems, F.lit(""))).alias("save_error"),
+        F.current_timestamp().alias("created_at"),
     )
 
 
@@ -113,13 +116,13 @@ def outcome() -> Column:
 def stored(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ticks in storage columns, with their load time."""
     fits = F.col("error_log").isNull() & F.col("is_known") & F.col("save_error").isNull()
-    return routed.where(fits).select(*keep, "saved.*", F.current_timestamp().alias("created_at"))
+    return routed.where(fits).select(*keep, "saved.*", "created_at")
 
 
 def dead_letters(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Whole payload and all reasons of the ticks that break a rule."""
     return routed.where(F.col("error_log").isNotNull()).select(
-        *keep, "raw_data", "error_log", F.current_timestamp().alias("created_at")
+        *keep, "raw_data", "error_log", "created_at"
     )
 
 

@@ -2,56 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from math import ceil, floor
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# So many different values are few enough to be ranked in one place.
+FEW = 20_000
+
+
+def value_at(values: DataFrame, rank: int, accuracy: int = 10000, few: int = FEW) -> float:
+    """The value at a rank (from 0) of the column ``v``, which holds no nulls.
+
+    A mergeable sketch with a rank error of 1/accuracy brackets the rank. Rows below
+    the bracket are only counted, and rows inside go on to the next pass, until at
+    most ``few`` different values are left for the driver. A bracket that misses the
+    rank is an error, never a wrong answer.
+    """
+    while True:
+        folded = values.groupBy("v").agg(F.count("*").alias("n"))
+        held = folded.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
+        if held["kinds"] <= few:
+            break
+        margin = 2.0 / accuracy
+        bracket = [max(rank / held["n"] - margin, 0.0), min(rank / held["n"] + margin, 1.0)]
+        low, high = values.agg(F.percentile_approx("v", bracket, accuracy)).first()[0]
+        rank -= values.where(F.col("v") < low).count()
+        values = values.where(F.col("v").between(low, high))
+        if low == high and 0 <= rank < values.count():
+            return low
+    if rank >= 0:
+        for row in sorted(folded.collect()):
+            if rank < row["n"]:
+                return row["v"]
+            rank -= row["n"]
+    raise ValueError("the sketch missed the rank")
+
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10000) -> DataFrame:
-    """One row ``quantile``: linear interpolation between the two nearest ranks.
+def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10000, few: int = FEW) -> float | None:
+    """Quantile by linear interpolation between the two nearest ranks; null without values.
 
-    ``percentile`` would keep every distinct value in one task. Here a mergeable
-    sketch with a rank error of 1/accuracy brackets the wanted rank. Rows outside
-    the bracket are only counted; those inside, about 4/accuracy of all and folded
-    by value, are ranked. A bracket that misses the rank is an error, never a
-    wrong answer.
+    ``percentile`` would keep every distinct value in one task; a window over all rows
+    would sort them in one.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    margin = 2.0 / accuracy
-    bracket = [max(q - margin, 0.0), min(q + margin, 1.0)]
-    sketch = values.agg(F.percentile_approx("v", bracket, accuracy).alias("ends"))
-    low, high = (sketch.select(F.col("ends")[i]).scalar() for i in (0, 1))
-    side = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
-    folded = (
-        values.select(side.alias("side"), "v")
-        .groupBy("side", F.when(F.col("side") == 0, F.col("v")).alias("inside"))
-        .agg(F.count("*").alias("n"), F.min("v").alias("lowest"), F.max("v").alias("highest"))
-    )
-    in_order = Window.orderBy("side", "inside")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = folded.select(
-        "side",
-        "n",
-        "lowest",
-        "highest",
-        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        (F.lit(q) * (F.sum("n").over(whole) - 1)).alias("place"),
-    )
-
-    def value_at(rank: Column) -> Column:
-        # Of the rows outside, the neighbours of the bracket are known as well.
-        outside = F.when((F.col("side") > 0) & (rank == F.col("upto") - F.col("n")), F.col("lowest")).when(
-            (F.col("side") < 0) & (rank == F.col("upto") - 1), F.col("highest")
-        )
-        found = F.when(F.col("side") == 0, F.col("lowest")).otherwise(outside)
-        return F.min_by(found, F.when(F.col("upto") > rank, F.col("upto")))
-
-    ends = ranked.agg(
-        value_at(F.floor("place")).alias("below"),
-        value_at(F.ceil("place")).alias("above"),
-        F.max(F.col("place") - F.floor("place")).alias("part"),
-    )
-    missed = F.col("part").isNotNull() & (F.col("below").isNull() | F.col("above").isNull())
-    between = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
-    return ends.select(
-        F.when(missed, F.raise_error(F.lit("the sketch missed the rank"))).otherwise(between).alias("quantile")
-    )
+    count = values.count()
+    if not count:
+        return None
+    place = q * (count - 1)
+    below = value_at(values, floor(place), accuracy, few)
+    above = value_at(values, ceil(place), accuracy, few) if place % 1 else below
+    return below + (above - below) * (place - floor(place))

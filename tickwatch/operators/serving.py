@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.operators.quantiles import exact_quantile
@@ -67,6 +67,47 @@ def recent_response(metrics: DataFrame, limit: object = DEFAULT_LIMIT) -> DataFr
     )
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A metric table by day, as ``sinks.write_by_day`` writes it; ``checked_date`` prunes folders."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def newest_days(table: DataFrame, rows: int) -> DataFrame:
+    """The days of a stored table that hold its newest rows, at least as many as asked for.
+
+    Rows of the days are counted from file footers; all older days are left unread.
+    """
+    days = table.groupBy("checked_date").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("checked_date")).limit(rows)
+    held, first = 0, None
+    for day in days.collect():
+        held, first = held + day["n"], day["checked_date"]
+        if held >= rows:
+            break
+    return table.where(F.lit(False) if first is None else F.col("checked_date") >= F.lit(first))
+
+
+def stored_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest metric row of a stored table, or none."""
+    return latest(newest_days(stored(spark, path), 1))
+
+
+def stored_recent(spark: SparkSession, path: str, limit: object = DEFAULT_LIMIT) -> DataFrame:
+    """The newest metric rows of a stored table, newest first."""
+    return recent(newest_days(stored(spark, path), clamp_limit(limit)), limit)
+
+
+def stored_market_history(
+    spark: SparkSession, path: str, market: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """One market's rows of a stored table, newest first, from and to a day if given."""
+    rows = stored(spark, path)
+    if since is not None:
+        rows = rows.where(F.col("checked_date") >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.where(F.col("checked_date") <= F.lit(until).cast("date"))
+    return market_history(rows, market).drop("checked_date")
+
+
 def market_history(market_metrics: DataFrame, market: str | None = None) -> DataFrame:
     """Metric rows by market, newest first; one market's rows if named."""
     rows = market_metrics if market is None else market_metrics.where(F.col("market") == market)
@@ -88,7 +129,7 @@ def experiment_summary(metrics: DataFrame) -> DataFrame:
         F.max("max_latency_ms").alias("max_latency_ms"),
         (F.try_divide(F.sum(errors), F.sum(collected)) * 100).alias("error_rate_percentage"),
     )
-    p95 = exact_quantile(metrics, "average_latency_ms", 0.95).scalar()
+    p95 = F.lit(exact_quantile(metrics, "average_latency_ms", 0.95)).cast("double")
     return figures.select(
         "samples",
         "mean_throughput",

@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.functions.barrier import computed_once
-from tickwatch.functions.numbers import as_decimal, as_flag, as_float, as_int, first_text, is_given, is_negative
+from tickwatch.functions.numbers import (
+    as_decimal,
+    as_flag,
+    as_float,
+    as_int,
+    first_text,
+    is_given,
+    is_negative,
+    truthy_text,
+)
 from tickwatch.schemas import BACKFILL, SHORT_TO_LONG, STORAGE, StorageColumn
 
 _DECODED_AS = {column.field: column.decoded_as for column in STORAGE} | {"market": "string"}
@@ -29,8 +38,10 @@ def _parsed(value: str, members: dict[str, str], *flags: str) -> Column:
     """The text read as the one entry of a list, in an object with a last member ``end``.
 
     A parser that stops after the first object would accept whatever follows it.
-    Inside the list that is an error or a second entry, and brackets that close too
-    early hide the end. The locale only matters for numeric text: the default one
+    Inside the list that is an error or a second entry. A text that closes the list
+    itself, and perhaps opens another, is told by the members the object then has: it
+    cannot name its own digest as the last. Only texts with a closing bracket are
+    looked at for that. The locale only matters for numeric text: the default one
     would drop commas from it.
     """
     inner = ", ".join(f"{name}: {kind}" for name, kind in members.items())
@@ -38,8 +49,12 @@ def _parsed(value: str, members: dict[str, str], *flags: str) -> Column:
     options = {"allowSingleQuotes": "false", "locale": "de-CH"}
     if flags:
         options["columnNameOfCorruptRecord"] = flags[0]
-    text = F.concat(F.lit('{"ticks":['), F.col(value), F.lit('],"end":true}'))
-    return F.from_json(text, outer, options)
+    text, digest = F.col(value), F.sha2(F.col(value).cast("binary"), 256)
+    named = F.concat(F.lit('{"ticks":['), text, F.lit('],"'), digest, F.lit('":true}'))
+    members = F.map_keys(F.from_json(named, "MAP<STRING, STRING>", {"allowSingleQuotes": "false"}))
+    stays_inside = ~F.contains(text, F.lit("]")) | members.eqNullSafe(F.array(F.lit("ticks"), digest))
+    wrapped = F.concat(F.lit('{"ticks":['), text, F.lit('],"end":true}'))
+    return F.from_json(F.when(stays_inside, wrapped), outer, options)
 
 
 def _only(read: str) -> Column:
@@ -179,9 +194,8 @@ def _judged(df: DataFrame, require_market: bool, market: Column, ingest: str, va
         broken = broken | market.isNull()
     broken = broken | (price <= 0) | (volume < 0) | (sent <= 0)
     latency = F.unix_micros(ingest) / F.lit(1000.0) - sent
-    judged = decode_numbers(df, METRIC_FIELDS, value).select(
-        *rest, "tick", market.alias("market"), broken.alias("is_error")
-    )
+    decoded = decode_numbers(df.withColumn("_source", F.col(value)), METRIC_FIELDS, value)
+    judged = decoded.select(*rest, "tick", market.alias("market"), broken.alias("is_error"))
     return judged.select(
         *rest,
         "is_error",
@@ -197,13 +211,15 @@ def metric_events(
     """Turn every tick text into one judged event; bad text is an error event.
 
     ``global`` rules need a market; ``market`` rules count a tick without one
-    under UNKNOWN. Latency runs from the tick's own time to the ingest column,
-    never below zero. All input columns but the text are kept.
+    under UNKNOWN. A code that counts as false, such as 0, gives way to the market.
+    Latency runs from the tick's own time to the ingest column, never below zero. All
+    input columns but the text are kept.
     """
-    code, market = F.col("tick.code"), F.col("tick.market")
+    code, market = truthy_text(F.col("tick.code"), F.col("_source"), "code"), F.col("tick.market")
     if rules == "global":
         return _judged(df, True, first_text(code, market), ingest, value)
     if rules == "market":
+        market = truthy_text(market, F.col("_source"), "market")
         return _judged(df, False, first_text(code, market, default="UNKNOWN"), ingest, value)
     raise ValueError(f"rules must be 'global' or 'market', not {rules!r}")
 
@@ -213,9 +229,9 @@ def publish_envelope(
 ) -> DataFrame:
     """Key and value to publish: the first key field the tick has, else ``unknown``.
 
-    Text that is not one JSON object is not published. With the single field
-    ``cd`` every long-named tick shares the key ``unknown`` and so one partition
-    of the topic; ``("code", "cd")`` spreads them by market.
+    Text that is not one JSON object is not published; ``publish_rejects`` has it.
+    With the single field ``cd`` every long-named tick shares the key ``unknown`` and
+    so one partition of the topic; ``("code", "cd")`` spreads them by market.
     """
     decoded = decode(df.select(value, F.col(value).alias("_text")), key_fields, value)
     found = computed_once(decoded, ["_text"], {"tick": F.col("tick")}).where(F.col("tick").isNotNull())
@@ -226,6 +242,14 @@ def publish_envelope(
     return found.select(*columns)
 
 
+def publish_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """The rows whose text is not one JSON object, with all their columns."""
+    decoded = decode(df.withColumn("_text", F.col(value)), (), value)
+    kept = [name for name in df.columns if name != value]
+    found = computed_once(decoded, [*kept, "_text"], {"tick": F.col("tick")}).where(F.col("tick").isNull())
+    return found.select(*kept, F.col("_text").alias(value))
+
+
 def to_json_value(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Structured ticks as one JSON text each; text beyond ASCII stays as it is."""
     return df.select(F.to_json(F.struct(*(columns or df.columns))).alias("value"))

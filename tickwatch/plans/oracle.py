@@ -6,18 +6,28 @@ the definition of the inputs and nothing else.
 
 from __future__ import annotations
 
-from tickwatch.plans.views import FULL_FIELDS, MALFORMED_TEXT, PRICE_TOKEN, SHORT_FIELDS, VOLUME_TOKEN
+from tickwatch.plans.views import (
+    FULL_FIELDS,
+    MALFORMED_TEXT,
+    PRICE_TOKEN,
+    REOPENING_TEXT,
+    SHORT_FIELDS,
+    VOLUME_TOKEN,
+)
 from tickwatch.schemas import CAUTION_FLAGS, SHORT_TO_LONG
 
-_CLEAN = """clean AS (
-  SELECT event_id AS tick_id, 'MKT-' || upper(event_type) AS code,
-         epoch_us(ts) // 1000 AS event_ms,
-         epoch_us(ts) // 1000 + (event_id * 37) % 2500 - 100 AS ingest_ms,
+_CLEAN = """timed AS (
+  SELECT *, epoch_us(ts) // 1000 AS ms FROM events),
+clocked AS (
+  SELECT *, CASE WHEN event_id % 5 = 0 THEN ms - ms % 3600000 ELSE ms END AS event_ms FROM timed),
+clean AS (
+  SELECT event_id AS tick_id, 'MKT-' || upper(event_type) AS code, event_ms,
+         event_ms + (event_id * 37) % 2500 - 100 AS ingest_ms,
          1000 + value / 5 AS price, CAST(1 + event_id % 7 AS DOUBLE) AS volume,
          CASE event_id % 3 WHEN 0 THEN 'RISE' WHEN 1 THEN 'EVEN' ELSE 'FALL' END AS change,
          CASE WHEN event_id % 10 = 0 THEN 'SNAPSHOT' ELSE 'REALTIME' END AS stream_type,
          event_id % 40 AS fault
-  FROM events)"""
+  FROM clocked)"""
 
 _PRICE = "CASE fault WHEN 0 THEN -1.0 WHEN 9 THEN 0.0 ELSE price END"
 
@@ -31,10 +41,10 @@ def _judged(bad: str, market: str) -> str:
 
 
 _GLOBAL = _judged(
-    "0, 1, 2, 3, 5, 9, 11", "CASE WHEN fault IN (2, 5) THEN NULL WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"
+    "0, 1, 2, 3, 5, 9, 11, 12, 15", "CASE WHEN fault IN (2, 5, 15) THEN NULL WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"
 )
 _MARKET = _judged(
-    "0, 1, 2, 3, 9, 11", "CASE WHEN fault IN (2, 5) THEN 'UNKNOWN' WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"
+    "0, 1, 2, 3, 9, 11, 12, 15", "CASE WHEN fault IN (2, 5, 15) THEN 'UNKNOWN' WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"
 )
 
 
@@ -72,12 +82,13 @@ def _market_health(step: int, label: str, closed_only: bool = False) -> str:
 _SECOND, _HOUR_MS = 1000, 3600000
 
 
-def _moves(size: int, slide: int, left_out: str, closed_after: int | None = None) -> str:
+def _moves(size: int, slide: int, left_out: str, closed_after: int | None = None, time: str = "event_ms") -> str:
     closed = ""
     if closed_after is not None:
         closed = f"AND start_ms + {size} <= (SELECT max(event_ms) FROM priced) - {closed_after}"
     return f"""priced AS (
-  SELECT tick_id, event_ms, CASE WHEN fault = 10 THEN 'MKT-NONE' ELSE code END AS market_code, {_PRICE} AS price
+  SELECT tick_id, {time} AS event_ms, {_PRICE} AS price,
+         CASE fault WHEN 10 THEN 'MKT-NONE' WHEN 16 THEN '0' ELSE code END AS market_code
   FROM clean WHERE fault NOT IN ({left_out})),
 spread AS (
   SELECT *, (event_ms // {slide} - step) * {slide} AS start_ms
@@ -98,7 +109,7 @@ moves AS (
   FROM rated)"""
 
 
-_UNPRICED = "1, 2, 5, 6, 11"
+_UNPRICED = "1, 2, 5, 6, 11, 15"
 _SIX_HOURS = 6 * _HOUR_MS
 
 
@@ -110,21 +121,22 @@ def _text(full: bool) -> str:
         quote = "" if numeric else '"'
         pieces.append(f"""coalesce(',"{name}":{quote}' || CAST({sql} AS VARCHAR) || '{quote}', '')""")
     price, volume = PRICE_TOKEN.format(text="VARCHAR"), VOLUME_TOKEN.format(text="VARCHAR")
-    whole = f"""'{{"trade_price":' || {price} || ',"trade_volume":' || {volume} || {' || '.join(pieces)} || '}}'"""
-    return f"CASE WHEN fault = 2 THEN '{MALFORMED_TEXT}' ELSE {whole} END"
+    zero = """CASE WHEN fault = 16 THEN ',"code":0' ELSE '' END"""
+    whole = f"""'{{"trade_price":' || {price} || ',"trade_volume":' || {volume} || {zero} || {' || '.join(pieces)} || '}}'"""
+    return f"CASE fault WHEN 2 THEN '{MALFORMED_TEXT}' WHEN 15 THEN '{REOPENING_TEXT}' ELSE {whole} END"
 
 
-_REASONS = """CASE fault WHEN 2 THEN 'Malformed JSON' ELSE nullif(concat_ws(' | ',
+_REASONS = """CASE WHEN fault IN (2, 15) THEN 'Malformed JSON' ELSE nullif(concat_ws(' | ',
     CASE WHEN fault IN (5, 6) THEN 'Missing Field: code' END,
     CASE WHEN fault = 1 THEN 'Missing Field: timestamp' END,
-    CASE WHEN fault = 0 THEN 'Negative Value Error: price or volume is negative' END,
-    CASE WHEN fault = 7 THEN 'Invalid Change Type: UP' END,
-    CASE WHEN fault = 8 THEN 'Invalid Stream Type: X' END), '') END"""
+    CASE WHEN fault IN (0, 12) THEN 'Negative Value Error: price or volume is negative' END,
+    CASE WHEN fault IN (7, 13) THEN 'Invalid Change Type: UP' END,
+    CASE WHEN fault IN (8, 13) THEN 'Invalid Stream Type: X' END), '') END"""
 
 _ROUTED = f"""routed AS (
   SELECT *, {_REASONS} AS error_log,
-         CASE WHEN fault IN (0, 1, 2, 5, 6, 7, 8) THEN 'dead_letter' WHEN fault = 10 THEN 'skipped'
-              WHEN fault IN (3, 11) THEN 'unstorable' ELSE 'stored' END AS outcome
+         CASE WHEN fault IN (0, 1, 2, 5, 6, 7, 8, 12, 13, 15) THEN 'dead_letter'
+              WHEN fault IN (10, 16) THEN 'skipped' WHEN fault IN (3, 11, 14) THEN 'unstorable' ELSE 'stored' END AS outcome
   FROM clean)"""
 
 _STORED_TYPES = {
@@ -202,30 +214,43 @@ ORACLES: dict[str, str] = {
     "tick_parse": _parse(_GLOBAL),
     "tick_parse_by_market": _parse(_MARKET),
     "tick_rename_long": _renamed(),
-    "publish_envelope": f"WITH {_CLEAN} SELECT 'unknown' AS key, {_text(False)} AS value FROM clean WHERE fault <> 2",
+    "publish_envelope": f"WITH {_CLEAN} SELECT 'unknown' AS key, {_text(False)} AS value FROM clean WHERE fault NOT IN (2, 15)",
+    "publish_rejects": f"WITH {_CLEAN} SELECT tick_id, {_text(False)} AS value FROM clean WHERE fault IN (2, 15)",
     "publish_envelope_by_code": f"""WITH {_CLEAN} SELECT CASE WHEN fault IN (5, 6) THEN 'unknown' WHEN fault = 10 THEN 'MKT-NONE'
-ELSE code END AS key, {_text(False)} AS value FROM clean WHERE fault <> 2""",
+WHEN fault = 16 THEN '0' ELSE code END AS key, {_text(False)} AS value FROM clean WHERE fault NOT IN (2, 15)""",
     "health_metrics": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')} SELECT * FROM health",
     "health_metrics_hourly": f"{_HOURLY} SELECT * FROM health",
     "health_metrics_stream": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
     "market_metrics": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_SECOND, '1s')} SELECT * FROM health",
     "market_metrics_hourly": f"{_HOURLY_MARKET} SELECT * FROM health",
     "market_metrics_stream": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
+    "health_stream_totals": f"""WITH {_CLEAN}, {_GLOBAL} SELECT count(*) AS collected,
+count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms,
+round(sum(trade_amount_krw), 2) AS trade_volume_krw FROM judged""",
+    "market_health_stream_totals": f"""WITH {_CLEAN}, {_MARKET} SELECT market, count(*) AS collected,
+count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms FROM judged GROUP BY market""",
     "price_moves": f"WITH {_CLEAN}, {_moves(300000, 60000, _UNPRICED)} SELECT * FROM moves",
     "price_moves_wide": f"{_WIDE_MOVES} SELECT * FROM moves",
-    "price_moves_valid_only": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED + ', 0, 3, 9')} SELECT * FROM moves",
+    "price_moves_valid_only": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED + ', 0, 3, 9, 12')} SELECT * FROM moves",
+    "price_moves_record_time": f"""WITH {_CLEAN},
+{_moves(_SIX_HOURS, _HOUR_MS, '2, 5, 6, 11, 15', time='CASE WHEN fault = 1 THEN ingest_ms ELSE event_ms END')} SELECT * FROM moves""",
+    "move_rejects": f"""WITH {_CLEAN} SELECT tick_id AS seq, CASE WHEN fault IN (2, 15) THEN 'no tick'
+WHEN fault IN (5, 6) THEN 'no code' WHEN fault = 11 THEN 'no price' ELSE 'no time' END AS reason
+FROM clean WHERE fault IN ({_UNPRICED})""",
     "price_moves_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
     "move_status_counts": f"{_WIDE_MOVES} SELECT status, count(*) AS windows FROM moves GROUP BY status",
     "market_moves_referential": f"{_WIDE_MOVES} SELECT * FROM moves WHERE market_code IN (SELECT code FROM clean)",
     "stored_ticks": _stored(),
     "dead_letters": f"""WITH {_CLEAN}, {_ROUTED} SELECT tick_id, {_text(True)} AS raw_data, error_log
 FROM routed WHERE outcome = 'dead_letter'""",
-    "skipped_ticks": f"""WITH {_CLEAN}, {_ROUTED} SELECT tick_id, 'MKT-NONE' AS market_code, {_text(True)} AS raw_data
-FROM routed WHERE outcome = 'skipped'""",
+    "skipped_ticks": f"""WITH {_CLEAN}, {_ROUTED} SELECT tick_id, {_text(True)} AS raw_data,
+CASE fault WHEN 16 THEN '0' ELSE 'MKT-NONE' END AS market_code FROM routed WHERE outcome = 'skipped'""",
     "unstorable_ticks": f"""WITH {_CLEAN}, {_ROUTED} SELECT tick_id, {_text(True)} AS raw_data,
-CASE fault WHEN 3 THEN 'trade_volume: missing' ELSE 'trade_price: not decimal(20,4)' END AS save_error
+CASE fault WHEN 3 THEN 'trade_volume: missing' WHEN 14 THEN 'market_state: longer than 40' ELSE 'trade_price: not decimal(20,4)' END AS save_error
 FROM routed WHERE outcome = 'unstorable'""",
     "outcome_counts": f"WITH {_CLEAN}, {_ROUTED} SELECT outcome, count(*) AS ticks FROM routed GROUP BY outcome",
+    "routed_table": f"""WITH {_CLEAN}, {_ROUTED} SELECT outcome, count(*) AS ticks, CAST(1 AS BIGINT) AS load_times
+FROM routed GROUP BY outcome""",
     "dead_letter_collapse": f"""WITH {_CLEAN} SELECT '{{"market_code":"' || code || '","tick_id":' || tick_id
 || ',"trade_price":' || price || ',"trade_volume":' || CASE WHEN fault = 3 THEN 'null' ELSE CAST(volume AS VARCHAR) END
 || ',"stream_type":"' || stream_type || '"}}' AS raw_data, 'fault ' || fault AS error_log FROM clean""",
@@ -245,6 +270,12 @@ UNION ALL SELECT 'delisted', market FROM ({_GONE})""",
     "latest_metric": f"{_HOURLY} SELECT {_SERVED} FROM health h ORDER BY h.checked_at DESC LIMIT 1",
     "recent_metrics": f"{_HOURLY} SELECT {_SERVED} FROM health h ORDER BY h.checked_at DESC LIMIT 60",
     "market_metric_history": f"{_HOURLY_MARKET} SELECT * FROM health ORDER BY market, checked_at DESC",
+    "latest_metric_stored": f"{_HOURLY} SELECT {_SERVED} FROM health h ORDER BY h.checked_at DESC LIMIT 1",
+    "recent_metrics_stored": f"{_HOURLY} SELECT {_SERVED} FROM health h ORDER BY h.checked_at DESC LIMIT 60",
+    "market_history_stored": f"""{_HOURLY_MARKET} SELECT * FROM health WHERE market = 'MKT-VIEW'
+AND CAST(checked_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+    "recent_response_count": f"{_HOURLY} SELECT least(60, count(*)) AS count, least(60, count(*)) AS results FROM health",
+    "latest_response_empty": """SELECT '{"message":"No metric data yet"}' AS body""",
     "experiment_summary": f"""WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')}
 SELECT count(*) AS samples, round(avg(total_collected_count), 6) AS mean_throughput,
        max(total_collected_count) AS max_throughput, round(avg(average_latency_ms), 6) AS mean_latency_ms,

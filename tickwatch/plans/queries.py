@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tickwatch.operators import markets, metrics, moves, quality, serving
 from tickwatch.operators.ticks import metric_events, rename_long
 from tickwatch.operators.ticks import publish_envelope as envelope
+from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
-from tickwatch.settings import as_table
-from tickwatch.streaming import clocks
-from tickwatch.streaming.runner import drop_late_at_once, run_available
+from tickwatch.settings import as_table, run_dir
+from tickwatch.streaming import clocks, jobs, sinks
+from tickwatch.streaming.runner import drop_late_at_once, run_available, run_until_closed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +60,10 @@ def publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(views.ticks(spark, sf_dir))
 
 
+def publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected(views.ticks(spark, sf_dir)).select("tick_id", "value")
+
+
 def publish_envelope_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(views.ticks(spark, sf_dir), key_fields=("code", "cd"))
 
@@ -100,6 +105,30 @@ def market_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(run_available(metrics.market_metrics(events, HOUR), "market-health"))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, rules: str) -> DataFrame:
+    return metric_events(clocks.with_arrival_clock(views.lagging_stream(spark, sf_dir), jobs.ARRIVED), rules)
+
+
+def health_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all buckets of the health job add up to, though one of its files lags far behind."""
+    health = metrics.health_metrics(_arrivals(spark, sf_dir, "global"), "1 second", jobs.ARRIVED)
+    return run_until_closed(health, "health-totals").agg(
+        F.sum("total_collected_count").alias("collected"),
+        F.sum("total_error_count").alias("errors"),
+        F.max("max_latency_ms").alias("max_latency_ms"),
+        F.round(F.sum("total_trade_volume_krw"), 2).alias("trade_volume_krw"),
+    )
+
+
+def market_health_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    health = metrics.market_metrics(_arrivals(spark, sf_dir, "market"), "1 second", jobs.ARRIVED)
+    return run_until_closed(health, "market-totals").groupBy("market").agg(
+        F.sum("collected_count").alias("collected"),
+        F.sum("error_count").alias("errors"),
+        F.max("max_latency_ms").alias("max_latency_ms"),
+    )
+
+
 # Price moves ----------------------------------------------------------------
 
 
@@ -115,6 +144,14 @@ def price_moves_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(moves.price_moves(views.ticks(spark, sf_dir), valid_only=True, **WIDE))
 
 
+def price_moves_record_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(moves.price_moves(views.ticks(spark, sf_dir), record_time="ingest_time", **WIDE))
+
+
+def move_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moves.move_rejects(views.ticks(spark, sf_dir))
+
+
 def price_moves_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     moving = moves.price_moves(views.tick_stream(spark, sf_dir), delay="1 second", **WIDE)
     with drop_late_at_once(spark):
@@ -157,6 +194,15 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _routed(spark, sf_dir).groupBy(quality.outcome().alias("outcome")).agg(F.count("*").alias("ticks"))
 
 
+def routed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks and load times of each outcome in a written table."""
+    path = run_dir(spark, "routed")
+    sinks.write_routed(_routed(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("outcome").agg(
+        F.count("*").alias("ticks"), F.count_distinct("created_at").alias("load_times")
+    )
+
+
 def dead_letter_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dead_letter_collapse(views.wide_dead_letters(spark, sf_dir))
 
@@ -213,6 +259,37 @@ def market_metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(serving.market_history(_market_health(spark, sf_dir, HOUR)))
 
 
+def _stored_by_day(spark: SparkSession, metric_rows: DataFrame, label: str) -> str:
+    path = run_dir(spark, label)
+    sinks.write_by_day(metric_rows, path, 0)
+    return path
+
+
+def latest_metric_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(serving.stored_latest(spark, _stored_by_day(spark, _health(spark, sf_dir, HOUR), "daily")))
+
+
+def recent_metrics_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(serving.stored_recent(spark, _stored_by_day(spark, _health(spark, sf_dir, HOUR), "daily")))
+
+
+def market_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored_by_day(spark, _market_health(spark, sf_dir, HOUR), "market-daily")
+    return _comparable(serving.stored_market_history(spark, path, "MKT-VIEW", "2024-01-05", "2024-01-20"))
+
+
+def recent_response_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = serving.recent_response(_health(spark, sf_dir, HOUR))
+    return body.select(
+        F.get_json_object("body", "$.count").cast("bigint").alias("count"),
+        F.json_array_length(F.get_json_object("body", "$.results")).cast("bigint").alias("results"),
+    )
+
+
+def latest_response_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.latest_response(_health(spark, sf_dir, HOUR).where("total_collected_count < 0"))
+
+
 def experiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = serving.experiment_summary(as_table(_health(spark, sf_dir, "1 second"), "health"))
     means = ("mean_throughput", "mean_latency_ms", "p95_latency_ms", "error_rate_percentage")
@@ -235,16 +312,21 @@ QUERIES: dict[str, Query] = {
         tick_rename_long,
         publish_envelope,
         publish_envelope_by_code,
+        publish_rejects,
         health_metrics,
         health_metrics_hourly,
         health_metrics_stream,
         market_metrics,
         market_metrics_hourly,
         market_metrics_stream,
+        health_stream_totals,
+        market_health_stream_totals,
         price_moves,
         price_moves_wide,
         price_moves_valid_only,
+        price_moves_record_time,
         price_moves_stream,
+        move_rejects,
         move_status_counts,
         market_moves_referential,
         stored_ticks,
@@ -252,6 +334,7 @@ QUERIES: dict[str, Query] = {
         skipped_ticks,
         unstorable_ticks,
         outcome_counts,
+        routed_table,
         dead_letter_collapse,
         market_feed_flat,
         market_sync_snapshot,
@@ -263,6 +346,11 @@ QUERIES: dict[str, Query] = {
         latest_metric,
         recent_metrics,
         market_metric_history,
+        latest_metric_stored,
+        recent_metrics_stored,
+        market_history_stored,
+        recent_response_count,
+        latest_response_empty,
         experiment_summary,
         monotone_watermark_echo,
     )

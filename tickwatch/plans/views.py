@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.schemas import CAUTION_FLAGS, SHORT_TO_LONG
-from tickwatch.sources.files import spread, stream_table
+from tickwatch.settings import run_dir
+from tickwatch.sources.files import stream_table
 
 # Fields of a short tick besides price and volume: (field, SQL over the clean tick).
 SHORT_FIELDS = (
-    ("code", "CASE WHEN fault IN (5, 6) THEN NULL WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"),
-    ("market", "CASE WHEN fault = 6 THEN code END"),
-    ("change", "CASE WHEN fault = 7 THEN 'UP' ELSE change END"),
+    ("code", "CASE WHEN fault IN (5, 6, 16) THEN NULL WHEN fault = 10 THEN 'MKT-NONE' ELSE code END"),
+    ("market", "CASE WHEN fault IN (6, 16) THEN code END"),
+    ("change", "CASE WHEN fault IN (7, 13) THEN 'UP' ELSE change END"),
     ("timestamp", "CASE WHEN fault <> 1 THEN event_ms END"),
-    ("stream_type", "CASE WHEN fault = 8 THEN 'X' ELSE stream_type END"),
+    ("stream_type", "CASE WHEN fault IN (8, 13) THEN 'X' ELSE stream_type END"),
 )
 
 # The other fields of a full tick: constants and multiples of the price.
@@ -44,7 +45,7 @@ FULL_FIELDS = (
     ("highest_52_week_date", "'2024-01-01'"),
     ("lowest_52_week_price", "price * 0.5"),
     ("lowest_52_week_date", "'2024-01-01'"),
-    ("market_state", "'ACTIVE'"),
+    ("market_state", "CASE WHEN fault = 14 THEN repeat('x', 41) ELSE 'ACTIVE' END"),
     ("is_trading_suspended", "false"),
     ("market_warning", "'NONE'"),
     ("acc_trade_price_24h", "price * 64"),
@@ -55,8 +56,12 @@ PRICE_TOKEN = (
     "CASE fault WHEN 0 THEN '-1' WHEN 9 THEN '0' WHEN 11 THEN '\"abc\"' "
     "WHEN 4 THEN concat('\"', CAST(price AS {text}), '\"') ELSE CAST(price AS {text}) END"
 )
-VOLUME_TOKEN = "CASE WHEN fault = 3 THEN 'null' ELSE CAST(volume AS {text}) END"
+VOLUME_TOKEN = "CASE fault WHEN 3 THEN 'null' WHEN 12 THEN '-2' ELSE CAST(volume AS {text}) END"
+# A code that is no text and counts as false.
+ZERO_CODE = """CASE WHEN fault = 16 THEN '"code":0,' ELSE '' END"""
 MALFORMED_TEXT = "{not-valid-json"
+# Two objects for a reader that puts the text into a list.
+REOPENING_TEXT = '{"code":"A","trade_price":1,"trade_volume":1,"timestamp":1}],"x":[{}'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,10 +72,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def clean_ticks(events: DataFrame) -> DataFrame:
     """``events`` as ticks, before any fault."""
-    return events.selectExpr(
+    timed = events.withColumn("ms", F.expr("unix_millis(CAST(ts AS TIMESTAMP))"))
+    return timed.selectExpr(
         "event_id AS tick_id",
         "concat('MKT-', upper(event_type)) AS code",
-        "unix_millis(CAST(ts AS TIMESTAMP)) AS event_ms",
+        # Every fifth tick falls on the hour, so that many share their time.
+        "CASE WHEN event_id % 5 = 0 THEN ms - ms % 3600000 ELSE ms END AS event_ms",
         "1000 + value / 5 AS price",
         "CAST(1 + event_id % 7 AS DOUBLE) AS volume",
         "CASE event_id % 3 WHEN 0 THEN 'RISE' WHEN 1 THEN 'EVEN' ELSE 'FALL' END AS change",
@@ -89,18 +96,20 @@ def tick_text(clean: DataFrame, full: bool = False) -> DataFrame:
         F.lit(',"trade_volume":'),
         F.expr(VOLUME_TOKEN.format(text="STRING")),
         F.lit(","),
+        F.expr(ZERO_CODE),
         F.substr(rest, F.lit(2)),
     )
+    text = F.when(F.col("fault") == 2, MALFORMED_TEXT).when(F.col("fault") == 15, REOPENING_TEXT).otherwise(text)
     return clean.select(
         "tick_id",
         F.col("tick_id").alias("seq"),
         F.timestamp_millis(F.expr("event_ms + (tick_id * 37) % 2500 - 100")).alias("ingest_time"),
-        F.when(F.col("fault") == 2, MALFORMED_TEXT).otherwise(text).alias("value"),
+        text.alias("value"),
     )
 
 
 def ticks(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
-    return tick_text(spread(clean_ticks(table(spark, sf_dir, "events"))), full)
+    return tick_text(clean_ticks(table(spark, sf_dir, "events")), full)
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
@@ -108,6 +117,17 @@ def tick_stream(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFra
     return tick_text(clean_ticks(stream_table(spark, sf_dir, "events")), full)
 
 
+def lagging_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ticks as a stream of four files, of which the third comes after the fourth."""
+    rows = ticks(spark, sf_dir)
+    folder = run_dir(spark, "lagging")
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    for quarter in (0, 1, 3, 2):
+        part = rows.where(F.floor(F.col("tick_id") * 4 / (last + 1)) == quarter)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def tick_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The markets that tick."""
     codes = clean_ticks(table(spark, sf_dir, "events")).select(F.col("code").alias("market")).distinct()

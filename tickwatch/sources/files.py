@@ -32,45 +32,39 @@ def stream_table(
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
-# Tables of fewer splits, about 2 GB at the default split size, are worth dealing out.
-FEW_SPLITS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small batch out to all cores.
-
-    Decoding is bound by the processor, and a small table may be a single row
-    group. A larger table is left as it is; moving it would cost more than it gains.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
-    return df.repartition(cores) if few else df
-
-
-def read_market_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed feed replies, each file one JSON array, as entries in array order (``seq``).
-
-    Files are ordered by time of change and name. Each reply is one file because the
-    order of its entries decides which of two for the same market is the last. A
-    reply that is no list of named markets fails the read: taken as empty, it would
-    delist every market.
+def read_market_feed(spark: SparkSession, path: str, allow_empty: bool = False) -> DataFrame:
+    """The newest landed feed reply, one JSON array, as entries in array order (``seq``).
+
+    Each reply is one file, as the order of its entries decides which of two for the
+    same market is the last. Of several files the one changed last, then the last by
+    name, is taken: a sync compares with one reply, and an older one would hide what
+    has been delisted since. A reply that is not exactly one list of named markets
+    fails the read, and so does an empty one unless that is allowed: taken as no
+    entries, it would delist every market.
     """
-    replies = (
-        spark.read.text(path, wholetext=True)
-        .select("value", "_metadata.file_modification_time", "_metadata.file_path")
+    landed = spark.read.text(path, wholetext=True).select(
+        "value", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("landed")
     )
+    reply = landed.agg(F.coalesce(F.max_by("value", "landed"), F.lit("")).alias("reply"))
+    # The list must be the one member of an object that it cannot close, as with ticks.
+    text, digest = F.col("reply"), F.sha2(F.col("reply").cast("binary"), 256)
+    named = F.concat(F.lit('{"list":'), text, F.lit(',"'), digest, F.lit('":true}'))
+    names = F.map_keys(F.from_json(named, "MAP<STRING, STRING>", {"allowSingleQuotes": "false"}))
+    is_list = names.eqNullSafe(F.array(F.lit("list"), digest)) & F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
     options = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
-    items = F.from_json("value", f"ARRAY<{FEED_ITEM_SCHEMA}>", options)
-    entries = replies.select(
-        "file_modification_time", "file_path", F.posexplode(items).alias("position", "item")
+    items = F.from_json("reply", f"ARRAY<{FEED_ITEM_SCHEMA}>", options)
+    read = reply.select(
+        F.when(is_list, items).otherwise(F.raise_error(F.lit("feed reply is not one list"))).alias("items")
     )
+    if not allow_empty:
+        some = F.when(F.size("items") > 0, F.col("items"))
+        read = read.select(F.coalesce(some, F.raise_error(F.lit("feed reply is empty"))).alias("items"))
+    entries = read.select(F.posexplode("items").alias("position", "item"))
     needed = [
         F.coalesce(F.col(f"item.{name}"), F.raise_error(F.lit(f"feed entry without {name}"))).alias(name)
         for name in ("market", "korean_name", "english_name")
     ]
-    return entries.select(
-        F.struct("file_modification_time", "file_path", "position").alias("seq"), *needed, "item.market_event"
-    )
+    return entries.select(F.col("position").alias("seq"), *needed, "item.market_event")
 
 
 def read_markets(spark: SparkSession, path: str) -> DataFrame:

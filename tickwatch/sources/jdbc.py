@@ -31,11 +31,27 @@ def appender(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends to a table over few connections.
 
-    Appends are at least once: a batch that is run again inserts again.
+    The batch is computed in its own partitions and then dealt out to the
+    connections. Appends are at least once: a batch that is run again inserts again.
     """
     options = append_options(url, table, properties, rows_per_insert)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(connections).write.format("jdbc").options(**options).mode("append").save()
+        batch.repartition(connections).write.format("jdbc").options(**options).mode("append").save()
 
     return append
+
+
+def health_appender(url: str, table: str, properties: Mapping[str, str], **how) -> Callable[[DataFrame, int], None]:
+    """Appends health metrics as they come, for ``jobs.start_health``."""
+    return appender(url, table, properties, HEALTH_BATCH, **how)
+
+
+def market_health_appender(url: str, table: str, properties: Mapping[str, str], **how) -> Callable[[DataFrame, int], None]:
+    """Appends market health metrics, for ``jobs.start_market_health``."""
+    return appender(url, table, properties, MARKET_HEALTH_BATCH, **how)
+
+
+def moves_appender(url: str, table: str, properties: Mapping[str, str], **how) -> Callable[[DataFrame, int], None]:
+    """Appends price moves, for ``jobs.start_moves``."""
+    return appender(url, table, properties, MOVES_BATCH, **how)

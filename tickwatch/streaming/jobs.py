@@ -22,25 +22,24 @@ from tickwatch.streaming.runner import drop_late_at_once, start_batches
 
 Write = Callable[[DataFrame, int], None]
 
-
-# How far a topic partition may fall behind the others before its ticks are too late.
-BEHIND = "10 seconds"
+# The health jobs count by the time a tick is read; its ingest time only gives the latency.
+ARRIVED = "arrived_at"
 
 
 def start_health(
-    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", behind: str = BEHIND, **run
+    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", beat: bool = True, **run
 ) -> StreamingQuery:
-    """Health of the whole stream per bucket."""
-    events = metric_events(clocks.with_ingest_clock(ticks, delay=behind))
-    return start_batches(health_metrics(events, bucket), write, checkpoint, **run)
+    """Health of the whole stream per bucket of arrival time; every tick counts, and buckets close while none come."""
+    events = metric_events(clocks.with_arrival_clock(ticks, ARRIVED, beat))
+    return start_batches(health_metrics(events, bucket, ARRIVED), write, checkpoint, **run)
 
 
 def start_market_health(
-    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", behind: str = BEHIND, **run
+    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", beat: bool = True, **run
 ) -> StreamingQuery:
-    """Health of each market per bucket."""
-    events = metric_events(clocks.with_ingest_clock(ticks, delay=behind), rules="market")
-    return start_batches(market_metrics(events, bucket), write, checkpoint, **run)
+    """Health of each market per bucket of arrival time."""
+    events = metric_events(clocks.with_arrival_clock(ticks, ARRIVED, beat), rules="market")
+    return start_batches(market_metrics(events, bucket, ARRIVED), write, checkpoint, **run)
 
 
 def start_moves(
@@ -51,10 +50,11 @@ def start_moves(
     size: str = "5 minutes",
     slide: str = "1 minute",
     delay: str = "1 second",
+    record_time: str | None = "ingest_time",
     **run,
 ) -> StreamingQuery:
-    """Graded price moves of known markets."""
-    moving = price_moves(ticks, size, slide, delay=delay)
+    """Graded price moves of known markets; a tick without a time of its own takes that of its record."""
+    moving = price_moves(ticks, size, slide, delay=delay, record_time=record_time)
     with drop_late_at_once(ticks.sparkSession):
         return start_batches(moving, sinks.known_moves(markets, write), checkpoint, **run)
 
@@ -69,7 +69,10 @@ def start_routing(
 def sync_markets(
     spark: SparkSession, existing_path: str, feed_path: str, folder: str, version: str, reactivate: bool = True
 ) -> tuple[str, DataFrame]:
-    """Write the next market table and return its path and the report on the changes."""
+    """Write the next market table and return its path and the report on the changes.
+
+    The newest reply in the feed folder is compared, and no other.
+    """
     existing, feed = files.read_markets(spark, existing_path), files.read_market_feed(spark, feed_path)
     path = files.write_markets(sync.sync_snapshot(existing, feed, reactivate), folder, version)
     return path, sync.sync_report(sync.sync_changes(existing, feed, reactivate))

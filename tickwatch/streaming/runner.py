@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -65,3 +66,45 @@ def run_available(df: DataFrame, label: str) -> DataFrame:
     folder = run_dir(spark, label)
     start_files(df, f"{folder}/rows", f"{folder}/checkpoint", available_now=True).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the recent batches dropped as too late; 0 for the health jobs, whose clock knows no late rows."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
+def run_until_closed(df: DataFrame, label: str, every: str = "1 second", at_most: float = 600) -> DataFrame:
+    """Run a stream with an arrival clock until its files are read and its last bucket is closed; read back what it wrote.
+
+    The stream is done once a batch had no rows but the clock's own and no state is left.
+    """
+    spark = df.sparkSession
+    folder = run_dir(spark, label)
+    query = start_files(df, f"{folder}/rows", f"{folder}/checkpoint", every=every)
+    end = time.monotonic() + at_most
+    try:
+        while not is_closed(query):
+            if query.exception():
+                raise query.exception()
+            if time.monotonic() > end:
+                raise TimeoutError(f"{label} was not closed in {at_most} seconds")
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    return spark.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def is_closed(query: StreamingQuery) -> bool:
+    """Files were read, the last batch had none, and no bucket is open."""
+    progress = query.lastProgress
+    if not progress or not progress["stateOperators"]:
+        return False
+    files = [source["numInputRows"] for source in progress["sources"] if "FileStreamSource" in source["description"]]
+    read = any(
+        source["numInputRows"]
+        for one in query.recentProgress
+        for source in one["sources"]
+        if "FileStreamSource" in source["description"]
+    )
+    return read and not any(files) and not any(state["numRowsTotal"] for state in progress["stateOperators"])

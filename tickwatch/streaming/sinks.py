@@ -25,20 +25,14 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
 def routed_outputs(
     markets: Callable[[], DataFrame], base: str, value: str = "value"
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that routes each batch to one folder per outcome.
+    """A ``foreachBatch`` function that writes all outputs of each batch in one pass, for ``read_routed``.
 
-    The batch is decoded and joined once and kept for its four appends; a lost
-    executor's part is computed again. ``markets`` is called for each batch, so a
-    synced market table takes effect with the next one.
+    A batch that is run again overwrites what it wrote. ``markets`` is called for each
+    batch, so a synced market table takes effect with the next one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = quality.route(batch.select(value), markets(), value).persist()
-        try:
-            for outcome, rows in quality.OUTPUTS.items():
-                batch_folder(f"{base}/{outcome}")(rows(routed), batch_id)
-        finally:
-            routed.unpersist()
+        write_routed(quality.route(batch.select(value), markets(), value), f"{base}/batch_id={batch_id}")
 
     return write
 
@@ -47,7 +41,8 @@ def write_routed(routed: DataFrame, path: str) -> None:
     """Write all outputs of routed ticks in one pass, a folder per outcome of one table.
 
     Nothing is cached and no tick is decoded twice, which suits a batch of any size.
-    The payload is left out of stored ticks. ``read_routed`` gives the single outputs.
+    The payload is left out of stored ticks; the load time is written with each tick.
+    ``read_routed`` gives the single outputs.
     """
     outcome = quality.outcome()
     (
@@ -60,7 +55,7 @@ def write_routed(routed: DataFrame, path: str) -> None:
 
 
 def read_routed(spark: SparkSession, path: str, outcome: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One output of a table that ``write_routed`` wrote; only its folder is read."""
+    """One output of a table that ``write_routed`` or ``routed_outputs`` wrote; only its folders are read."""
     rows = spark.read.parquet(path).where(F.col("outcome") == outcome)
     return quality.OUTPUTS[outcome](rows, keep)
 
@@ -77,20 +72,30 @@ def known_moves(
     return pass_on
 
 
-def write_market_metrics(metrics: DataFrame, path: str) -> None:
-    """Append market metrics by day, sorted by market and newest first within files.
+def write_by_day(metrics: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Add metric rows to a table by day, newest first within files; market metrics also by market.
 
     A range partitioning on (day, market, time) splits a hot market over several
-    files; row group statistics then find one market's history.
+    files; row group statistics then find one market's history. With a batch id the
+    rows have a folder of their own, which a repeated batch overwrites; without one
+    they are appended. ``serving`` reads the table.
     """
+    order = ["checked_date", *(["market"] if "market" in metrics.columns else []), F.desc("checked_at")]
     dated = metrics.withColumn("checked_date", F.to_date("checked_at"))
-    (
-        dated.repartitionByRange("checked_date", "market", F.desc("checked_at"))
-        .sortWithinPartitions("checked_date", "market", F.desc("checked_at"))
-        .write.partitionBy("checked_date")
-        .mode("append")
-        .parquet(path)
-    )
+    rows = dated.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("checked_date")
+    if batch_id is None:
+        rows.mode("append").parquet(f"{path}/batch_id=-1")
+    else:
+        rows.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def daily_table(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds each batch of metrics to a table by day, once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_by_day(batch, path, batch_id)
+
+    return write
 
 
 def to_console(df: DataFrame, checkpoint: str):
