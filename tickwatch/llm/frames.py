@@ -11,6 +11,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores before them as it takes for none to be a column."""
+    taken = {name.lower() for name in df.columns}
+    lead = "__"
+    while taken & {lead + name for name in names}:
+        lead += "_"
+    return [lead + name for name in names]
+
+
 def with_struct(df: DataFrame, result: Column, names: list[str] | dict[str, str]) -> DataFrame:
     """Add the fields of one struct result, under new names if a mapping says so.
 
@@ -19,8 +28,6 @@ def with_struct(df: DataFrame, result: Column, names: list[str] | dict[str, str]
     names = names if isinstance(names, dict) else {name: name for name in names}
     taken = {name.lower() for name in names.values()}
     rest = [F.col(quoted(name)) for name in df.columns if name.lower() not in taken]
-    held = "__result"
-    while held in df.columns:
-        held += "_"
+    (held,) = unused(df, "result")
     made = [F.col(f"{held}.{field}").alias(name) for field, name in names.items()]
     return df.select("*", result.alias(held)).select(*rest, *made)

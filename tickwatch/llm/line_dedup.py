@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwatch.llm.cuckoo import CuckooFilter, Full
-from tickwatch.llm.frames import quoted, with_struct
+from tickwatch.llm.frames import quoted, unused, with_struct
 from tickwatch.settings import as_table
 
 LEAST_CHARS = 20
@@ -211,11 +211,9 @@ class LineIndex:
     def dedup(self, docs: DataFrame) -> DataFrame:
         """Documents of the index without the lines they lose; see the module's ``dedup``."""
         id_col, text_col, least = self.rules["id_col"], self.rules["text_col"], self.rules["least_chars"]
-        held = {"__drop_id", "__drop_keys"}
-        if clash := held & {name.lower() for name in docs.columns}:
-            raise ValueError(f"reserved column names: {sorted(clash)}")
-        lost = self.dropped().select(F.col("doc_id").alias("__drop_id"), F.col("keys").alias("__drop_keys"))
-        joined = docs.join(lost, F.col(quoted(id_col)) == F.col("__drop_id"), "left")
+        drop_id, drop_keys = held = unused(docs, "drop_id", "drop_keys")
+        lost = self.dropped().select(F.col("doc_id").alias(drop_id), F.col("keys").alias(drop_keys))
+        joined = docs.join(lost, F.col(quoted(id_col)) == F.col(drop_id), "left")
 
         @F.arrow_udf("text string, n_lines bigint, n_dropped bigint")
         def rewritten(texts: pa.Array, drops: pa.Array) -> pa.Array:
@@ -239,7 +237,7 @@ class LineIndex:
             )
 
         names = {"text": text_col, "n_lines": "n_lines", "n_dropped": "n_dropped"}
-        done = with_struct(joined, rewritten(F.col(quoted(text_col)).cast("string"), F.col("__drop_keys")), names)
+        done = with_struct(joined, rewritten(F.col(quoted(text_col)).cast("string"), F.col(drop_keys)), names)
         return done.drop(*held)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.llm import byte_bpe
-from tickwatch.llm.frames import quoted, with_struct
+from tickwatch.llm.frames import quoted, unused, with_struct
 from tickwatch.settings import as_table
 
 # The tables of both models have VOCABULARY * (VOCABULARY + 1) cells, whatever the data.
@@ -105,7 +105,7 @@ def score(
     even spread. At most ``vocabulary * (vocabulary + 1)`` counts come to the driver
     and go to the workers.
     """
-    held = "__ids"
+    (held,) = unused(df, "ids")
     flag = F.coalesce(F.col(quoted(target)).cast("boolean"), F.lit(False))
     encoded = as_table(tokens(df, path, pattern, vocabulary, text_col, held), "lm-tokens")
     counted = bigram_counts(encoded.select(F.col(held).alias("ids"), flag.alias("target")), vocabulary)

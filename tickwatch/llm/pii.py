@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwatch.llm.frames import quoted, with_struct
+from tickwatch.llm.frames import quoted, unused, with_struct
 from tickwatch.settings import as_table
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -234,15 +234,15 @@ def redact(df: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_c
     stays null. Rows without an id are searched like others, repeated rows alike. An
     empty table gives an empty result.
     """
-    spans = found_spans(df, rules, id_col, text_col)
-    spans = spans.select(
-        F.col("id").alias("__pii_id"),
-        F.col("text_key").alias("__pii_key"),
-        F.sort_array(F.concat("base", "learned")).alias("__pii_spans"),
+    its_id, its_key, its_spans = unused(df, "pii_id", "pii_key", "pii_spans")
+    spans = found_spans(df, rules, id_col, text_col).select(
+        F.col("id").alias(its_id),
+        F.col("text_key").alias(its_key),
+        F.sort_array(F.concat("base", "learned")).alias(its_spans),
     )
-    spans = spans.where(F.size("__pii_spans") > 0).dropDuplicates(["__pii_id", "__pii_key"])
+    spans = spans.where(F.size(its_spans) > 0).dropDuplicates([its_id, its_key])
     text = F.col(quoted(text_col)).cast("string")
-    same = (F.xxhash64(text) == F.col("__pii_key")) & F.col(quoted(id_col)).eqNullSafe(F.col("__pii_id"))
+    same = (F.xxhash64(text) == F.col(its_key)) & F.col(quoted(id_col)).eqNullSafe(F.col(its_id))
     joined = df.join(spans, same, "left")
 
     @F.arrow_udf("text string")
@@ -261,5 +261,5 @@ def redact(df: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_c
         return pa.StructArray.from_arrays([pa.array(made, pa.string())], ["text"])
 
     order = df.columns
-    made = with_struct(joined, replaced(text, F.col("__pii_spans")), {"text": text_col})
+    made = with_struct(joined, replaced(text, F.col(its_spans)), {"text": text_col})
     return made.select(*[F.col(quoted(name)) for name in order])

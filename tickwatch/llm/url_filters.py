@@ -15,20 +15,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.frames import quoted, with_struct
+from tickwatch.llm.frames import quoted, unused, with_struct
 from tickwatch.settings import as_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CARRIED, RULE, PROBE = 0, 1, 2
-FIELDS = "key string, kind int, host string, path string, rule string, verdict string"
 COLUMNS = ["host", "path", "rule", "verdict"]
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host and path; both are empty for null and for a text without ``://``."""
     at = F.instr(url, "://")
-    rest = F.when(at > 0, F.expr("substring(__url, instr(__url, '://') + 3)")).otherwise(F.lit(""))
-    rest = F.coalesce(rest, F.lit(""))
+    rest = F.coalesce(F.when(at > 0, F.substr(url, at + 3)), F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER)
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
@@ -124,22 +122,19 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", otherwise:
     are empty. Rows stay as they are, repeated rows too; same-named columns of the
     input are replaced. Without any rules, or rows, nothing fits.
     """
-    host, path = url_parts(F.col("__url"))
-    urls = df.select(F.col(quoted(url_col)).cast("string").alias("__url"))
     # Equal URLs are judged once, so that a frequent one is one probe.
-    places = urls.select(host.alias("host"), path.alias("path")).distinct()
-    best = best_rules(places, rules).select(
-        F.col("host").alias("__host"), F.col("path").alias("__path"), F.col("rule").alias("__rule"), F.col("verdict").alias("__verdict")
-    )
-    kept = [name for name in df.columns if name.lower() not in COLUMNS]
-    parted = df.select(*[F.col(quoted(name)) for name in kept], F.col(quoted(url_col)).cast("string").alias("__url"))
-    parted = parted.withColumns({"__at_host": host, "__at_path": path})
-    joined = parted.join(best, (F.col("__at_host") == F.col("__host")) & (F.col("__at_path") == F.col("__path")), "left")
+    host, path = url_parts(F.col(quoted(url_col)).cast("string"))
+    best = best_rules(df.select(host.alias("host"), path.alias("path")).distinct(), rules)
+    names = unused(df, "host", "path", "best_host", "best_path", "rule", "verdict")
+    its_host, its_path, best_host, best_path, rule, verdict = names
+    renamed = dict(zip(COLUMNS, (best_host, best_path, rule, verdict)))
+    best = best.select(*[F.col(old).alias(new) for old, new in renamed.items()])
+    parted = df.select("*", host.alias(its_host), path.alias(its_path))
+    same = (F.col(its_host) == F.col(best_host)) & (F.col(its_path) == F.col(best_path))
     result = F.struct(
-        F.col("__at_host").alias("host"),
-        F.col("__at_path").alias("path"),
-        F.col("__rule").alias("rule"),
-        F.coalesce("__verdict", F.lit(otherwise)).alias("verdict"),
+        F.col(its_host).alias("host"),
+        F.col(its_path).alias("path"),
+        F.col(rule).alias("rule"),
+        F.coalesce(F.col(verdict), F.lit(otherwise)).alias("verdict"),
     )
-    made = with_struct(joined, result, COLUMNS)
-    return made.drop("__url", "__at_host", "__at_path", "__host", "__path", "__rule", "__verdict")
+    return with_struct(parted.join(best, same, "left"), result, COLUMNS).drop(*names)
