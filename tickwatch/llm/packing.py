@@ -2,7 +2,8 @@
 
 Each round sorts waiting pieces and the gaps of open sequences by size, over ranges in
 parallel, and sweeps them in ascending order: a gap takes the largest waiting piece
-below it. What a range leaves over, gaps that found no piece and pieces that met no
+below it. Gaps wide enough for several of the largest waiting pieces count as several.
+What a range leaves over, gaps that found no piece and pieces that met no
 gap, is matched between ranges by rank, from counts alone. Then gaps shrink, and the
 next round begins.
 """
@@ -16,7 +17,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,45 +195,62 @@ def matched(spark: SparkSession, swept: DataFrame) -> DataFrame:
     return pairs.unionByName(pieces.join(gaps, "pair").drop("pair"))
 
 
+def slots(gaps: DataFrame, largest: int) -> DataFrame:
+    """Each gap cut into as many slots as pieces of the largest size fit in it, the last one with what is left over.
+
+    So a gap takes several pieces in a round once all that wait are small.
+    """
+    count = F.greatest(F.lit(1), F.floor(F.col("gap") / largest)).cast("int")
+    spread = gaps.select("sequence", "gap", count.alias("count"), F.explode(F.sequence(F.lit(1), count)).alias("slot"))
+    rest = F.col("gap") - (F.col("count") - 1) * largest
+    return spread.select("sequence", F.when(F.col("slot") < F.col("count"), largest).otherwise(rest).cast("int").alias("gap"))
+
+
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
-    """Place items (``item``, ``length`` up to ``capacity``) in sequences: item, sequence_id and offset."""
+    """Give items (``item``, ``length`` up to ``capacity``) their ``sequence_id`` and ``offset``."""
     spark = items.sparkSession
     whole = items.where(F.col("length") == capacity)
-    placed = [whole.select("item", (-1 - F.col("item")).alias("sequence_id"), F.lit(0).alias("offset"))]
+    placed = [whole.select("item", "length", (-1 - F.col("item")).alias("sequence_id"))]
     waiting = items.where(F.col("length") < capacity).select("item", F.col("length").cast("int").alias("length"))
     gaps = spark.createDataFrame([], "sequence bigint, gap int")
-    opened, fit = 0, False
+    opened, widest = 0, 0
     while True:
         sizes = waiting.agg(
             F.count(F.lit(1)).alias("count"),
             F.sum("length").alias("sum"),
             F.min("length").alias("least"),
+            F.max("length").alias("largest"),
             F.sum((F.col("length") * 2 > capacity).cast("int")).alias("large"),
         ).first()
         if not sizes["count"]:
             break
-        if not fit:
+        if widest < sizes["least"]:
             # No gap takes any piece: open as many sequences as the rest cannot do without.
             new = max(-(-sizes["sum"] // capacity), sizes["large"])
-            fresh = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).alias("gap"))
-            gaps, opened = gaps.unionByName(fresh), opened + new
+            gaps = spark.range(opened, opened + new).select(F.col("id").alias("sequence"), F.lit(capacity).alias("gap"))
+            opened, widest = opened + new, capacity
+        largest = sizes["largest"]
+        if largest > widest:
+            largest = waiting.where(F.col("length") <= widest).agg(F.max("length")).first()[0]
         usable = gaps.where(F.col("gap") >= sizes["least"])
         events = waiting.select(F.col("length").alias("size"), F.lit(False).alias("is_gap"), F.col("item").alias("id"))
-        events = events.unionByName(usable.select(F.col("gap").alias("size"), F.lit(True).alias("is_gap"), F.col("sequence").alias("id")))
+        open_slots = slots(usable, largest).select(F.col("gap").alias("size"), F.lit(True).alias("is_gap"), F.col("sequence").alias("id"))
         order = ["size", "is_gap", "id"]
-        ranged = events.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged = events.unionByName(open_slots).repartitionByRange(*order).sortWithinPartitions(*order)
         ranged = ranged.select("size", "is_gap", "id", F.spark_partition_id().alias("block"))
         swept = as_table(ranged.mapInArrow(sweep, SWEPT), "swept")
         pairs = as_table(matched(spark, swept), "pairs")
-        placed.append(pairs.select("item", F.col("sequence").alias("sequence_id"), (capacity - F.col("gap")).alias("offset")))
+        placed.append(pairs.select("item", F.col("length").cast("bigint").alias("length"), F.col("sequence").alias("sequence_id")))
         left = swept.where(F.col("what") == PIECE_LEFT).select("item", "length")
-        waiting = left.join(pairs.select("item"), "item", "left_anti")
-        free = swept.where(F.col("what") == GAP_LEFT).select("sequence", "gap")
-        free = free.join(pairs.select("sequence"), "sequence", "left_anti")
-        smaller = pairs.select("sequence", (F.col("gap") - F.col("length")).alias("gap")).where(F.col("gap") > 0)
-        waiting, gaps = as_table(waiting, "waiting"), as_table(free.unionByName(smaller), "gaps")
-        fit = not gaps.isEmpty() and gaps.agg(F.max("gap")).first()[0] >= (waiting.agg(F.min("length")).first()[0] or 0)
-    return functools.reduce(DataFrame.unionByName, placed)
+        used = pairs.groupBy("sequence").agg(F.sum("length").alias("used"))
+        gap = (F.col("gap") - F.coalesce("used", F.lit(0))).cast("int")
+        waiting = as_table(left.join(pairs.select("item"), "item", "left_anti"), "waiting")
+        gaps = as_table(usable.join(used, "sequence", "left").select("sequence", gap.alias("gap")).where("gap > 0"), "gaps")
+        widest = gaps.agg(F.max("gap")).first()[0] or 0
+    # A sequence has no more pieces than its capacity.
+    before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "item").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0))
+    return functools.reduce(DataFrame.unionByName, placed).select("item", "sequence_id", offset.alias("offset"))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length") -> DataFrame:
