@@ -101,3 +101,12 @@ def test_long_texts_go_word_by_word(monkeypatch):
     monkeypatch.setattr(packing, "LONG", 5)
     monkeypatch.setattr(packing, "WORDS_AT_ONCE", 3)
     assert own.encode(text) == whole
+
+
+def test_words_of_odd_letters_equal_the_library():
+    tokeniser, own = Tokenizer.from_file(PATH), packing.tokeniser(PATH)
+    letters = [chr(c) for c in range(0x80, 0x3000) if chr(c).isalpha()] + [chr(c) for c in range(0xF900, 0xFB4F) if chr(c).isalpha()]
+    texts = [f"a{c}.," for c in letters] + ["DON'T.", "The,", "THE!!", "x'.", "<|ENDOFTEXT|>", "ab<|endoftext|>", "İ#", "K,"]
+    for text in texts:
+        ids = tokeniser.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text

@@ -13,7 +13,9 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import string
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +32,9 @@ END_ID = 1
 LONG = 1 << 20
 WORDS_AT_ONCE = 1 << 18
 # Words whose ids are kept, in each of two generations.
-ENTRIES = 200_000
+ENTRIES = 400_000
+# Signs behind words; an apostrophe may belong to the word.
+SIGNS = string.punctuation.replace("'", "")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # str.split also splits at these, the tokeniser does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -49,6 +53,15 @@ class WordTokeniser:
         self.packed = BoundedCache(self.encode_word, ENTRIES)
 
     def encode_word(self, word: str) -> bytes:
+        # Letters and signs behind them are split, and letters lower-cased, before any merge;
+        # so the library is only asked for their lower-case runs. Letters that
+        # normalise to a letter and a mark are left to it.
+        letters = word.rstrip(SIGNS)
+        if letters.isalpha() and unicodedata.normalize("NFC", letters).lower().isalpha():
+            if len(letters) < len(word):
+                return self.packed[letters] + self.packed[word[len(letters) :]]
+            if word.isascii() and not word.islower():
+                return self.packed[word.lower()]
         ids = self.tokeniser.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
