@@ -7,7 +7,8 @@ fallen below the chosen miss probability. Survivors are confirmed on their full
 
 A band's candidates are not written out as pairs. First each block of a band gives a
 spanning forest of its likeliest links, whose links are confirmed and joined to
-components. After that, only pairs that lie in different components are left to test.
+components. After that, only documents that lie in different components are left to
+compare: a document asks about another component, whose full sets it meets in blocks.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ MISS = 1e-6
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
 SHINGLES_AT_ONCE = 1 << 11
+# Bits that mark the ids of documents to look up, a megabyte of them.
+BITS = 1 << 23
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -143,6 +146,13 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(sketch, schema)
 
 
+def buckets_of(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of each band: a hash of its values and its number."""
+    bands = np.ascontiguousarray(signatures[:, : BANDS * ROWS]).view(np.uint64).reshape(-1, BANDS)
+    numbers = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix(mix(bands + numbers) + numbers).view(np.int64)
+
+
 def banded(classes: DataFrame) -> DataFrame:
     """One row for each class and band: ``bucket``, a hash of the band and its values, and ``id``."""
     schema = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("id", classes.schema["id"].dataType)])
@@ -150,9 +160,7 @@ def banded(classes: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
-            bands = np.ascontiguousarray(values[:, : BANDS * ROWS]).view(np.uint64).reshape(-1, BANDS)
-            numbers = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            buckets = mix(mix(bands + numbers) + numbers).view(np.int64)
+            buckets = buckets_of(values)
             ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(values)), BANDS)))
             yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), ids], names=schema.fieldNames())
 
@@ -286,8 +294,13 @@ def likely_links(members: DataFrame, bounds, id_type: T.DataType) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
-def rest_of_pairs(members: DataFrame, labels: DataFrame, bounds, id_type: T.DataType) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that signatures do not rule out.
+def open_questions(
+    members: DataFrame, labels: DataFrame, bounds, id_type: T.DataType, likeliest: bool
+) -> DataFrame:
+    """(``id``, ``component``): members of a bucket, and other components in it with a member that signatures do not rule out.
+
+    With ``likeliest`` a member only asks about the component of its best match in a
+    block, which joins most of those that belong together before all others are asked.
 
     The most frequent component of a bucket stays in its blocks; a copy of every other
     member goes to each block. So equal components are never compared, and a bucket is
@@ -304,22 +317,31 @@ def rest_of_pairs(members: DataFrame, labels: DataFrame, bounds, id_type: T.Data
     held = mixed.withColumn("block", block_of(F.col("members"))).withColumn("copy", F.lit(False))
     blocks = F.sequence(F.lit(0), (F.ceil(F.col("members") / BLOCK) - 1).cast("int"))
     copies = mixed.where("stray").withColumn("block", F.explode(blocks)).withColumn("copy", F.lit(True))
-    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
+    schema = T.StructType([T.StructField("id", id_type), T.StructField("component", id_type)])
 
     def work(table: pa.Table) -> list[pa.Table]:
         signatures = signatures_of(table)
-        names = table.column("id")
-        ids, parts = names.to_numpy(), table.column("component").to_numpy()
+        ids, parts = table.column("id").to_numpy(), table.column("component").to_numpy()
         copy, stray = table.column("copy").to_numpy(), table.column("stray").to_numpy()
-        made, lefts, rights, waiting = [], [], [], 0
+        buckets, bands = table.column("bucket").to_numpy(), buckets_of(signatures)
+        asked: set[tuple[int, int]] = set()
+        lefts, rights, waiting = [], [], 0
 
         def flush() -> None:
             nonlocal lefts, rights, waiting
             left, right = np.concatenate(lefts), np.concatenate(rights)
-            places, _ = surviving(signatures, left, right, bounds)
-            made.append(
-                pa.Table.from_arrays([names.take(pa.array(left[places])), names.take(pa.array(right[places]))], names=["a", "b"])
-            )
+            # A pair that shares several buckets is looked at in that of its first band alone.
+            first = (bands[left] == bands[right]).argmax(1)
+            mine = bands[left, first] == buckets[left]
+            left, right = left[mine], right[mine]
+            places, matches = surviving(signatures, left, right, bounds)
+            left, right = left[places], right[places]
+            if likeliest:
+                order = np.lexsort((-matches, left))
+                left, right = left[order], right[order]
+                first = np.r_[True, left[1:] != left[:-1]][: len(left)]
+                left, right = left[first], right[first]
+            asked.update(zip(ids[left].tolist(), parts[right].tolist()))
             lefts, rights, waiting = [], [], 0
 
         for start, end in groups_of(table, ["bucket", "block"]):
@@ -335,25 +357,102 @@ def rest_of_pairs(members: DataFrame, labels: DataFrame, bounds, id_type: T.Data
                     flush()
         if lefts:
             flush()
-        return made
+        types = [table.schema.field("id").type] * 2
+        columns = [pa.array([row[k] for row in asked], types[k]) for k in range(2)]
+        return [pa.Table.from_arrays(columns, names=schema.fieldNames())]
 
     columns = ["bucket", "block", "id", "signature", "component", "copy", "stray"]
-    return by_group(held.select(columns).unionByName(copies.select(columns)), ["bucket", "block"], work, schema)
+    rows = held.select(columns).unionByName(copies.select(columns))
+    return by_group(rows, ["bucket", "block"], work, schema).distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough: 100 times the intersection reaches ``percent`` times the union."""
-    pairs = as_table(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def answered(
+    questions: DataFrame, labels: DataFrame, docs: DataFrame, words: int, percent: int, id_type: T.DataType
+) -> DataFrame:
+    """Links of asking members to the components they ask about, on full sets, one for each block of a component.
+
+    A component meets a question in blocks of bounded size; the pairs between them are
+    never written out.
+    """
+    questions = as_table(questions, "questions")
+    about = questions.select("component").distinct()
+    nodes = labels.join(about, "component", "left_semi").select("component", F.col("node").alias("id"))
+    nodes = as_table(nodes.unionByName(about.select("component", F.col("component").alias("id"))), "asked-nodes")
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    held = nodes.join(sizes, "component").withColumn("block", block_of(F.col("members")))
+    held = held.select("component", "block", "id", F.lit(False).alias("asks"))
+    blocks = F.sequence(F.lit(0), (F.ceil(F.col("members") / BLOCK) - 1).cast("int"))
+    asking = questions.join(sizes, "component").select("component", F.explode(blocks).alias("block"), "id", F.lit(True).alias("asks"))
+    sets = shingle_sets(docs, nodes.select("id").unionByName(questions.select("id")), words)
+    rows = held.unionByName(asking).join(sets, "id")
+    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
+
+    def work(table: pa.Table) -> list[pa.Table]:
+        ids, asks = table.column("id"), table.column("asks").to_numpy()
+        a, b = [], []
+        for start, end in groups_of(table, ["component", "block"]):
+            mine = np.arange(start, end)
+            inside = mine[~asks[mine]]
+            if not len(inside):
+                continue
+            found = [np.frombuffer(table.column("shingles")[int(at)].as_py(), np.uint64) for at in inside]
+            sizes = np.array([len(one) for one in found])
+            starts, whole = np.r_[0, np.cumsum(sizes)[:-1]], np.concatenate(found)
+            for at in mine[asks[mine]].tolist():
+                own = np.frombuffer(table.column("shingles")[at].as_py(), np.uint64)
+                place = np.minimum(np.searchsorted(own, whole), len(own) - 1)
+                common = np.add.reduceat((own[place] == whole).astype(np.int64), starts)
+                similar = 100 * common >= percent * (sizes + len(own) - common)
+                if similar.any():
+                    a.append(at)
+                    b.append(int(inside[similar.argmax()]))
+        return [pa.Table.from_arrays([ids.take(pa.array(one, pa.int64())) for one in (a, b)], names=["a", "b"])]
+
+    return by_group(rows, ["component", "block"], work, schema)
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id`` and packed shingles of the documents with the given ids.
+
+    A bitmap of fixed size holds the hashes of the ids; sets are only made of documents
+    that it may mean, so that sets are shuffled to the ids and texts stay where they are.
+    """
     id_type = docs.schema["id"].dataType
+    place = F.pmod(F.xxhash64("id"), F.lit(BITS)) + 1
+    wanted = ids.distinct()
+    marks = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    # At most BITS / 8 bytes, however many ids there are.
+    bitmap = np.zeros(BITS, bool)
+    for row in marks.collect():
+        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        start = (row["bucket"] - 1) * len(bits)
+        bitmap[start : start + len(bits)] = bits
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
     schema = T.StructType([T.StructField("id", id_type), T.StructField("shingles", T.BinaryType())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(shared.value)
         for batch in batches:
-            sets = [shingle_set(text.as_py(), words).tobytes() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            meant = np.flatnonzero(known[batch.column(1).to_numpy()])
+            for part in np.array_split(meant, len(meant) // 512 + 1):
+                rows = pa.array(part, pa.int64())
+                sets = [shingle_set(text.as_py(), words).tobytes() for text in batch.column(2).take(rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), pa.array(sets, pa.binary())], names=["id", "shingles"]
+                )
+
+    texts = docs.where(F.col("id").isNotNull()).select("id", (place - 1).alias("place"), "text")
+    made = texts.mapInArrow(make, schema).where(F.octet_length("shingles") > 0)
+    # Rows that repeat a document give its set once.
+    return as_table(made.join(wanted, "id", "left_semi").dropDuplicates(["id", "shingles"]), "shingles")
+
 
-    sets = as_table(docs.select("id", "text").join(needed, "id", "left_semi").mapInArrow(make, schema), "shingles")
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough: 100 times the intersection reaches ``percent`` times the union."""
+    pairs = as_table(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    sets = shingle_sets(docs, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), words)
 
     @F.arrow_udf("boolean")
     def similar(one: pa.Array, other: pa.Array) -> pa.Array:
@@ -404,9 +503,12 @@ def near_duplicates(
     likely = confirmed(likely_links(members, bounds, id_type), docs, words, percent)
     likely = as_table(likely, "links")
     labels = components(likely)
-    rest = confirmed(rest_of_pairs(members, labels, bounds, id_type), docs, words, percent)
-    links = likely.unionByName(rest)
-    labels = components(links)
+    links = likely
+    for likeliest in (True, False):
+        questions = open_questions(members, labels, bounds, id_type, likeliest)
+        found = as_table(answered(questions, labels, docs, words, percent, id_type), "links")
+        links = links.unionByName(found)
+        labels = components(links)
 
     named = firsts.join(labels, firsts["id"] == labels["node"], "left")
     named = named.select("k1", "k2", F.coalesce("component", "id").alias("component"))
