@@ -78,3 +78,39 @@ def test_no_target_clashing_columns_and_empty(spark):
     assert made.columns == ["doc_id", "text", "good", *lm_scoring.COLUMNS]
     assert made.first().target_loss == pytest.approx(math.log2(VOCABULARY), abs=1e-4)
     assert lm_scoring.score(df.where(F.lit(False)), "good", *PLACE, vocabulary=VOCABULARY).count() == 0
+
+
+def test_word_pairs_beyond_the_first_tokens_are_told_apart(spark):
+    # Both kinds have the same words, all of them late in the vocabulary; only their pairs differ.
+    whole = lm_scoring.codec(*PLACE).ranks
+    late = sorted((rank, word) for word, rank in whole.items() if rank > 30_000 and word[:1] == b" " and word[1:].isalpha() and word.isascii())
+    words = [word.decode() for _, word in late[:40]]
+    source = random.Random(5)
+
+    def text(good):
+        pairs = [(words[n], words[n + 1 if good else n - 1]) for n in range(0, 40, 2)]
+        return "".join("".join(source.choice(pairs)) for _ in range(60))
+
+    rows = [(n, text(n % 2), bool(n % 2) and n < 100) for n in range(160)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, target BOOLEAN").repartition(3)
+    made = lm_scoring.score(df, "target", *PLACE).collect()
+    assert {r.n_tokens for r in made} == {120}
+    held = sorted((r for r in made if r.doc_id >= 100), key=lambda r: r.score)
+    assert {r.doc_id % 2 for r in held[:30]} == {1} and {r.doc_id % 2 for r in held[30:]} == {0}
+
+
+def test_chunks_of_any_size_give_the_same(spark, monkeypatch):
+    source = random.Random(7)
+    rows = [(n, prose(source, ["the", "cat", "dog", "a"], n % 9) or None, n % 3 == 0) for n in range(90)]
+    one = {r.doc_id: r for r in scored(spark, rows).collect()}
+    monkeypatch.setattr(lm_scoring, "CHUNK", 20)
+    for r in scored(spark, rows).collect():
+        assert r.n_tokens == one[r.doc_id].n_tokens
+        assert (r.score is None) == (one[r.doc_id].score is None)
+        assert r.score is None or r.score == pytest.approx(one[r.doc_id].score, abs=1e-9)
+
+
+def test_slices_cover_all_texts(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SLICE", 2)
+    assert list(lm_scoring.slices([b"", b"1234", b"12", b"", b"12345678", b""])) == [(0, 2), (2, 4), (4, 5), (5, 6)]
+    assert list(lm_scoring.slices([])) == []

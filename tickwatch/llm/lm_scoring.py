@@ -1,8 +1,10 @@
 """Cross-entropy difference of two matched bigram models over one vocabulary.
 
-The vocabulary is the first part of a public byte-level BPE, which is a BPE itself
-and encodes every text. Both models count bigrams of its tokens, one in the target
-documents, one in all, and are smoothed alike (Witten-Bell).
+The vocabulary is a public byte-level BPE, which encodes every text. Both models
+count bigrams of its tokens, one in the target documents, one in all, and are
+smoothed alike (Witten-Bell). Counts are a table with a row for each bigram found,
+as many as the documents have. Documents meet it in chunks of bounded size: a chunk
+counts each of its bigrams once, asks for what they cost, and sums that up by document.
 """
 
 from __future__ import annotations
@@ -12,79 +14,199 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.llm import byte_bpe
 from tickwatch.llm.frames import quoted, unused, with_struct
 from tickwatch.settings import as_table
 
-# The tables of both models have VOCABULARY * (VOCABULARY + 1) cells, whatever the data.
-VOCABULARY = 2048
 COLUMNS = ["n_tokens", "target_loss", "background_loss", "score"]
-CELLS_AT_ONCE = 1 << 16
+MODELS = ["target", "background"]
+# Tokens of the documents that one worker holds at once, and takes apart at once; a longer document is taken whole.
+CHUNK = 1 << 22
+SLICE = 1 << 18
+ROWS_AT_ONCE = 1 << 16
 
 
 @functools.lru_cache(maxsize=2)
-def codec(path: str, pattern: str, vocabulary: int) -> byte_bpe.Codec:
-    whole = byte_bpe.codec(path, pattern).ranks
-    return byte_bpe.Codec({token: rank for token, rank in whole.items() if rank < vocabulary}, pattern)
+def codec(path: str, pattern: str, vocabulary: int | None = None) -> byte_bpe.Codec:
+    """The codec of the first tokens of a vocabulary, a BPE itself, or of all of them."""
+    whole = byte_bpe.codec(path, pattern)
+    if vocabulary is None:
+        return whole
+    return byte_bpe.Codec({token: rank for token, rank in whole.ranks.items() if rank < vocabulary}, pattern)
 
 
-def tokens(df: DataFrame, path: str, pattern: str, vocabulary: int, text_col: str, name: str) -> DataFrame:
-    """Add packed token ids (two little-endian bytes each); null is the empty text."""
+def packed_type(vocabulary: int) -> str:
+    """Little-endian bytes of a token id."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def tokens(df: DataFrame, path: str, pattern: str, vocabulary: int | None, text_col: str, name: str) -> DataFrame:
+    """Add packed token ids; null is the empty text."""
 
     @F.arrow_udf("ids binary")
     def encoded(texts: pa.Array) -> pa.Array:
         one = codec(path, pattern, vocabulary)
-        ids = [np.frombuffer(one.encode(text.as_py() or ""), "<u4").astype("<u2").tobytes() for text in texts]
+        kind = packed_type(len(one.ranks))
+        ids = [np.frombuffer(one.encode(text.as_py() or ""), "<u4").astype(kind).tobytes() for text in texts]
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     return with_struct(df, encoded(F.col(quoted(text_col)).cast("string")), {"ids": name})
 
 
-def cells(ids: bytes, vocabulary: int) -> np.ndarray:
-    """The table cell of each token after the one before it; the start of a text is a token of its own."""
-    current = np.frombuffer(ids, "<u2").astype(np.int64)
-    before = np.concatenate([[vocabulary], current[:-1]]) if len(current) else current
-    return before * vocabulary + current
+def chunked(df: DataFrame, ids: str, names: list[str]) -> DataFrame:
+    """Add the chunk of each row, which is a run of rows of one task, and its place there."""
+
+    @F.arrow_udf("chunk bigint, place bigint")
+    def dealt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        chunk, place, held = TaskContext.get().partitionId() << 32, 0, 0
+        for sizes in batches:
+            chunks, places = [], []
+            for size in sizes.to_pylist():
+                # Each row counts as one byte more, so that empty ones fill a chunk as well.
+                if held and held + size + 1 > 2 * CHUNK:
+                    chunk, place, held = chunk + 1, 0, 0
+                chunks.append(chunk)
+                places.append(place)
+                place, held = place + 1, held + size + 1
+            yield pa.StructArray.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int64())], ["chunk", "place"])
+
+    made = dealt.asNondeterministic()(F.octet_length(F.col(quoted(ids))).cast("bigint"))
+    return with_struct(df, made, dict(zip(["chunk", "place"], names)))
+
+
+def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Runs of texts with few tokens together."""
+    first, held = 0, 0
+    for n, ids in enumerate(texts):
+        if held and held + len(ids) > 2 * SLICE:
+            yield first, n
+            first, held = n, 0
+        held += len(ids)
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def bigrams(texts: list[bytes], vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the number of each token after the one before it; the start of a text is a token of its own."""
+    kind = np.dtype(packed_type(vocabulary))
+    sizes = np.array([len(ids) // kind.itemsize for ids in texts], np.int64)
+    current = np.frombuffer(b"".join(texts), kind).astype(np.int64)
+    before = np.empty_like(current)
+    before[1:] = current[:-1]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = vocabulary
+    return np.repeat(np.arange(len(sizes)), sizes), before * vocabulary + current
+
+
+def added(numbers: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Sorted numbers, each once, and their summed counts."""
+    if not len(numbers):
+        return [numbers, *counts]
+    order = np.argsort(numbers)
+    numbers = numbers[order]
+    starts = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+    return [numbers[starts], *(np.add.reduceat(one[order], starts) for one in counts)]
+
+
+def chunk_counts(encoded: DataFrame, vocabulary: int) -> DataFrame:
+    """``chunk``, ``bigram`` and its counts there in target documents and in all.
+
+    Input: ``ids``, ``chunk`` and ``target``. A chunk that is read in two tasks gives two rows for a bigram of both.
+    """
+
+    def slice_counts(texts: list[bytes], wanted: np.ndarray) -> list[np.ndarray]:
+        owner, found = bigrams(texts, vocabulary)
+        # The last bit says whether the document is a target.
+        found = np.sort(found * 2 + wanted[owner])
+        numbers, target = found >> 1, found & 1
+        if not len(found):
+            return [numbers, target, target]
+        starts = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+        return [numbers[starts], np.add.reduceat(target, starts), np.diff(np.append(starts, len(found)))]
+
+    def counted(chunk: int, texts: list[bytes], wanted: list[bool]) -> Iterator[pa.RecordBatch]:
+        flags = np.array(wanted, np.int64)
+        each = [slice_counts(texts[a:b], flags[a:b]) for a, b in slices(texts)]
+        columns = added(*map(np.concatenate, zip(*each)))
+        for at in range(0, len(columns[0]), ROWS_AT_ONCE):
+            part = [pa.array(column[at : at + ROWS_AT_ONCE], pa.int64()) for column in columns]
+            same = pa.array(np.full(len(part[0]), chunk, np.int64))
+            yield pa.RecordBatch.from_arrays([same, *part], names=["chunk", "bigram", *MODELS])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, texts, wanted = None, [], []
+        for batch in batches:
+            for ids, its, target in zip(*(batch.column(name).to_pylist() for name in ("ids", "chunk", "target"))):
+                if its != chunk and texts:
+                    yield from counted(chunk, texts, wanted)
+                    texts, wanted = [], []
+                chunk = its
+                texts.append(ids)
+                wanted.append(target)
+        if texts:
+            yield from counted(chunk, texts, wanted)
+
+    schema = "chunk bigint, bigram bigint, target bigint, background bigint"
+    return encoded.select("ids", "chunk", "target").mapInArrow(count, schema)
 
 
-def bigram_counts(encoded: DataFrame, vocabulary: int) -> DataFrame:
-    """``cell`` with its counts in target documents and in all, summed in each task before they are shuffled.
+def losses(counts: DataFrame, vocabulary: int) -> DataFrame:
+    """Bits that each ``bigram`` costs in both models, by Witten-Bell smoothing of bigrams with tokens, and of those with the even spread.
 
-    Input: ``ids`` and ``target``.
+    A token is the last or the first one of at most as many bigrams as there are tokens.
+    """
+    size = F.lit(vocabulary).cast("bigint")
+    split = counts.withColumn("before", F.expr(f"bigram div {vocabulary}L")).withColumn("token", F.col("bigram") % size)
+
+    def sums(prefix: str) -> list[Column]:
+        made = [(F.sum(name).alias(f"{prefix}_{name}"), F.count_if(F.col(name) > 0).alias(f"{prefix}_{name}_kinds")) for name in MODELS]
+        return [column for pair in made for column in pair]
+
+    single = split.groupBy("token").agg(*[F.sum(name).alias(name) for name in MODELS])
+    whole = single.agg(*sums("all")).first()
+    lows = []
+    for name in MODELS:
+        kinds, total = whole[f"all_{name}_kinds"], whole[f"all_{name}"] or 0
+        low = (F.col(name) + F.lit(kinds / vocabulary)) / F.lit(total + kinds) if kinds else F.lit(1 / vocabulary)
+        lows.append(low.alias(f"low_{name}"))
+    joined = split.join(split.groupBy("before").agg(*sums("after")), "before").join(single.select("token", *lows), "token")
+    made = []
+    for name in MODELS:
+        kinds, low = F.col(f"after_{name}_kinds"), F.col(f"low_{name}")
+        weight = F.col(f"after_{name}") + kinds
+        mixed = F.when(weight > 0, (F.col(name) + kinds * low) / weight).otherwise(low)
+        made.append((-F.log2(mixed)).cast("float").alias(f"{name}_loss"))
+    return joined.select("bigram", *made)
+
+
+def summed(rows: DataFrame, costs: DataFrame, vocabulary: int) -> DataFrame:
+    """``chunk``, ``place`` and ``found``, the result columns, of each row; a chunk is one group.
+
+    Input: ``chunk``, ``place`` and ``ids`` of rows; ``chunk``, ``bigram`` and both losses of its bigrams.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = vocabulary * (vocabulary + 1)
-        whole, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for batch in batches:
-            for ids, wanted in zip(batch.column("ids"), batch.column("target").to_pylist()):
-                found, times = np.unique(cells(ids.as_py(), vocabulary), return_counts=True)
-                whole[found] += times
-                if wanted:
-                    target[found] += times
-        for part in np.array_split(np.flatnonzero(whole), max(1, np.count_nonzero(whole) // CELLS_AT_ONCE)):
-            columns = [pa.array(part), pa.array(target[part]), pa.array(whole[part])]
-            yield pa.RecordBatch.from_arrays(columns, names=["cell", "target", "background"])
-
-    partial = encoded.select("ids", "target").mapInArrow(count, "cell bigint, target bigint, background bigint")
-    return partial.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def losses(found: np.ndarray, counts: np.ndarray, vocabulary: int) -> np.ndarray:
-    """Bits that each bigram costs, by Witten-Bell smoothing of bigrams with tokens, and of those with the even spread."""
-    table = np.zeros((vocabulary + 1, vocabulary))
-    table.ravel()[found] = counts
-    single = table.sum(0)
-    kinds = np.count_nonzero(single)
-    even = np.full(vocabulary, 1 / vocabulary)
-    single = (single + kinds * even) / (single.sum() + kinds) if kinds else even
-    kinds = np.count_nonzero(table, axis=1)[:, None]
-    weight = table.sum(1, keepdims=True) + kinds
-    mixed = (table + kinds * single) / np.where(weight > 0, weight, 1)
-    return -np.log2(np.where(weight > 0, mixed, single)).astype(np.float32).ravel()
+    def means(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("ids").to_pylist()
+        numbers = right.column("bigram").to_numpy()
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+        tables = [right.column(f"{name}_loss").to_numpy()[order] for name in MODELS]
+        sizes, each = np.zeros(len(texts), np.int64), [np.zeros(len(texts)) for _ in MODELS]
+        for a, b in slices(texts):
+            owner, wanted = bigrams(texts[a:b], vocabulary)
+            places = np.searchsorted(numbers, wanted)
+            sizes[a:b] = np.bincount(owner, minlength=b - a)
+            for mean, table in zip(each, tables):
+                mean[a:b] = np.bincount(owner, table[places], b - a) / np.maximum(sizes[a:b], 1)
+        columns = [pa.array(sizes), *(pa.array(one, mask=sizes == 0) for one in (*each, each[0] - each[1]))]
+        found = pa.StructArray.from_arrays(columns, COLUMNS)
+        return pa.table({"chunk": left.column("chunk"), "place": left.column("place"), "found": found})
+
+    schema = "chunk bigint, place bigint, found struct<n_tokens bigint, target_loss double, background_loss double, score double>"
+    return rows.groupBy("chunk").cogroup(costs.groupBy("chunk")).applyInArrow(means, schema)
 
 
 def score(
@@ -93,7 +215,7 @@ def score(
     path: str,
     pattern: str,
     text_col: str = "text",
-    vocabulary: int = VOCABULARY,
+    vocabulary: int | None = None,
 ) -> DataFrame:
     """Add ``n_tokens``, the mean loss per token under both models, and ``score``, target minus background.
 
@@ -102,30 +224,31 @@ def score(
     texts have no tokens and null losses. Counts are of all documents; repeated rows
     count as often as they stand. Same-named columns of the input are replaced; an
     empty table gives an empty result. Without target documents, their model is the
-    even spread. At most ``vocabulary * (vocabulary + 1)`` counts come to the driver
-    and go to the workers.
+    even spread. The tokens are the first ``vocabulary`` ones, or all. Rows with their
+    token ids and the counts of all bigrams are written to the shared folder; one row
+    of sums comes to the driver.
     """
-    (held,) = unused(df, "ids")
+    (ids,) = unused(df, "ids")
+    size = vocabulary or vocabulary_size(path, pattern)
+    return score_ids(tokens(df, path, pattern, vocabulary, text_col, ids), target, ids, size).drop(ids)
+
+
+def vocabulary_size(path: str, pattern: str) -> int:
+    return len(codec(path, pattern).ranks)
+
+
+def score_ids(df: DataFrame, target: str, ids_col: str, vocabulary: int) -> DataFrame:
+    """``score`` of rows that have their token ids, as ``tokens`` packs them, in a column."""
+    held = unused(df, "chunk", "place", "found")
+    chunk, place, found = held
+    encoded = as_table(chunked(df, ids_col, held[:2]), "lm-tokens")
     flag = F.coalesce(F.col(quoted(target)).cast("boolean"), F.lit(False))
-    encoded = as_table(tokens(df, path, pattern, vocabulary, text_col, held), "lm-tokens")
-    counted = bigram_counts(encoded.select(F.col(held).alias("ids"), flag.alias("target")), vocabulary)
-    table = counted.toArrow()
-    packed = tuple(table.column(name).to_numpy() for name in ("cell", "target", "background"))
-    shared = df.sparkSession.sparkContext.broadcast(packed)
-
-    @F.arrow_udf("n_tokens bigint, target_loss double, background_loss double, score double")
-    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        found, *counts = shared.value
-        tables = [losses(found, one, vocabulary) for one in counts]
-        for batch in batches:
-            sizes, means = [], ([], [])
-            for ids in batch:
-                places = cells(ids.as_py(), vocabulary)
-                sizes.append(len(places))
-                for mean, one in zip(means, tables):
-                    mean.append(float(one[places].mean(dtype=np.float64)) if len(places) else None)
-            differences = [None if a is None else a - b for a, b in zip(*means)]
-            columns = [pa.array(sizes, pa.int64()), *(pa.array(column, pa.float64()) for column in (*means, differences))]
-            yield pa.StructArray.from_arrays(columns, COLUMNS)
-
-    return with_struct(encoded, scored(held), COLUMNS).drop(held)
+    rows = encoded.select(
+        F.col(quoted(ids_col)).alias("ids"), F.col(chunk).alias("chunk"), F.col(place).alias("place"), flag.alias("target")
+    )
+    partial = chunk_counts(rows, vocabulary)
+    counts = as_table(partial.groupBy("bigram").agg(*[F.sum(name).alias(name) for name in MODELS]), "lm-counts")
+    # A bigram stands once for each chunk, however often its documents have it.
+    costs = partial.select("chunk", "bigram").join(losses(counts, vocabulary), "bigram")
+    results = summed(rows.select("chunk", "place", "ids"), costs, vocabulary).toDF(chunk, place, found)
+    return with_struct(encoded.join(results, [chunk, place]), F.col(found), COLUMNS).drop(*held)

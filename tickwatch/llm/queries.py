@@ -133,9 +133,12 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much more every document resembles those of good quality than all documents."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return lm_scoring.score(docs, "target", *vocabulary).select("doc_id", *lm_scoring.COLUMNS)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Token ids are joined and written, not the texts.
+    docs = lm_scoring.tokens(docs, *vocabulary, None, "text", "ids").select("doc_id", "ids").join(good, "doc_id", "left")
+    scored = lm_scoring.score_ids(docs, "target", "ids", lm_scoring.vocabulary_size(*vocabulary))
+    return scored.select("doc_id", *lm_scoring.COLUMNS)
 
 
 def importable(spark: SparkSession) -> None:
