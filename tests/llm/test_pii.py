@@ -85,3 +85,34 @@ def test_overlapping_spans_are_replaced_as_one(documents):
     text = "call +30569309025904 now"
     assert [kind for _, kind, _ in pii.base_spans(text)] == [pii.PHONE, pii.CARD]
     assert pii.redact(documents([(1, text)])).first().text == "call <PHONE> now"
+
+
+def test_numbers_in_several_words_are_found_whole(documents):
+    rows = [(n, f"please ring me on mobile +1 (743) 555-{1000 + n} soon") for n in range(12)]
+    starts = [f"4111111111111{n:02d}" for n in range(12)]
+    digits = [start + next(str(d) for d in range(10) if luhn(start + str(d))) for start in starts]
+    cards = [" ".join(card[at : at + 4] for at in range(0, 16, 4)) for card in digits]
+    rows += [(50 + n, f"we charged visa {card} twice") for n, card in enumerate(cards)]
+    wanted = {
+        100: ("please ring me on mobile ", "(743) 555-3824", " soon", "PHONE"),
+        101: ("please ring me on mobile ", "06 12 34 56 78", " later", "PHONE"),
+        102: ("we charged visa ", "4111 1111 1111 1112", " twice", "CARD"),
+        103: ("to 1.2.3.4 and mobile (", "743 555 3824", ") again", "PHONE"),
+    }
+    rows += [(n, left + number + right) for n, (left, number, right, _) in wanted.items()]
+    rows += [(200, "chapter 06 12 34 56 78 of the book")]
+    found = {r.id: [tuple(s) for s in r.learned] for r in pii.found_spans(documents(rows)).collect()}
+    expected = {
+        n: [(len(left), pii.KINDS.index(kind.lower()), len(left + number))] for n, (left, number, _, kind) in wanted.items()
+    }
+    assert {n: spans for n, spans in found.items() if spans} == expected
+    redacted = {r.doc_id: r.text for r in pii.redact(documents(rows)).collect()}
+    assert redacted[100] == "please ring me on mobile <PHONE> soon" and redacted[102] == "we charged visa <CARD> twice"
+    assert redacted[103] == "to <IP> and mobile (<PHONE>) again"
+
+
+def test_numbers_side_by_side_are_still_found(documents):
+    rows = [(n, f"please ring me on mobile +1 555 010 {1000 + n} soon") for n in range(12)]
+    rows += [(100, "ring mobile 555-0199-22 555-0199-23 555-0199-24 now")]
+    found = {r.id: [tuple(s) for s in r.learned] for r in pii.found_spans(documents(rows)).collect()}
+    assert found[100] == [(12, pii.PHONE, 23)]

@@ -31,7 +31,9 @@ CARD_TEXT = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE_TEXT = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 MARK = re.compile(r"[0-9@]")
-NUMBER_SHAPE = re.compile(r"[0-9(+][0-9().+/-]*")
+NUMBER_SHAPE = re.compile(r"[0-9(+][0-9().+/\x20-]*")
+# A longest run of digits and what may stand between them, over several words.
+RUN = re.compile(r"(?<!\w)[(+]*[0-9](?:[\x20()./-]*[0-9])*(?!\w)")
 IP_SHAPE = re.compile(r"[0-9A-Fa-f]*(?:[.:][0-9A-Fa-f]*){3,}")
 EDGES = "\"'`.,;:!?()[]{}<>|*#&$%=/\\"
 AROUND = 64
@@ -127,6 +129,50 @@ def unknown_spans(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tupl
             yield start, end
 
 
+def unknown_runs(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, tuple[int, int]]]:
+    """(start, end, where its contexts lie) of numbers written in several words that look like identifiers, in the text between base spans."""
+    if not DIGIT.search(text):
+        return
+    done = 0
+    for first, _, last in [*taken, (len(text), None, len(text))]:
+        for match in RUN.finditer(text, done, max(done, first)):
+            start, end = match.span()
+            # Brackets around the run are neither part of it nor a word beside it.
+            while text[start] == "(" and ")" not in text[start:end]:
+                start += 1
+            around = match.start(), end + text[end : end + start - match.start()].count(")")
+            value = text[start:end]
+            if " " in value and SHORTEST <= len(value) <= LONGEST and shapes(value):
+                yield start, end, around
+        done = max(done, last)
+
+
+def unknowns(text: str, taken: list[tuple[int, int, int]]) -> Iterator[dict]:
+    """All unknown identifiers: words, and runs over words with the contexts outside the whole run.
+
+    ``outer`` is where the run around a word begins. A pattern that a run has from one of
+    its own words is ``shared``: there the word counts as the pattern's value, not the run too.
+    """
+
+    def one(start: int, end: int, outer: int, run: bool, patterns: list[str], shared: list[str]) -> dict:
+        value = text[start:end]
+        made = {"kind": None, "start": start, "end": end, "value": value, "shapes": shapes(value)}
+        return {**made, "patterns": patterns, "shared": shared, "outer": outer, "run": run}
+
+    runs = list(unknown_runs(text, taken))
+    begins, inner = [run[0] for run in runs], [set() for _ in runs]
+    for start, end in unknown_spans(text, taken):
+        patterns, outer = contexts(text, start, end), start
+        at = bisect_right(begins, start) - 1
+        if at >= 0 and end <= runs[at][1]:
+            outer = begins[at]
+            inner[at].update(patterns)
+        yield one(start, end, outer, False, patterns, [])
+    for (start, end, around), known in zip(runs, inner):
+        patterns = contexts(text, *around)
+        yield one(start, end, start, True, [p for p in patterns if p not in known], [p for p in patterns if p in known])
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a span: the word before, the two before, the word after; digits are all alike."""
     plain = lambda word: DIGIT.sub("0", word.lower().strip(EDGES) or word)
@@ -148,6 +194,9 @@ def marked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             T.StructField("value", T.StringType()),
             T.StructField("shapes", T.ArrayType(T.IntegerType())),
             T.StructField("patterns", T.ArrayType(T.StringType())),
+            T.StructField("shared", T.ArrayType(T.StringType())),
+            T.StructField("outer", T.IntegerType()),
+            T.StructField("run", T.BooleanType()),
         ]
     )
     schema = T.StructType(
@@ -171,9 +220,7 @@ def marked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     {"kind": kind, "start": s, "end": e, "value": text[s:e][: 2 * LONGEST], "shapes": [], "patterns": contexts(text, s, e)}
                     for s, kind, e in base
                 ]
-                for s, e in unknown_spans(text, base):
-                    value = text[s:e]
-                    rows.append({"kind": None, "start": s, "end": e, "value": value, "shapes": shapes(value), "patterns": contexts(text, s, e)})
+                rows.extend(unknowns(text, base))
                 bases.append([{"start": s, "kind": kind, "end": e} for s, kind, e in base])
                 seens.append(rows)
             columns = [batch.column(0), batch.column(1), pa.array(bases, base_type), pa.array(seens, seen_type)]
@@ -211,16 +258,20 @@ def found_spans(df: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", t
     """``id``, ``text_key``, ``base`` and ``learned`` spans (start, kind, end; code points) of every row."""
     rows = as_table(marked(df, id_col, text_col), "marked")
     one = rows.select("id", "text_key", F.explode("seen").alias("one")).select("id", "text_key", "one.*")
-    occurrences = one.withColumn("pattern", F.explode("patterns")).drop("patterns")
-    patterns = sure_patterns(occurrences, rules)
-    hits = occurrences.where(F.col("kind").isNull()).drop("kind").join(patterns, "pattern")
+    patterns = sure_patterns(one.withColumn("pattern", F.explode("patterns")), rules)
+    unknown = one.where(F.col("kind").isNull()).drop("kind")
+    hits = unknown.withColumn("pattern", F.explode(F.concat("patterns", "shared"))).join(patterns, "pattern")
     hits = hits.where(F.array_contains("shapes", F.col("kind")))
     # The surest kind of each span; ties go to the kind listed first.
     surest = F.max(F.struct("confidence", (-F.col("kind")).alias("last")))
-    best = hits.groupBy("id", "text_key", "start", "end").agg((-surest["last"]).alias("kind"))
-    learned = best.groupBy("id", "text_key").agg(
-        F.sort_array(F.collect_set(F.struct("start", "kind", "end"))).alias("learned")
+    best = hits.groupBy("id", "text_key", "outer", "run", "start", "end").agg((-surest["last"]).alias("kind"))
+    # A run stands for the words in it.
+    span = F.struct("start", "kind", "end")
+    runs = best.groupBy("id", "text_key", "outer").agg(
+        F.max(F.when(F.col("run"), span)).alias("whole"), F.collect_set(span).alias("words")
     )
+    chosen = F.when(F.col("whole").isNotNull(), F.array("whole")).otherwise(F.col("words"))
+    learned = runs.groupBy("id", "text_key").agg(F.sort_array(F.flatten(F.collect_list(chosen))).alias("learned"))
     learned = learned.select(F.col("id").alias("its_id"), F.col("text_key").alias("its_key"), "learned")
     same = (F.col("text_key") == F.col("its_key")) & F.col("id").eqNullSafe(F.col("its_id"))
     joined = rows.drop("seen").join(learned, same, "left").drop("its_id", "its_key")
