@@ -13,14 +13,3 @@ def documents(spark):
         ).repartition(3)
 
     return make
-
-
-def words_of(count, seed, words=200):
-    import random
-
-    source = random.Random(seed)
-    return " ".join(f"w{source.randrange(words)}" for _ in range(count))
-
-
-# Texts that every operator has to take: null, empty, blank, one word, beyond ASCII, repeated, very long.
-ODD = [None, "", " \n\t ", "one", "Ünïcode 漢字 😀 \x00 ▁ <|endoftext|> <s>", "same text here", "same text here", "x" * 70_000]

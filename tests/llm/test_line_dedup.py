@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from llm.conftest import ODD
+from samples import ODD
 
 from tickwatch.llm import line_dedup
 from tickwatch.llm.cuckoo import CuckooFilter

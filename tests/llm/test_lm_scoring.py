@@ -4,7 +4,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
-from llm.conftest import ODD
+from samples import ODD
 from pyspark.sql import functions as F
 
 from tickwatch.llm import lm_scoring

@@ -2,7 +2,7 @@ import itertools
 import random
 
 import pytest
-from llm.conftest import ODD, words_of
+from samples import ODD, words_of
 from pyspark.sql import functions as F
 
 from tickwatch.llm import near_dedup

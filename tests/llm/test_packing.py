@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import public_tokenizers
 import pytest
-from llm.conftest import ODD
+from samples import ODD
 from tokenizers import Tokenizer
 
 from tickwatch.llm import packing

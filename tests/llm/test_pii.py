@@ -1,6 +1,6 @@
 import re
 
-from llm.conftest import ODD
+from samples import ODD
 
 from tickwatch.llm import pii
 

@@ -4,8 +4,12 @@ import struct
 import corpus_pipeline
 import duckdb
 import pytest
-from llm import test_line_dedup, test_near_dedup, test_packing, test_pii, test_quality
-from llm.conftest import ODD
+import test_line_dedup
+import test_near_dedup
+import test_packing
+import test_pii
+import test_quality_rules
+from samples import ODD
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -35,7 +39,7 @@ def test_pipeline_equals_brute_force_stages(spark, documents):
     docs = documents(corpus())
     kept = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     judged = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
-    failed = {i for i, t in corpus() if (b := test_quality.base(t))[0] < 50 or 2 * b[4] > b[0]}
+    failed = {i for i, t in corpus() if (b := test_quality_rules.base(t))[0] < 50 or 2 * b[4] > b[0]}
     assert set(kept) == judged and not failed & judged and set(range(40)) <= judged
 
     lines = corpus_pipeline.repeated_lines(spark, documents(kept.items()), "")

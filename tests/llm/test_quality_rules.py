@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 import pytest
-from llm.conftest import ODD, words_of
+from samples import ODD, words_of
 
 from tickwatch.llm import quality
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
-from llm.conftest import ODD
+from samples import ODD
 
 from tickwatch.llm import byte_bpe, queries, token_counts
 
