@@ -29,13 +29,6 @@ def spark(tmp_path_factory):
     own.stop()
 
 
-def at(ms):
-    """Epoch milliseconds as a naive UTC time, as results show it."""
-    from datetime import datetime, timedelta
-
-    return datetime(1970, 1, 1) + timedelta(milliseconds=ms)
-
-
 @pytest.fixture(scope="session")
 def texts(spark):
     """Make ticks of (seq, ingest ms, text) rows."""

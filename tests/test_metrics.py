@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import at
+from helpers import at
 
 from tickwatch.operators.metrics import health_metrics, market_metrics
 

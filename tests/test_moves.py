@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import at
+from helpers import at
 from pyspark.sql import functions as F
 
 from tickwatch.operators.moves import known_market_moves, move_rejects, move_status_counts, price_moves
