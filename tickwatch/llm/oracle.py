@@ -47,4 +47,39 @@ SELECT page_id, parts.host, parts.path, best.rule, coalesce(best.verdict, 'allow
 FROM parts LEFT JOIN best ON parts.host = best.host AND parts.path = best.path
 """
 
-ORACLES: dict[str, str] = {"op3_url_filters": URL_FILTERS, "op4_line_dedup": LINE_DEDUP}
+DECONTAMINATION = r"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_starts AS (
+  SELECT item, words, least(len(words), 10) AS n,
+         unnest(generate_series(1, len(words) - least(len(words), 10) + 1)) AS pos
+  FROM item_words WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS passage FROM item_starts
+), doc_words AS (
+  SELECT doc_id, coalesce(
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents
+), lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, pos, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS passage
+  FROM (SELECT doc_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS pos FROM doc_words, lengths)
+), found AS (SELECT p.doc_id, p.n, p.pos, w.item FROM places p JOIN windows w ON p.n = w.n AND p.passage = w.passage),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(pos, pos + n - 1)) AS word FROM (SELECT DISTINCT doc_id, n, pos FROM found))
+  GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_url_filters": URL_FILTERS, "op4_line_dedup": LINE_DEDUP, "op11_decontamination": DECONTAMINATION}

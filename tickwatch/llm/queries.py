@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.llm import (
     byte_bpe,
+    decontamination,
     line_dedup,
     lm_scoring,
     near_dedup,
@@ -141,6 +142,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *lm_scoring.COLUMNS)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of every document lie in a benchmark passage, and whose passages they are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this library where the driver found it, whatever folder Spark was started in."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -169,6 +185,7 @@ REGISTERED: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_decontamination": op11_decontamination,
 }
 
 QUERIES: dict[str, Query] = {name: ready(query) for name, query in REGISTERED.items()}
