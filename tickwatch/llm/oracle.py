@@ -82,4 +82,46 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_url_filters": URL_FILTERS, "op4_line_dedup": LINE_DEDUP, "op11_decontamination": DECONTAMINATION}
+
+def _clustering(rounds: int = 5) -> str:
+    """Every round as a table of its own: each vector's nearest centroid, then the floors of the means."""
+    steps = []
+    for number in range(rounds + 1):
+        steps.append(f"""near{number} AS MATERIALIZED (
+  SELECT vec_id, row, arg_min(cluster, distance * 64 + cluster) AS cluster, min(distance) AS distance
+  FROM (SELECT p.row, any_value(p.vec_id) AS vec_id, c.cluster, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS distance
+        FROM parts p JOIN centroids{number} c ON p.i = c.i GROUP BY p.row, c.cluster)
+  GROUP BY vec_id, row)""")
+        steps.append(f"""centroids{number + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.i, coalesce(m.x, c.x) AS x FROM centroids{number} c LEFT JOIN (
+    SELECT n.cluster, p.i,
+           CAST((sum(p.x) - ((sum(p.x) % count(*)) + count(*)) % count(*)) / count(*) AS BIGINT) AS x
+    FROM near{number} n JOIN parts p USING (row) GROUP BY n.cluster, p.i
+  ) m USING (cluster, i))""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS row, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, row, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM kept, (SELECT unnest(generate_series(1, 64)) AS i)
+), firsts AS (
+  SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster FROM kept
+), centroids0 AS (SELECT f.cluster, p.i, p.x FROM firsts f JOIN parts p USING (row) WHERE f.cluster < 40),
+{", ".join(steps[:-1])},
+digests AS (
+  SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+  FROM centroids{rounds} GROUP BY cluster)
+SELECT n.vec_id, CAST(n.cluster AS INTEGER) AS cluster, n.distance,
+       CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(n.distance) OVER () AS BIGINT) AS inertia, d.centroid_sha256
+FROM near{rounds} n JOIN digests d USING (cluster)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_url_filters": URL_FILTERS,
+    "op4_line_dedup": LINE_DEDUP,
+    "op11_decontamination": DECONTAMINATION,
+    "op13_clustering": _clustering(),
+}

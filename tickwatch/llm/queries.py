@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.llm import (
     byte_bpe,
+    clustering,
     decontamination,
     line_dedup,
     lm_scoring,
@@ -157,6 +158,15 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest of 40 centroids of every vector, and how far all lie from theirs."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows, centroids = clustering.cluster(vectors)
+    return clustering.with_inertia(rows.drop("embedding"), centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this library where the driver found it, whatever folder Spark was started in."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -186,6 +196,7 @@ REGISTERED: dict[str, Query] = {
     "op9_neighbours": op9_neighbours,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_decontamination": op11_decontamination,
+    "op13_clustering": op13_clustering,
 }
 
 QUERIES: dict[str, Query] = {name: ready(query) for name, query in REGISTERED.items()}
