@@ -1,0 +1,244 @@
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+import __spark_entry__ as entry
+from tickwatch.llm import conversations, queries
+from tickwatch.llm.conversations import ACCEPT, GIVEN, TOPS, advance
+
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+FILLED = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def faults_of(turns):
+    out, seen = [], set()
+    for role, text in turns:
+        filled = FILLED.findall(text)
+        if not filled:
+            out.append("blank")
+        elif (role, text) in seen:
+            out.append("duplicate")
+        else:
+            out.append(None if filled[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def cheapest(turns, faults):
+    """Least (cost, audit) and the turns after it, by search over (turns read, roles so far as far as they matter)."""
+    ahead = [(0, "", 0, 0, ())]
+    done = set()
+    # What may follow: nothing yet, after s, after u, after a.
+    follows = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    while ahead:
+        cost, audit, at, state, made = heapq.heappop(ahead)
+        if at == len(turns) and state in (0, 3):
+            assert GRAMMAR.fullmatch("".join(role[0] for role, _ in made))
+            return cost, audit, made
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        for initial, role in GIVEN.items():
+            if initial in follows[state]:
+                heapq.heappush(ahead, (cost + 2, audit + "I", at, follows[state][initial], (*made, (role, ""))))
+        if at < len(turns):
+            role, text = turns[at]
+            heapq.heappush(ahead, (cost + 3, audit + "D", at + 1, state, made))
+            if faults[at] in ("blank", "duplicate"):
+                continue
+            more = faults[at] == "truncated"
+            if role[:1] in follows[state]:
+                heapq.heappush(ahead, (cost + more, audit + "K", at + 1, follows[state][role[:1]], (*made, (role, text))))
+            for initial, given in GIVEN.items():
+                if initial in follows[state]:
+                    heapq.heappush(ahead, (cost + 2 + more, audit + "R", at + 1, follows[state][initial], (*made, (given, text))))
+
+
+def brute(rows):
+    """Summary by conversation of (conv, turn, role, text) rows."""
+    by_conv = {}
+    for conv, turn, role, text in rows:
+        by_conv.setdefault(conv, []).append((turn, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, turns in by_conv.items():
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1].encode(), t[2].encode()))
+        numbers = [t[0] for t in turns if t[0] is not None]
+        said = [t[1:] for t in turns]
+        faults = faults_of(said)
+        cost, audit, made = cheapest(said, faults)
+        initials = [role[:1] for role, _ in said]
+        out[conv] = (
+            max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+            *(faults.count(name) for name in ("blank", "duplicate", "truncated")),
+            sum(a + b not in ("su", "ua", "au") for a, b in itertools.pairwise(initials)),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(f"{role}:{text}" for role, text in made).encode()).hexdigest(),
+        )
+    return out
+
+
+SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+ROLES = ["user", "assistant", "system", "tool", "", None, "users", "User"]
+TEXTS = ["Yes.", "No!", "cut off", "", None, " \n", "Why? ", "漢字.", "ends with \x85", ". \x0b\t"]
+
+
+def random_rows(count, seed, longest=9, odd=0.15):
+    source, rows = random.Random(seed), []
+    for conv in range(count):
+        turn = 0
+        for _ in range(source.randrange(1, longest)):
+            turn += source.choice([0, 1, 1, 1, 1, 3])
+            role = source.choice(ROLES) if source.random() < odd else source.choice(ROLES[:2])
+            text = source.choice(TEXTS) if source.random() < 0.3 else f"text {source.randrange(40)}."
+            rows.append((conv if conv else None, None if source.random() < odd / 4 else turn, role, text))
+    return rows
+
+
+def check(spark, rows, **how):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    edits = conversations.repair(df, **how)
+    got = {row.conv_id: tuple(row)[1:] for row in conversations.summaries(df, edits).collect()}
+    expected = brute(rows)
+    assert got.keys() == expected.keys()
+    for conv in expected:
+        assert got[conv] == expected[conv], [row for row in rows if row[0] == conv]
+    return df, edits
+
+
+def test_equal_tops_go_on_alike():
+    # All stacks between two turns that can be reached, by their tops.
+    reached, todo = {(0,)}, [(0,)]
+    while todo:
+        stack = todo.pop()
+        for role in "sua":
+            after = advance(stack, role)
+            if after and after not in reached:
+                reached.add(after)
+                todo.append(after)
+    assert {stack[-1] for stack in reached} == set(TOPS)
+    for stack in reached:
+        for role in "sua":
+            after, usual = advance(stack, role), conversations.top_after(stack[-1], role)
+            assert (after and after[-1]) == usual
+
+
+def test_the_automaton_accepts_the_grammar():
+    for length in range(7):
+        for roles in itertools.product("suax", repeat=length):
+            stack = (0,)
+            for role in roles:
+                stack = stack and advance(stack, role)
+            assert bool(stack and stack[-1] in ACCEPT) == bool(GRAMMAR.fullmatch("".join(roles)))
+
+
+def parsed(turns, segment):
+    tables = [conversations.segment_table(turns[at : at + segment], 0) for at in range(0, len(turns), segment)]
+    tops = conversations.tops_between(tables, 0, None)
+    edits = []
+    for at, (first, last) in enumerate(tops):
+        edits += conversations.edits_between(turns[at * segment : (at + 1) * segment], first, last)
+    return "".join(word for word, _ in edits) + "I" * conversations.closing(tops[-1][1])
+
+
+@pytest.mark.parametrize("segment", [1, 2, 3, 100])
+def test_parse_equals_search(segment):
+    source = random.Random(segment)
+    for _ in range(400):
+        said = [(source.choice(["user", "assistant", "system", "x"]), "a.") for _ in range(source.randrange(1, 12))]
+        faults = [source.choice([None, None, "truncated", "blank"]) for _ in said]
+        turns = [conversations.symbol(role, fault) for (role, _), fault in zip(said, faults)]
+        assert parsed(turns, segment) == cheapest(said, faults)[1], (said, faults)
+
+
+def test_composed_tables_are_those_of_the_whole():
+    source = random.Random(3)
+    for _ in range(200):
+        turns = [(source.choice("sua-"), source.random() < 0.2) for _ in range(source.randrange(2, 15))]
+        cut = source.randrange(1, len(turns))
+        parts = [conversations.segment_table(turns[:cut], 0), conversations.segment_table(turns[cut:], 0)]
+        assert conversations.composed(parts) == conversations.segment_table(turns, 0)
+
+
+def test_conversations_equal_brute_force(spark):
+    check(spark, random_rows(150, 1))
+    check(spark, random_rows(60, 2, longest=25, odd=0.4))
+
+
+def test_long_conversations_over_segments_and_levels(spark):
+    rows = [(1, *row[1:]) for row in random_rows(40, 3)] + random_rows(20, 4)
+    rows = [(conv, turn if turn is None else turn + at // 3, role, f"{text} {at}." if text and at % 4 else text) for at, (conv, turn, role, text) in enumerate(rows)]
+    check(spark, rows, segment_bits=2, fan_bits=1)
+
+
+def test_copies_and_ties(spark):
+    rows = [(1, 0, "user", "Hi.")] * 50 + [(1, 1, "assistant", "Yes.")] * 30 + [(1, 1, "user", "Yes.")] * 3 + [(2, 5, "system", " ")] * 9
+    check(spark, rows + [(3, None, None, None)] * 4 + [(4, 7, "assistant", "End")])
+
+
+def test_a_very_long_text(spark):
+    check(spark, [(1, 0, "user", "x" * 300_000 + "."), (1, 1, "user", "y" * 300_000), (1, 2, "assistant", "z" * 300_000 + "?")])
+
+
+def test_empty_table_and_conversations_without_turns(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert conversations.repair(df).count() == 0
+    some = spark.createDataFrame([(7,), (7,), (None,)], "conv_id BIGINT")
+    rows = conversations.summaries(df, conversations.repair(df), some).collect()
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert sorted((tuple(row) for row in rows), key=repr) == [(7, *nothing), (None, *nothing)]
+
+
+def test_repaired_turns(spark):
+    rows = random_rows(40, 6)
+    df, edits = check(spark, rows)
+    made = {}
+    for row in conversations.repaired(df, edits).orderBy("place", "part").collect():
+        made.setdefault(row.conv_id, []).append(f"{row.role}:{row.text}")
+        assert (row.edit == "I") <= (row.text == "")
+    for conv, figures in brute(rows).items():
+        assert hashlib.sha256("\n".join(made.get(conv, [])).encode()).hexdigest() == figures[-1]
+
+
+def test_columns_with_other_and_clashing_names(spark):
+    df = spark.createDataFrame([("a", 1, "user", "Hi.", "x", 2)], "`conv` STRING, `no.` INT, who STRING, said STRING, text STRING, place INT")
+    names = {"conv_col": "conv", "turn_col": "no.", "role_col": "who", "text_col": "said"}
+    edits = conversations.repair(df, **names)
+    row = conversations.summaries(df, edits, **names).first()
+    assert row.conv == "a" and row.audit == "KI" and row.cost == 2
+    assert [tuple(r)[:5] for r in conversations.repaired(df, edits, **names).orderBy("part").collect()] == [
+        ("a", 1, "user", "Hi.", "K"), ("a", 1, "assistant", "", "I"),
+    ]
+
+
+def hurt(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        named = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        fault = zlib.crc32(named.encode()) % 20
+        if fault == 0:
+            continue
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(fault, text)
+        out += [(conv, turn, "user" if fault == 4 else role, text)] * (1 + (fault == 3))
+    return out
+
+
+def test_damage(spark):
+    rows = random_rows(200, 8)
+    got = queries.damaged(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(hurt(rows), key=repr)
+
+
+def test_registered_query_equals_brute_force(spark):
+    rows = list(map(tuple, spark.read.parquet(f"{entry.SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()))
+    expected = brute(hurt(rows))
+    got = {row.conv_id: tuple(row)[1:] for row in queries.QUERIES["op12_conversations"](spark, entry.SMALL).collect()}
+    assert got.keys() == {row[0] for row in rows} >= expected.keys()
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert all(got[conv] == expected.get(conv, nothing) for conv in got)

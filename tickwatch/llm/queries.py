@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tickwatch.llm import (
     byte_bpe,
     clustering,
+    conversations,
     decontamination,
     line_dedup,
     lm_scoring,
@@ -158,6 +159,30 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: one in twenty turns each is dropped, emptied, unended, repeated or made the user's."""
+    told = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *told)) % 20
+    role, text = (F.coalesce(F.col(name), F.lit(" ")) for name in ("role", "text"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault")).where("fault <> 0")
+    hurt = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.when(F.col("fault") == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        hurt.alias("text"),
+        F.explode(F.array_repeat(F.lit(True), times)).alias("there"),
+    ).drop("there")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of every damaged conversation, its cheapest repair and the digest of what it is then."""
+    turns = table(spark, sf_dir, "conversations")
+    hurt = damaged(turns)
+    return conversations.summaries(hurt, conversations.repair(hurt), turns)
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest of 40 centroids of every vector, and how far all lie from theirs."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -196,6 +221,7 @@ REGISTERED: dict[str, Query] = {
     "op9_neighbours": op9_neighbours,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_decontamination": op11_decontamination,
+    "op12_conversations": op12_conversations,
     "op13_clustering": op13_clustering,
 }
 
