@@ -38,18 +38,19 @@ def health_metrics(events: DataFrame, bucket: str = "1 second", clock: str = "in
     distinct markets without holding a set of them, splits a bucket over as many
     tasks as it has markets, and runs unchanged on a stream (append mode).
     """
+    return whole_figures(_per_market(events, bucket, clock), bucket)
+
+
+def whole_figures(per_market: DataFrame, bucket: str) -> DataFrame:
+    """Health of the whole stream from the figures per bucket and market."""
     seen = (F.col("collected") > F.col("errors")) & F.col("market").isNotNull()
-    folded = (
-        _per_market(events, bucket, clock)
-        .groupBy("bucket")
-        .agg(
-            F.sum("collected").alias("collected"),
-            F.sum("errors").alias("errors"),
-            F.sum("latency_sum").alias("latency_sum"),
-            F.max("latency_max").alias("latency_max"),
-            F.sum("amount").alias("amount"),
-            F.count_if(seen).alias("unique_market_count"),
-        )
+    folded = per_market.groupBy("bucket").agg(
+        F.sum("collected").alias("collected"),
+        F.sum("errors").alias("errors"),
+        F.sum("latency_sum").alias("latency_sum"),
+        F.max("latency_max").alias("latency_max"),
+        F.sum("amount").alias("amount"),
+        F.count_if(seen).alias("unique_market_count"),
     )
     figures = folded.select(
         F.col("bucket.end").alias("checked_at"),
@@ -65,7 +66,12 @@ def health_metrics(events: DataFrame, bucket: str = "1 second", clock: str = "in
 
 def market_metrics(events: DataFrame, bucket: str = "1 second", clock: str = "ingest_time") -> DataFrame:
     """One row per bucket and market. A hot market is pre-aggregated before the shuffle."""
-    figures = _per_market(events, bucket, clock).select(
+    return market_figures(_per_market(events, bucket, clock), bucket)
+
+
+def market_figures(per_market: DataFrame, bucket: str) -> DataFrame:
+    """Health of each market from the figures per bucket and market."""
+    figures = per_market.select(
         F.col("bucket.end").alias("checked_at"),
         "market",
         F.lit(durations.label(bucket)).alias("time_unit"),

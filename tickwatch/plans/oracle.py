@@ -209,6 +209,11 @@ _SERVED = """strftime(checked_at, '%Y-%m-%dT%H:%M:%S+00:00') AS checked_at, time
 _HOURLY = f"WITH {_CLEAN}, {_GLOBAL}, {_health(_HOUR_MS, '1h')}"
 _HOURLY_MARKET = f"WITH {_CLEAN}, {_MARKET}, {_market_health(_HOUR_MS, '1h')}"
 _WIDE_MOVES = f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED)}"
+_TOTALS = f"""WITH {_CLEAN}, {_GLOBAL} SELECT count(*) AS collected,
+count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms,
+round(sum(trade_amount_krw), 2) AS trade_volume_krw FROM judged"""
+_MARKET_TOTALS = f"""WITH {_CLEAN}, {_MARKET} SELECT market, count(*) AS collected,
+count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms FROM judged GROUP BY market"""
 
 ORACLES: dict[str, str] = {
     "tick_parse": _parse(_GLOBAL),
@@ -224,11 +229,10 @@ WHEN fault = 16 THEN '0' ELSE code END AS key, {_text(False)} AS value FROM clea
     "market_metrics": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_SECOND, '1s')} SELECT * FROM health",
     "market_metrics_hourly": f"{_HOURLY_MARKET} SELECT * FROM health",
     "market_metrics_stream": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
-    "health_stream_totals": f"""WITH {_CLEAN}, {_GLOBAL} SELECT count(*) AS collected,
-count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms,
-round(sum(trade_amount_krw), 2) AS trade_volume_krw FROM judged""",
-    "market_health_stream_totals": f"""WITH {_CLEAN}, {_MARKET} SELECT market, count(*) AS collected,
-count(*) FILTER (is_error) AS errors, max(latency_ms) AS max_latency_ms FROM judged GROUP BY market""",
+    "health_stream_totals": _TOTALS,
+    "market_health_stream_totals": _MARKET_TOTALS,
+    "health_timer_totals": _TOTALS,
+    "market_health_timer_totals": _MARKET_TOTALS,
     "price_moves": f"WITH {_CLEAN}, {_moves(300000, 60000, _UNPRICED)} SELECT * FROM moves",
     "price_moves_wide": f"{_WIDE_MOVES} SELECT * FROM moves",
     "price_moves_valid_only": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED + ', 0, 3, 9, 12')} SELECT * FROM moves",

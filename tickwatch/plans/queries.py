@@ -14,7 +14,7 @@ from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
 from tickwatch.streaming import clocks, jobs, sinks
-from tickwatch.streaming.runner import drop_late_at_once, run_available, run_until_closed
+from tickwatch.streaming.runner import drop_late_at_once, run_available, run_until_closed, wait_until_closed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,7 +112,11 @@ def _arrivals(spark: SparkSession, sf_dir: str, rules: str) -> DataFrame:
 def health_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What all buckets of the health job add up to, though one of its files lags far behind."""
     health = metrics.health_metrics(_arrivals(spark, sf_dir, "global"), "1 second", jobs.ARRIVED)
-    return run_until_closed(health, "health-totals").agg(
+    return _health_totals(run_until_closed(health, "health-totals"))
+
+
+def _health_totals(health: DataFrame) -> DataFrame:
+    return health.agg(
         F.sum("total_collected_count").alias("collected"),
         F.sum("total_error_count").alias("errors"),
         F.max("max_latency_ms").alias("max_latency_ms"),
@@ -122,13 +126,37 @@ def health_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def market_health_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     health = metrics.market_metrics(_arrivals(spark, sf_dir, "market"), "1 second", jobs.ARRIVED)
-    return run_until_closed(health, "market-totals").groupBy("market").agg(
+    return _market_health_totals(run_until_closed(health, "market-totals"))
+
+
+def _market_health_totals(health: DataFrame) -> DataFrame:
+    return health.groupBy("market").agg(
         F.sum("collected_count").alias("collected"),
         F.sum("error_count").alias("errors"),
         F.max("max_latency_ms").alias("max_latency_ms"),
     )
 
 
+def _timed(spark: SparkSession, sf_dir: str, start: Callable, label: str, empty: DataFrame) -> DataFrame:
+    """What a health job with timers writes until all ticks are read and all its buckets closed."""
+    folder = run_dir(spark, label)
+    write = sinks.batch_folder(f"{folder}/rows")
+    query = start(views.lagging_stream(spark, sf_dir), write, f"{folder}/checkpoint", every="1 second")
+    wait_until_closed(query)
+    return spark.read.schema(empty.schema).parquet(f"{folder}/rows")
+
+
+def health_timer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all buckets that timers closed add up to; no row but the ticks goes through the job."""
+    empty = metrics.health_metrics(metric_events(views.ticks(spark, sf_dir)))
+    return _health_totals(_timed(spark, sf_dir, jobs.start_timed_health, "timed-health", empty))
+
+
+def market_health_timer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    empty = metrics.market_metrics(metric_events(views.ticks(spark, sf_dir), rules="market"))
+    return _market_health_totals(_timed(spark, sf_dir, jobs.start_timed_market_health, "timed-markets", empty))
+
+
 # Price moves ----------------------------------------------------------------
 
 
@@ -321,6 +349,8 @@ QUERIES: dict[str, Query] = {
         market_metrics_stream,
         health_stream_totals,
         market_health_stream_totals,
+        health_timer_totals,
+        market_health_timer_totals,
         price_moves,
         price_moves_wide,
         price_moves_valid_only,

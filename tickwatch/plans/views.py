@@ -6,7 +6,7 @@ decode them. A fault number per row breaks some of them in every known way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.schemas import CAUTION_FLAGS, SHORT_TO_LONG
@@ -117,15 +117,23 @@ def tick_stream(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFra
     return tick_text(clean_ticks(stream_table(spark, sf_dir, "events")), full)
 
 
+def quarter_of(spark: SparkSession, sf_dir: str) -> Column:
+    """Which of four equal ranges of tick numbers a tick is in."""
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    return F.floor(F.col("tick_id") * 4 / (last + 1)).cast("int")
+
+
 def lagging_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ticks as a stream of four files, of which the third comes after the fourth."""
-    rows = ticks(spark, sf_dir)
+    """All ticks as a stream read by quarters, of which the third comes after the fourth.
+
+    Each quarter is written by as many tasks as the table has.
+    """
+    rows, quarter = ticks(spark, sf_dir), quarter_of(spark, sf_dir)
     folder = run_dir(spark, "lagging")
-    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
-    for quarter in (0, 1, 3, 2):
-        part = rows.where(F.floor(F.col("tick_id") * 4 / (last + 1)) == quarter)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    tasks = 1 + (rows.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] or 0)
+    for number in (0, 1, 3, 2):
+        rows.where(quarter == number).repartition(tasks).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(folder)
 
 
 def tick_markets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,8 @@ from tickwatch.operators.metrics import health_metrics, market_metrics
 from tickwatch.operators.moves import price_moves
 from tickwatch.operators.ticks import metric_events
 from tickwatch.sources import files
-from tickwatch.streaming import clocks, sinks
-from tickwatch.streaming.runner import drop_late_at_once, start_batches
+from tickwatch.streaming import clocks, sinks, timers
+from tickwatch.streaming.runner import drop_late_at_once, start_batches, state_on_disk
 
 Write = Callable[[DataFrame, int], None]
 
@@ -42,6 +42,22 @@ def start_market_health(
     return start_batches(market_metrics(events, bucket, ARRIVED), write, checkpoint, **run)
 
 
+def start_timed_health(ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", **run) -> StreamingQuery:
+    """Health of the whole stream per bucket of the time at which ticks are read; timers close buckets, no clock row does."""
+    with state_on_disk(ticks.sparkSession):
+        closed = timers.closed_buckets(metric_events(ticks), bucket)
+        return start_batches(closed, timers.whole_batches(write, bucket), checkpoint, **run)
+
+
+def start_timed_market_health(
+    ticks: DataFrame, write: Write, checkpoint: str, bucket: str = "1 second", **run
+) -> StreamingQuery:
+    """Health of each market per bucket of the time at which ticks are read."""
+    with state_on_disk(ticks.sparkSession):
+        closed = timers.closed_buckets(metric_events(ticks, rules="market"), bucket)
+        return start_batches(timers.market_health(closed, bucket), write, checkpoint, **run)
+
+
 def start_moves(
     ticks: DataFrame,
     markets: Callable[[], DataFrame],

@@ -4,27 +4,39 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwatch.settings import run_dir
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # One stateful operator per query: with it, rows behind the watermark are
 # dropped at once; otherwise a batch later.
 _SEVERAL_STATEFUL = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
 @contextmanager
-def drop_late_at_once(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside drop late rows in the batch after the watermark moved."""
-    before = spark.conf.get(_SEVERAL_STATEFUL)
-    spark.conf.set(_SEVERAL_STATEFUL, "false")
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_SEVERAL_STATEFUL, before)
+        spark.conf.set(name, before)
+
+
+def drop_late_at_once(spark: SparkSession) -> AbstractContextManager[None]:
+    """Streams started inside drop late rows in the batch after the watermark moved."""
+    return _set(spark, _SEVERAL_STATEFUL, "false")
+
+
+def state_on_disk(spark: SparkSession) -> AbstractContextManager[None]:
+    """Streams started inside keep their state in RocksDB, as those with timers need."""
+    return _set(spark, _STATE_STORE, _ROCKSDB)
 
 
 def start_files(
@@ -74,37 +86,37 @@ def dropped_late(query: StreamingQuery) -> int:
     return sum(state["numRowsDroppedByWatermark"] for state in states)
 
 
-def run_until_closed(df: DataFrame, label: str, every: str = "1 second", at_most: float = 600) -> DataFrame:
+def run_until_closed(df: DataFrame, label: str, every: str = "1 second", at_most: float | None = None) -> DataFrame:
     """Run a stream with an arrival clock until its files are read and its last bucket is closed; read back what it wrote.
 
     The stream is done once a batch had no rows but the clock's own and no state is left.
+    ``at_most`` seconds limit the run if given; a stream that reads a large table takes its time.
     """
-    spark = df.sparkSession
-    folder = run_dir(spark, label)
+    folder = run_dir(df.sparkSession, label)
     query = start_files(df, f"{folder}/rows", f"{folder}/checkpoint", every=every)
-    end = time.monotonic() + at_most
+    wait_until_closed(query, at_most)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def wait_until_closed(query: StreamingQuery, at_most: float | None = None) -> None:
+    """Wait until a stream has read its files and no bucket is open, and stop it."""
+    end = None if at_most is None else time.monotonic() + at_most
     try:
         while not is_closed(query):
             if query.exception():
                 raise query.exception()
-            if time.monotonic() > end:
-                raise TimeoutError(f"{label} was not closed in {at_most} seconds")
+            if end is not None and time.monotonic() > end:
+                raise TimeoutError(f"{query.name or query.id} was not closed in {at_most} seconds")
             time.sleep(0.2)
     finally:
         query.stop()
-    return spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
 def is_closed(query: StreamingQuery) -> bool:
-    """Files were read, the last batch had none, and no bucket is open."""
+    """Files were read, the last batch found no further ones, and no bucket is open."""
     progress = query.lastProgress
     if not progress or not progress["stateOperators"]:
         return False
-    files = [source["numInputRows"] for source in progress["sources"] if "FileStreamSource" in source["description"]]
-    read = any(
-        source["numInputRows"]
-        for one in query.recentProgress
-        for source in one["sources"]
-        if "FileStreamSource" in source["description"]
-    )
-    return read and not any(files) and not any(state["numRowsTotal"] for state in progress["stateOperators"])
+    files = [source for source in progress["sources"] if "FileStreamSource" in source["description"]]
+    read = files and all(source["endOffset"] and source["startOffset"] == source["endOffset"] for source in files)
+    return bool(read) and not any(state["numRowsTotal"] for state in progress["stateOperators"])
