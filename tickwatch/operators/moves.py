@@ -147,14 +147,22 @@ def price_moves(
     ``delay`` sets the watermark of a stream. The grade is taken from the
     unrounded change.
     """
-    if durations.seconds(slide) > durations.seconds(size):
-        raise ValueError(f"slide {slide!r} must not be longer than size {size!r}")
+    check_lengths(size, slide)
     ticks = priced_ticks(df, arrival, record_time, valid_only, value)
     if delay is not None:
         ticks = ticks.withWatermark("event_time", delay)
+    return graded(window_prices(ticks, size, slide))
+
+
+def check_lengths(size: str, slide: str) -> None:
+    if durations.seconds(slide) > durations.seconds(size):
+        raise ValueError(f"slide {slide!r} must not be longer than size {size!r}")
+
+
+def graded(prices: DataFrame) -> DataFrame:
+    """Start and end prices of windows as graded moves, those that start at price 0 left out."""
     moves = (
-        window_prices(ticks, size, slide)
-        .where(F.col("start_price") != 0)
+        prices.where(F.col("start_price") != 0)
         .withColumn("change", change_percent(F.col("start_price"), F.col("end_price")))
         .select(
             F.col("span.start").alias("window_start"),

@@ -242,6 +242,7 @@ WHEN fault = 16 THEN '0' ELSE code END AS key, {_text(False)} AS value FROM clea
 WHEN fault IN (5, 6) THEN 'no code' WHEN fault = 11 THEN 'no price' ELSE 'no time' END AS reason
 FROM clean WHERE fault IN ({_UNPRICED})""",
     "price_moves_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
+    "price_moves_panes_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
     "move_status_counts": f"{_WIDE_MOVES} SELECT status, count(*) AS windows FROM moves GROUP BY status",
     "market_moves_referential": f"{_WIDE_MOVES} SELECT * FROM moves WHERE market_code IN (SELECT code FROM clean)",
     "stored_ticks": _stored(),

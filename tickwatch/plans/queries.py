@@ -13,8 +13,14 @@ from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
-from tickwatch.streaming import clocks, jobs, sinks
-from tickwatch.streaming.runner import drop_late_at_once, run_available, run_until_closed, wait_until_closed
+from tickwatch.streaming import clocks, jobs, panes, sinks
+from tickwatch.streaming.runner import (
+    drop_late_at_once,
+    run_available,
+    run_until_closed,
+    state_on_disk,
+    wait_until_closed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,6 +192,13 @@ def price_moves_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _comparable(run_available(moving, "moves"))
 
 
+def price_moves_panes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moves of ``price_moves_stream`` from panes in state, the ticks read in several batches by time."""
+    moving = panes.price_moves(views.ordered_stream(spark, sf_dir), **WIDE)
+    with state_on_disk(spark):
+        return _comparable(run_available(moving, "pane-moves"))
+
+
 def move_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.move_status_counts(moves.price_moves(views.ticks(spark, sf_dir), **WIDE))
 
@@ -356,6 +369,7 @@ QUERIES: dict[str, Query] = {
         price_moves_valid_only,
         price_moves_record_time,
         price_moves_stream,
+        price_moves_panes_stream,
         move_rejects,
         move_status_counts,
         market_moves_referential,

@@ -123,17 +123,32 @@ def quarter_of(spark: SparkSession, sf_dir: str) -> Column:
     return F.floor(F.col("tick_id") * 4 / (last + 1)).cast("int")
 
 
+def _in_parts(rows: DataFrame, parts: list[Column], label: str) -> DataFrame:
+    """Rows as a stream that reads one part after the other; each is written by as many tasks as the rows have."""
+    folder = run_dir(rows.sparkSession, label)
+    tasks = 1 + (rows.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] or 0)
+    for part in parts:
+        rows.where(part).repartition(tasks).write.mode("append").parquet(folder)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(folder)
+
+
 def lagging_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ticks as a stream read by quarters, of which the third comes after the fourth.
+    """All ticks as a stream read by quarters, of which the third comes after the fourth."""
+    quarter = quarter_of(spark, sf_dir)
+    return _in_parts(ticks(spark, sf_dir), [quarter == number for number in (0, 1, 3, 2)], "lagging")
+
 
-    Each quarter is written by as many tasks as the table has.
+def ordered_stream(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
+    """All ticks as a stream read in parts of equal spans of event time, so that none comes too late.
+
+    Within an hour ticks are out of order, as those of the full hour come with the rest of theirs.
     """
-    rows, quarter = ticks(spark, sf_dir), quarter_of(spark, sf_dir)
-    folder = run_dir(spark, "lagging")
-    tasks = 1 + (rows.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] or 0)
-    for number in (0, 1, 3, 2):
-        rows.where(quarter == number).repartition(tasks).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(folder)
+    clean = clean_ticks(table(spark, sf_dir, "events"))
+    ends = clean.agg(F.min("event_ms"), F.max("event_ms")).first()
+    first, last = ((ms or 0) // 3600000 for ms in ends)
+    rows = ticks(spark, sf_dir).join(clean.select("tick_id", "event_ms"), "tick_id")
+    part = F.floor((F.floor(F.col("event_ms") / 3600000) - first) * parts / (last + 1 - first))
+    return _in_parts(rows, [part == number for number in range(parts)], "ordered").drop("event_ms")
 
 
 def tick_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
