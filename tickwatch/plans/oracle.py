@@ -82,10 +82,11 @@ def _market_health(step: int, label: str, closed_only: bool = False) -> str:
 _SECOND, _HOUR_MS = 1000, 3600000
 
 
-def _moves(size: int, slide: int, left_out: str, closed_after: int | None = None, time: str = "event_ms") -> str:
+def _moves(size: int, slide: int, left_out: str, closed_after: int | None = None, time: str = "event_ms", splits: int = 1) -> str:
     closed = ""
     if closed_after is not None:
-        closed = f"AND start_ms + {size} <= (SELECT max(event_ms) FROM priced) - {closed_after}"
+        least = f"SELECT min(last) FROM (SELECT max(event_ms) AS last FROM priced GROUP BY tick_id % {splits})"
+        closed = f"AND start_ms + {size} <= ({least}) - {closed_after}"
     return f"""priced AS (
   SELECT tick_id, {time} AS event_ms, {_PRICE} AS price,
          CASE fault WHEN 10 THEN 'MKT-NONE' WHEN 16 THEN '0' ELSE code END AS market_code
@@ -243,6 +244,7 @@ WHEN fault IN (5, 6) THEN 'no code' WHEN fault = 11 THEN 'no price' ELSE 'no tim
 FROM clean WHERE fault IN ({_UNPRICED})""",
     "price_moves_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
     "price_moves_panes_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
+    "price_moves_split_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000, splits=4)} SELECT * FROM moves",
     "move_status_counts": f"{_WIDE_MOVES} SELECT status, count(*) AS windows FROM moves GROUP BY status",
     "market_moves_referential": f"{_WIDE_MOVES} SELECT * FROM moves WHERE market_code IN (SELECT code FROM clean)",
     "stored_ticks": _stored(),

@@ -13,7 +13,7 @@ from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
-from tickwatch.streaming import clocks, jobs, panes, sinks
+from tickwatch.streaming import clocks, jobs, panes, sinks, splits
 from tickwatch.streaming.runner import (
     drop_late_at_once,
     run_available,
@@ -199,6 +199,13 @@ def price_moves_panes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _comparable(run_available(moving, "pane-moves"))
 
 
+def price_moves_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moves over four folders with a watermark each, of which one lags far behind and loses nothing."""
+    moving = splits.price_moves(views.split_streams(spark, sf_dir), **WIDE)
+    with splits.least_watermark(spark), drop_late_at_once(spark):
+        return _comparable(run_available(moving, "split-moves"))
+
+
 def move_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.move_status_counts(moves.price_moves(views.ticks(spark, sf_dir), **WIDE))
 
@@ -370,6 +377,7 @@ QUERIES: dict[str, Query] = {
         price_moves_record_time,
         price_moves_stream,
         price_moves_panes_stream,
+        price_moves_split_stream,
         move_rejects,
         move_status_counts,
         market_moves_referential,

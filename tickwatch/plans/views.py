@@ -143,12 +143,28 @@ def ordered_stream(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFram
 
     Within an hour ticks are out of order, as those of the full hour come with the rest of theirs.
     """
+    rows, part = _by_time(spark, sf_dir, parts)
+    return _in_parts(rows, [part == number for number in range(parts)], "ordered").drop("event_ms")
+
+
+def _by_time(spark: SparkSession, sf_dir: str, parts: int) -> tuple[DataFrame, Column]:
+    """Ticks with their event time, and which of so many equal spans of whole hours they are in."""
     clean = clean_ticks(table(spark, sf_dir, "events"))
     ends = clean.agg(F.min("event_ms"), F.max("event_ms")).first()
     first, last = ((ms or 0) // 3600000 for ms in ends)
     rows = ticks(spark, sf_dir).join(clean.select("tick_id", "event_ms"), "tick_id")
-    part = F.floor((F.floor(F.col("event_ms") / 3600000) - first) * parts / (last + 1 - first))
-    return _in_parts(rows, [part == number for number in range(parts)], "ordered").drop("event_ms")
+    return rows, F.floor((F.floor(F.col("event_ms") / 3600000) - first) * parts / (last + 1 - first))
+
+
+def split_streams(spark: SparkSession, sf_dir: str, splits: int = 4, parts: int = 4) -> list[DataFrame]:
+    """All ticks in folders by tick number, each a stream; the last is read span by span and lags behind the others."""
+    rows, part = _by_time(spark, sf_dir, parts)
+    streams = []
+    for number in range(splits):
+        mine = rows.where(F.col("tick_id") % splits == number)
+        spans = [part == span for span in range(parts)] if number == splits - 1 else [F.lit(True)]
+        streams.append(_in_parts(mine, spans, f"split-{number}").drop("event_ms"))
+    return streams
 
 
 def tick_markets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,38 +2,51 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPIC = "ticker"
 
 
-def read_ticks(
-    spark: SparkSession,
+def read_options(
     servers: str,
     topic: str = TOPIC,
     starting: str = "latest",
     group_prefix: str | None = None,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
-) -> DataFrame:
-    """Stream of a topic's ticks. Needs the Kafka connector on the session's classpath.
-
-    ``min_partitions`` splits a hot topic partition over several tasks.
-    """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-    )
+    partitions: Sequence[int] | None = None,
+) -> dict[str, str]:
+    """Options of the connector that reads a topic, or the named partitions of it."""
+    options = {"kafka.bootstrap.servers": servers, "startingOffsets": starting}
+    if partitions is None:
+        options["subscribe"] = topic
+    else:
+        options["assign"] = json.dumps({topic: list(partitions)})
     if group_prefix:
-        reader = reader.option("groupIdPrefix", group_prefix)
+        options["groupIdPrefix"] = group_prefix
     if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
-        reader = reader.option("minPartitions", min_partitions)
-    return from_records(reader.load())
+        options["minPartitions"] = str(min_partitions)
+    return options
+
+
+def read_ticks(spark: SparkSession, servers: str, topic: str = TOPIC, **how) -> DataFrame:
+    """Stream of a topic's ticks. Needs the Kafka connector on the session's classpath.
+
+    ``how`` are the arguments of ``read_options``; ``min_partitions`` splits a hot topic
+    partition over several tasks.
+    """
+    return from_records(spark.readStream.format("kafka").options(**read_options(servers, topic, **how)).load())
+
+
+def read_splits(spark: SparkSession, servers: str, partitions: Sequence[int], topic: str = TOPIC, **how) -> list[DataFrame]:
+    """A stream for each topic partition, for ``streaming.splits``."""
+    return [read_ticks(spark, servers, topic, partitions=[number], **how) for number in partitions]
 
 
 def from_records(records: DataFrame) -> DataFrame:

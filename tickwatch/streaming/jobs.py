@@ -7,7 +7,7 @@ example ``sinks.batch_folder(path)`` or ``sources.jdbc.appender(...)``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +17,7 @@ from tickwatch.operators.metrics import health_metrics, market_metrics
 from tickwatch.operators.moves import price_moves
 from tickwatch.operators.ticks import metric_events
 from tickwatch.sources import files
-from tickwatch.streaming import clocks, panes, sinks, timers
+from tickwatch.streaming import clocks, panes, sinks, splits, timers
 from tickwatch.streaming.runner import drop_late_at_once, start_batches, state_on_disk
 
 Write = Callable[[DataFrame, int], None]
@@ -75,6 +75,23 @@ def start_moves(
         return start_batches(moving, sinks.known_moves(markets, write), checkpoint, **run)
 
 
+def start_split_moves(
+    tick_splits: Sequence[DataFrame],
+    markets: Callable[[], DataFrame],
+    write: Write,
+    checkpoint: str,
+    size: str = "5 minutes",
+    slide: str = "1 minute",
+    delay: str = "1 second",
+    record_time: str | None = "ingest_time",
+    **run,
+) -> StreamingQuery:
+    """As ``start_moves``, over the splits of a feed, none of which can make the ticks of another late."""
+    moving = splits.price_moves(tick_splits, size, slide, delay, record_time=record_time)
+    with drop_late_at_once(moving.sparkSession), splits.least_watermark(moving.sparkSession):
+        return start_batches(moving, sinks.known_moves(markets, write), checkpoint, **run)
+
+
 def start_pane_moves(
     ticks: DataFrame,
     markets: Callable[[], DataFrame],

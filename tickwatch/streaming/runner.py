@@ -20,7 +20,7 @@ _SEVERAL_STATEFUL = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
 @contextmanager
-def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
     spark.conf.set(name, value)
     try:
@@ -31,12 +31,12 @@ def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 def drop_late_at_once(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside drop late rows in the batch after the watermark moved."""
-    return _set(spark, _SEVERAL_STATEFUL, "false")
+    return setting(spark, _SEVERAL_STATEFUL, "false")
 
 
 def state_on_disk(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside keep their state in RocksDB, as those with timers need."""
-    return _set(spark, _STATE_STORE, _ROCKSDB)
+    return setting(spark, _STATE_STORE, _ROCKSDB)
 
 
 def start_files(
