@@ -227,6 +227,7 @@ WHEN fault = 16 THEN '0' ELSE code END AS key, {_text(False)} AS value FROM clea
     "health_metrics": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')} SELECT * FROM health",
     "health_metrics_hourly": f"{_HOURLY} SELECT * FROM health",
     "health_metrics_stream": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
+    "health_metrics_appended": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
     "market_metrics": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_SECOND, '1s')} SELECT * FROM health",
     "market_metrics_hourly": f"{_HOURLY_MARKET} SELECT * FROM health",
     "market_metrics_stream": f"WITH {_CLEAN}, {_MARKET}, {_market_health(_HOUR_MS, '1h', True)} SELECT * FROM health",
@@ -257,6 +258,8 @@ CASE fault WHEN 3 THEN 'trade_volume: missing' WHEN 14 THEN 'market_state: longe
 FROM routed WHERE outcome = 'unstorable'""",
     "outcome_counts": f"WITH {_CLEAN}, {_ROUTED} SELECT outcome, count(*) AS ticks FROM routed GROUP BY outcome",
     "routed_table": f"""WITH {_CLEAN}, {_ROUTED} SELECT outcome, count(*) AS ticks, CAST(1 AS BIGINT) AS load_times
+FROM routed GROUP BY outcome""",
+    "routed_compacted": f"""WITH {_CLEAN}, {_ROUTED} SELECT outcome, count(*) AS ticks, 8 AS batches, 1 AS compacted
 FROM routed GROUP BY outcome""",
     "dead_letter_collapse": f"""WITH {_CLEAN} SELECT '{{"market_code":"' || code || '","tick_id":' || tick_id
 || ',"trade_price":' || price || ',"trade_volume":' || CASE WHEN fault = 3 THEN 'null' ELSE CAST(volume AS VARCHAR) END

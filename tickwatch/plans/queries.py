@@ -13,7 +13,8 @@ from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
-from tickwatch.streaming import clocks, jobs, panes, sinks, splits
+from tickwatch.sources import append
+from tickwatch.streaming import clocks, jobs, ledger, panes, sinks, splits
 from tickwatch.streaming.runner import (
     drop_late_at_once,
     run_available,
@@ -143,6 +144,15 @@ def _market_health_totals(health: DataFrame) -> DataFrame:
     )
 
 
+def health_metrics_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``health_metrics_stream``, added batch by batch in inserts and read back."""
+    events = clocks.with_ingest_clock(metric_events(views.tick_stream(spark, sf_dir)))
+    health = metrics.health_metrics(events, HOUR)
+    folder = run_dir(spark, "appended")
+    append.start(health, f"{folder}/table", f"{folder}/checkpoint", append.HEALTH_INSERT, available_now=True).awaitTermination()
+    return _comparable(ledger.read(spark, f"{folder}/table", health.schema))
+
+
 def _timed(spark: SparkSession, sf_dir: str, start: Callable, label: str, empty: DataFrame) -> DataFrame:
     """What a health job with timers writes until all ticks are read and all its buckets closed."""
     folder = run_dir(spark, label)
@@ -251,6 +261,21 @@ def routed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def routed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of each outcome in a table of many small batches, one of them run twice, after they were put together."""
+    path, markets = run_dir(spark, "compacted"), views.tick_markets(spark, sf_dir)
+    parts = 8
+    rows = views.ticks(spark, sf_dir, full=True).withColumn("part", F.col("tick_id") % parts)
+    for part in [*range(parts), 2]:
+        write = sinks.routed_table(lambda: markets, path)
+        write(rows.where(F.col("part") == part).select("value"), part)
+    before = len(ledger.Ledger(path).entries())
+    ledger.compact(spark, path, partition_by=["outcome"])
+    after = len(ledger.Ledger(path).entries())
+    counts = ledger.read(spark, path).groupBy("outcome").agg(F.count("*").alias("ticks"))
+    return counts.withColumns({"batches": F.lit(before), "compacted": F.lit(after)})
+
+
 def dead_letter_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dead_letter_collapse(views.wide_dead_letters(spark, sf_dir))
 
@@ -367,6 +392,7 @@ QUERIES: dict[str, Query] = {
         market_metrics,
         market_metrics_hourly,
         market_metrics_stream,
+        health_metrics_appended,
         health_stream_totals,
         market_health_stream_totals,
         health_timer_totals,
@@ -387,6 +413,7 @@ QUERIES: dict[str, Query] = {
         unstorable_ticks,
         outcome_counts,
         routed_table,
+        routed_compacted,
         dead_letter_collapse,
         market_feed_flat,
         market_sync_snapshot,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -34,6 +35,14 @@ def session(app: str = "tickwatch", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver found it, whatever folder Spark was started in."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

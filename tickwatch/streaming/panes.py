@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickwatch.functions import durations
 from tickwatch.operators import moves
+from tickwatch.settings import importable
 
 PANE = (
     "first_ms bigint, first_arrival decimal(20,0), first_price double, "
@@ -140,6 +141,7 @@ def window_prices(ticks: DataFrame, size: str, slide: str) -> DataFrame:
 
     Gives the rows of ``moves.window_prices``. Start it inside ``runner.state_on_disk``.
     """
+    importable(ticks.sparkSession)
     size_ms, slide_ms = durations.seconds(size) * 1000, durations.seconds(slide) * 1000
     pane_ms = durations.seconds(durations.common_step(size, slide)) * 1000
     found = folded(ticks, pane_ms).groupBy("market_code").transformWithState(

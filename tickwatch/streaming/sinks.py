@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.operators import moves, quality
+from tickwatch.streaming import ledger
 
 
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
@@ -37,6 +38,25 @@ def routed_outputs(
     return write
 
 
+def routed_table(
+    markets: Callable[[], DataFrame], path: str, value: str = "value"
+) -> Callable[[DataFrame, int], None]:
+    """As ``routed_outputs``, into a table of batches that ``ledger.compact`` can put together by outcome."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        routed = with_outcome(quality.route(batch.select(value), markets(), value))
+        ledger.write_batch(routed, path, batch_id, ["outcome"])
+
+    return write
+
+
+def with_outcome(routed: DataFrame) -> DataFrame:
+    """Routed ticks with their outcome; the payload of stored ticks is left out."""
+    outcome = quality.outcome()
+    kept = F.when(outcome != quality.STORED, F.col("raw_data"))
+    return routed.withColumn("raw_data", kept).withColumn("outcome", outcome)
+
+
 def write_routed(routed: DataFrame, path: str) -> None:
     """Write all outputs of routed ticks in one pass, a folder per outcome of one table.
 
@@ -44,14 +64,7 @@ def write_routed(routed: DataFrame, path: str) -> None:
     The payload is left out of stored ticks; the load time is written with each tick.
     ``read_routed`` gives the single outputs.
     """
-    outcome = quality.outcome()
-    (
-        routed.withColumn("raw_data", F.when(outcome != quality.STORED, F.col("raw_data")))
-        .withColumn("outcome", outcome)
-        .write.mode("overwrite")
-        .partitionBy("outcome")
-        .parquet(path)
-    )
+    with_outcome(routed).write.mode("overwrite").partitionBy("outcome").parquet(path)
 
 
 def read_routed(spark: SparkSession, path: str, outcome: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickwatch.functions import durations
 from tickwatch.operators import metrics
+from tickwatch.settings import importable
 
 FIGURES = "collected bigint, errors bigint, latency_sum double, latency_max double, amount double"
 FOLDED = f"market string, {FIGURES}"
@@ -112,6 +113,7 @@ def closed_buckets(events: DataFrame, bucket: str = "1 second") -> DataFrame:
     All markets' figures of a bucket leave in the same micro-batch, the first one after
     its end. Start it inside ``runner.state_on_disk``.
     """
+    importable(events.sparkSession)
     size_ms = durations.seconds(bucket) * 1000
     return folded(events).groupBy("market").transformWithState(Buckets(size_ms), CLOSED, "append", "processingTime")
 
