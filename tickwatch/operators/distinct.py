@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwatch.functions.barrier import computed_once
 from tickwatch.settings import as_table
 
 
@@ -19,7 +20,7 @@ def numbered(markets: DataFrame) -> DataFrame:
     Each task numbers its own range of codes. Only the number of codes of each range comes
     to the driver.
     """
-    codes = markets.select("market").where(F.col("market").isNotNull()).distinct()
+    codes = computed_once(markets, [], {"market": F.col("market")}).where(F.col("market").isNotNull()).distinct()
     ranged = codes.repartitionByRange("market").sortWithinPartitions("market")
     placed = as_table(ranged.withColumn("place", F.monotonically_increasing_id()), "codes")
     part, at = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
@@ -40,8 +41,8 @@ def market_bitmaps(events: DataFrame, numbers: DataFrame, span: str = "1 second"
     Markets are folded by span before they get their numbers. Those without a number are
     left out.
     """
-    valid = events.where(~F.col("is_error") & F.col("market").isNotNull())
-    seen = valid.select(F.window(clock, span).alias("span"), "market").distinct()
+    valid = computed_once(events, [clock], {"market": F.when(~F.col("is_error"), F.col("market"))})
+    seen = valid.where(F.col("market").isNotNull()).select(F.window(clock, span).alias("span"), "market").distinct()
     return (
         seen.join(numbers, "market")
         .groupBy("span", F.bitmap_bucket_number("number").alias("part"))
