@@ -132,6 +132,18 @@ def test_shares_are_folded_by_market(spark):
     assert timers.folded(spark.createDataFrame([], EVENTS)).count() == 0
 
 
+def test_shares_of_several_arrow_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        rows = spark.range(100).selectExpr("concat('M', id % 3) AS market", "id % 10 = 0 AS is_error", "1.0D AS latency_ms", "2.0D AS trade_amount_krw")
+        folded = {r.market: tuple(r)[1:] for r in timers.folded(rows.coalesce(1)).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert folded == {"M0": (34, 4, 30.0, 1.0, 60.0), "M1": (33, 3, 30.0, 1.0, 60.0), "M2": (33, 3, 30.0, 1.0, 60.0)}
+
+
 def test_whole_figures_of_closed_buckets(spark):
     closed = spark.createDataFrame([("A", 5000, 3, 1, 9.0, 5.0, 2.0), ("B", 5000, 1, 1, None, None, None)], timers.CLOSED)
     row = timers.whole_health(closed).first()

@@ -41,15 +41,14 @@ def folded(events: DataFrame) -> DataFrame:
     )
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        schema = pa.schema(list(zip(("market", *_FIGURES), kinds)))
+        held = schema.empty_table()
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
+            table = pa.concat_tables([held, pa.Table.from_batches([batch]).cast(schema)])
             found = table.group_by("market").aggregate(list(_HOW))
-            held = found.select(["market", *(f"{name}_{how}" for name, how in _HOW)]).rename_columns(["market", *_FIGURES])
-        if held is not None:
-            yield from held.cast(batch.schema).combine_chunks().to_batches()
+            held = found.select(["market", *(f"{name}_{how}" for name, how in _HOW)]).rename_columns(schema.names)
+        yield from held.cast(schema).combine_chunks().to_batches()
 
     return rows.mapInArrow(fold, FOLDED)
 
