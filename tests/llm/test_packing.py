@@ -94,6 +94,26 @@ def test_pieces_equal_the_library(documents):
             assert (row.start, row.length, bytes(row.ids)) == (16 * piece, len(part), struct.pack(f"<{len(part)}I", *part))
 
 
+def test_narrow_ids(documents):
+    docs = documents(list(enumerate(ODD)))
+    wide = {(r.doc_id, r.piece): bytes(r.ids) for r in packing.token_pieces(docs, PATH, capacity=16).collect()}
+    narrow = packing.token_pieces(docs, PATH, capacity=16, narrow=True)
+    assert all(2 * len(r.ids) == len(wide[r.doc_id, r.piece]) for r in narrow.collect())
+    back = narrow.withColumn("ids", packing.widened(narrow["ids"])).collect()
+    assert {(r.doc_id, r.piece): bytes(r.ids) for r in back} == wide
+
+
+def test_texts_in_latin_letters_equal_the_library():
+    tokeniser, own, source = Tokenizer.from_file(PATH), packing.WordTokeniser(PATH), random.Random(3)
+    letters = [chr(c) for c in [*range(0x80)] * 3 + [*range(0x80, 0x250), *range(0x2010, 0x2027), 0x20AC]]
+    letters += ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", " ", "\n", "e\u0301", "<|endoftext|>", "\x1c", "\x85"] * 9
+    for _ in range(4000):
+        text = "".join(source.choice(letters) for _ in range(source.randrange(1, 40)))
+        ids = tokeniser.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+    assert own.pieces and own.packed
+
+
 def test_long_texts_go_word_by_word(monkeypatch):
     own = packing.tokeniser(PATH)
     text = "some words\u2003and\tmore\nwords " * 50

@@ -18,11 +18,14 @@ import struct
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwatch.llm.byte_bpe import mapped
 from tickwatch.llm.caches import BoundedCache
 from tickwatch.llm.frames import quoted
 from tickwatch.settings import as_table
@@ -36,6 +39,11 @@ ENTRIES = 400_000
 # Signs behind words; an apostrophe may belong to the word.
 SIGNS = string.punctuation.replace("'", "")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# The tokeniser's own pieces of a lower-cased text, and the texts that are cut up here: Latin
+# letters, each of which has one lower case, and usual signs, without its special tokens.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+LATIN = re.compile("[\x00-\x1b\x20-\x7f\xa1-\u012f\u0131-\u024f\u2010-\u2026\u20ac]*")
+SPECIAL = "<|"
 # str.split also splits at these, the tokeniser does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -51,6 +59,13 @@ class WordTokeniser:
 
         self.tokeniser = Tokenizer.from_file(path)
         self.packed = BoundedCache(self.encode_word, ENTRIES)
+        self.pieces = BoundedCache(self.encode_piece, ENTRIES)
+
+    def encode_piece(self, piece: str) -> bytes:
+        """Ids of one of the tokeniser's own pieces, straight from its merges."""
+        plain = piece.isascii() and piece.isprintable()
+        tokens = self.tokeniser.model.tokenize(piece if plain else mapped(piece.encode()))
+        return struct.pack(f"<{len(tokens)}I", *[token.id for token in tokens])
 
     def encode_word(self, word: str) -> bytes:
         # Letters and signs behind them are split, and letters lower-cased, before any merge;
@@ -67,6 +82,8 @@ class WordTokeniser:
 
     def encode(self, text: str) -> bytes:
         if len(text) <= LONG:
+            if SPECIAL not in text and LATIN.fullmatch(text) and unicodedata.is_normalized("NFC", text):
+                return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
             words = WORD.findall(text) if SEPARATORS.search(text) else text.split()
             return b"".join(map(self.packed.__getitem__, words))
         out, words = bytearray(), (found[0] for found in WORD.finditer(text))
@@ -88,17 +105,23 @@ def token_pieces(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    narrow: bool = False,
 ) -> DataFrame:
     """Token ids of each whole text and an end id, cut into pieces only where longer than ``capacity``.
 
     Returns the id column, ``piece`` (from 0), ``start`` (ids before it), ``length`` and
     ``ids`` (packed, four little-endian bytes an id). Null counts as the empty text,
-    whose one piece is the end id. Each row has pieces of its own, repeated rows too.
+    whose one piece is the end id. Each row has pieces of its own, repeated rows too. An
+    empty table gives no pieces; very long texts are encoded part by part and held as ids.
+    ``narrow`` ids take two bytes, for as long as they are stored and shuffled; ``widened``
+    gives the usual ones. A vocabulary must have room in them.
     """
     source = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string").alias("text"))
     fields = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType())]
     schema = T.StructType([T.StructField(id_col, source.schema["id"].dataType), *[T.StructField(*f) for f in fields]])
     end = struct.pack("<I", end_id)
+    if narrow and tokeniser(path).tokeniser.get_vocab_size() > 1 << 16:
+        raise ValueError("the vocabulary has more ids than two bytes have")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokeniser(path).encode
@@ -115,7 +138,7 @@ def token_pieces(
                         pieces.append(number)
                         starts.append(begin // 4)
                         sizes.append(len(own) // 4)
-                        ids.append(own)
+                        ids.append(np.frombuffer(own, "<u4").astype("<u2").tobytes() if narrow else own)
                 columns = [
                     part.column(0).take(pa.array(rows, pa.int64())),
                     pa.array(pieces, pa.int32()),
@@ -128,6 +151,16 @@ def token_pieces(
     return source.mapInArrow(cut, schema)
 
 
+def widened(ids: Column) -> Column:
+    """Narrow ids with four bytes each."""
+
+    @F.arrow_udf("binary")
+    def wide(packed: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(one.as_py(), "<u2").astype("<u4").tobytes() for one in packed], pa.binary())
+
+    return wide(ids)
+
+
 def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Match within one range of ascending sizes: each gap takes the last waiting piece.
 
