@@ -47,7 +47,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of all documents, and where each piece lies in a sequence of 4096."""
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path(TOKENISER)))
+    # Ids are stored and shuffled with two bytes each.
+    packed = packing.pack(packing.token_pieces(docs, public_tokenizers.path(TOKENISER), narrow=True))
+    return packed.withColumn("ids", packing.widened(F.col("ids")))
 
 
 STAGES = [
