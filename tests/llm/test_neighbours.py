@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickwatch.llm import neighbours
+import __spark_entry__ as entry
+from tickwatch.llm import neighbours, queries
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, note STRING"
 
@@ -72,8 +73,52 @@ def test_every_code_within_the_radius_is_found():
     rng = np.random.default_rng(5)
     codes = rng.integers(0, 256, (400, 4), np.uint8)
     index = neighbours.MultiIndex(codes)
-    for radius in (0, 5, 9, 13):
-        for code in codes[:40]:
+    for radius in (0, 3, 5, 9, 13):
+        inside = index.within(codes[:40], radius, 1)
+        for code, found in zip(codes, inside):
             wanted = np.flatnonzero(np.unpackbits(codes ^ code, axis=1).sum(1) <= radius)
-            assert index.within(code, radius, 1).tolist() == wanted.tolist()
-    assert len(index.within(codes[0], 0, 50)) >= 50
+            assert np.flatnonzero(found).tolist() == wanted.tolist()
+    assert index.within(codes[:1], 0, 50).sum() >= 50
+
+
+def test_probing_is_used_where_it_rules_out_codes():
+    rng = np.random.default_rng(6)
+    index = neighbours.MultiIndex(rng.integers(0, 256, (2000, 8), np.uint8))
+    code = rng.integers(0, 256, 8, np.uint8)
+    assert len(index.probed(code, 7)) < 200 and index.probed(code, 30) is None
+    # Codes of eleven bytes are padded to whole words.
+    codes = rng.integers(0, 256, (50, 11), np.uint8)
+    away = neighbours.distances(neighbours.words(codes), neighbours.words(codes[:3]))
+    assert away.tolist() == [[int(np.unpackbits(a ^ b).sum()) for b in codes] for a in codes[:3]]
+
+
+def test_best_of_breaks_ties_by_name():
+    vectors = np.array([[1.0, 0.0], [1.0, 0.0], [0.0, 1.0], [2.0, 0.0]])
+    names, inside = np.array([9, 4, 1, 7]), np.array([[True, True, True, False]])
+    ((found, scores),) = neighbours.best_of(vectors, names, np.array([[1.0, 0.0]]), inside, 2)
+    assert found.tolist() == [4, 9] and scores.tolist() == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_recall_of_the_registered_query(spark, folder):
+    sf_dir = entry.SMALL.replace("sf0.001", folder)
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").toPandas().sort_values("vec_id")
+    ids, vectors = rows["vec_id"].to_numpy(), np.array(rows["embedding"].tolist(), float)
+    got = by_query(queries.QUERIES["op9_neighbours"](spark, sf_dir))
+    asked = [at for at, i in enumerate(ids) if i % 20 == 0]
+    assert sorted(got) == ids[asked].tolist()
+    hits, hundredth = [], []
+    for at in asked:
+        wanted = {i for _, i, _ in brute(vectors, ids, at, 20)}
+        hits.append(len(wanted & {i for _, i, _ in got[ids[at]]}))
+        hundredth += hits[-1:] if ids[at] % 100 == 0 else []
+        assert all(score == pytest.approx(float(np.dot(vectors[ids.searchsorted(i)], vectors[at])), abs=1e-12) for _, i, score in got[ids[at]])
+    assert np.mean(hits) / 20 >= 0.9 and np.mean(hundredth) / 20 >= 0.9
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(i, [1.0, float(i)], "r", "s", 0) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>, rank STRING, score STRING, class INT")
+    found = neighbours.search(df, F.col("vec_id") == 1, k=2)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [(1, 1, 3, 4.0), (1, 2, 2, 3.0)]

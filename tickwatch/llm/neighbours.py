@@ -28,6 +28,11 @@ REACH = 0.98
 # Vectors and queries that meet in one task.
 CODES_IN_BLOCK = 8192
 QUERIES_IN_BLOCK = 4096
+QUERIES_AT_ONCE = 128
+# Vectors of the sample whose neighbours set the radius.
+ASKED = 400
+# Probing is left out where it would rule out less than this share of the codes.
+LEAST_RULED_OUT = 0.5
 ROUNDS = 30
 
 WEIGHTS = np.array([bin(value).count("1") for value in range(1 << WIDTH)], np.uint8)
@@ -57,12 +62,25 @@ def learned_rotation(centred: np.ndarray, rng: np.random.Generator) -> np.ndarra
     return axes @ turn
 
 
-def distances(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
-    return WEIGHTS[codes ^ code].sum(1, dtype=np.int32)
+def words(codes: np.ndarray) -> np.ndarray:
+    """Codes as whole 64-bit words, padded with zeros."""
+    padded = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
+    padded[:, : codes.shape[1]] = codes
+    return padded.view(np.uint64)
 
 
-def learn(sample: np.ndarray, k: int, bits: int = BITS, reach: float = REACH, seed: int = 7) -> Model:
-    """Fit rotations and the radius that reaches the given share of the sample's own neighbours.
+def distances(codes: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Differing bits of each asked code (rows) and each held code (columns), both as words."""
+    away = np.zeros((len(asked), len(codes)), np.uint16)
+    for part in range(codes.shape[1]):
+        away += np.bitwise_count(asked[:, part, None] ^ codes[None, :, part])
+    return away
+
+
+def learn(
+    sample: np.ndarray, k: int, bits: int = BITS, reach: float = REACH, seed: int = 7, asked: int = ASKED
+) -> Model:
+    """Fit rotations on a sample, and the radius that reaches the given share of its own neighbours of ``asked`` of it.
 
     Neighbours in all rows are nearer than in a sample, so the radius errs to the safe side.
     """
@@ -73,13 +91,13 @@ def learn(sample: np.ndarray, k: int, bits: int = BITS, reach: float = REACH, se
         turns.append(learned_rotation(sample - mean, rng))
         count += turns[-1].shape[1]
     model = Model(mean, np.hstack(turns)[:, :bits], bits)
-    codes = model.codes(sample)
+    codes = words(model.codes(sample))
     far = []
-    for at in range(min(len(sample), 400)):
+    for at in range(min(len(sample), asked)):
         scores = sample @ sample[at]
         scores[at] = -np.inf
         nearest = np.argpartition(-scores, min(k, len(scores) - 1))[:k]
-        far.append(distances(codes[nearest[nearest != at]], codes[at]))
+        far.append(distances(codes[nearest[nearest != at]], codes[at : at + 1])[0])
     radius = int(np.quantile(np.concatenate(far), reach)) if len(sample) > 1 else bits
     return Model(mean, model.rotation, radius)
 
@@ -88,32 +106,69 @@ class MultiIndex:
     """The codes of one block, listed by the value of each substring."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes
+        self.words = words(codes)
+        self.parts = codes.shape[1]
         self.lists = np.argsort(codes, axis=0, kind="stable").astype(np.int32)
         ordered = np.take_along_axis(codes, self.lists, 0)
         values = np.arange((1 << WIDTH) + 1)
-        self.starts = [np.searchsorted(ordered[:, part], values) for part in range(codes.shape[1])]
-
-    def within(self, code: np.ndarray, radius: int, least: int) -> np.ndarray:
-        """Every place whose code lies within the radius; a wider one where fewer than ``least`` do."""
-        near = radius // self.codes.shape[1]
-        found = np.zeros(len(self.codes), bool)
+        self.starts = [np.searchsorted(ordered[:, part], values) for part in range(self.parts)]
+
+    def probed(self, code: np.ndarray, radius: int) -> np.ndarray | None:
+        """Places with a substring so near that their code may lie within the radius; None if probing rules out little.
+
+        A code within the radius has a substring within the radius divided by their number.
+        """
+        near = WEIGHTS[np.arange(1 << WIDTH)] <= radius // self.parts
+        if (1 - near.mean()) ** self.parts < LEAST_RULED_OUT:
+            return None
+        found = np.zeros(len(self.words), bool)
+        probes = np.flatnonzero(near)
         for part, value in enumerate(code):
             starts = self.starts[part]
-            for probe in np.flatnonzero(WEIGHTS[np.arange(1 << WIDTH) ^ value] <= near):
+            for probe in probes ^ value:
                 found[self.lists[starts[probe] : starts[probe + 1], part]] = True
-            if found.all():
-                break
-        places = np.flatnonzero(found)
-        away = distances(self.codes[places], code)
-        inside = places[away <= radius]
-        if len(inside) < min(least, len(self.codes)):
-            away = distances(self.codes, code)
-            reach = np.partition(away, min(least, len(away)) - 1)[min(least, len(away)) - 1]
-            inside = np.flatnonzero(away <= reach)
+        return np.flatnonzero(found)
+
+    def within(self, asked: np.ndarray, radius: int, least: int) -> np.ndarray:
+        """Whether each code (columns) lies within the radius of each asked one; within a wider one where fewer than ``least`` do.
+
+        Whole codes are compared at once, of the probed places only where probing rules out enough.
+        """
+        wanted, least = words(asked), min(least, len(self.words))
+        if self.probed(asked[0], radius) is None:
+            away = distances(self.words, wanted)
+        else:
+            away = np.full((len(asked), len(self.words)), np.iinfo(np.uint16).max, np.uint16)
+            for row, code in enumerate(asked):
+                places = self.probed(code, radius)
+                away[row, places] = distances(self.words[places], wanted[row : row + 1])[0]
+        inside = away <= radius
+        for row in np.flatnonzero(inside.sum(axis=1) < least):
+            whole = distances(self.words, wanted[row : row + 1])[0]
+            inside[row] = whole <= np.partition(whole, least - 1)[least - 1]
         return inside
 
 
+def best_of(
+    vectors: np.ndarray, names: np.ndarray, wanted: np.ndarray, inside: np.ndarray, k: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Names and scores of the ``k`` best vectors among those inside for each wanted one, ties to the smaller name.
+
+    Scores of a product of matrices choose a few more than ``k``, by more than their
+    rounding; the scores given are sums of products, one vector at a time.
+    """
+    rough = np.where(inside, wanted @ vectors.T, -np.inf)
+    room = 1e-9 * (np.linalg.norm(wanted, axis=1) * np.linalg.norm(vectors, axis=1).max())
+    least = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(wanted), -np.inf)
+    found = []
+    for row, query in enumerate(wanted):
+        places = np.flatnonzero(inside[row] & (rough[row] >= least[row] - room[row]))
+        scores = (vectors[places] * query).sum(1)
+        best = np.lexsort((names[places], -scores))[:k]
+        found.append((names[places][best], scores[best]))
+    return found
+
+
 def usable(vector: Column) -> Column:
     whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return vector.isNotNull() & whole & F.exists(vector, lambda x: x != 0)
@@ -135,7 +190,8 @@ def search(
     null or non-finite components, have no id, or have another length than most, take no
     part. A row that is repeated counts once. Fewer candidates than ``k`` are all returned;
     an empty table gives none. The model is fitted on at most ``sample`` vectors, chosen
-    by a hash of their ids; every row is indexed.
+    by a hash of their ids, and its radius on the neighbours that ``ASKED`` of them have
+    among these; every row is indexed. Other columns are not looked at.
     """
     vector = F.col(quoted(vector_col)).cast("array<double>")
     # Zeros lose their sign, so that equal vectors are equal bits.
@@ -176,17 +232,17 @@ def search(
     def meet(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         made = {"query_class": [], "class": [], "score": []}
         if len(asked) and len(held):
-            held = held.sort_values("class", ignore_index=True)
             vectors, wanted = np.array(held["vector"].tolist()), np.array(asked["vector"].tolist())
-            index = MultiIndex(model.codes(vectors))
+            index, codes = MultiIndex(model.codes(vectors)), model.codes(wanted)
             names = held["class"].to_numpy()
-            for name, query, code in zip(asked["class"], wanted, model.codes(wanted)):
-                inside = index.within(code, model.radius, k + 1)
-                scores = (vectors[inside] * query).sum(1)
-                best = np.lexsort((names[inside], -scores))[: k + 1]
-                made["query_class"] += [name] * len(best)
-                made["class"] += names[inside][best].tolist()
-                made["score"] += scores[best].tolist()
+            for at in range(0, len(wanted), QUERIES_AT_ONCE):
+                some = slice(at, at + QUERIES_AT_ONCE)
+                inside = index.within(codes[some], model.radius, k + 1)
+                best = best_of(vectors, names, wanted[some], inside, k + 1)
+                for name, (theirs, scores) in zip(asked["class"].iloc[some], best):
+                    made["query_class"] += [name] * len(theirs)
+                    made["class"] += theirs.tolist()
+                    made["score"] += scores.tolist()
         return pd.DataFrame(made)
 
     keys = ["query_block", "code_block"]
