@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,11 @@ from tickwatch.settings import run_dir
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# One bound on the memory of all state partitions of an executor together.
+_STATE_MEMORY = {
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+}
 
 # One stateful operator per query: with it, rows behind the watermark are
 # dropped at once; otherwise a batch later.
@@ -20,23 +25,28 @@ _SEVERAL_STATEFUL = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
 @contextmanager
-def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def drop_late_at_once(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside drop late rows in the batch after the watermark moved."""
-    return setting(spark, _SEVERAL_STATEFUL, "false")
+    return settings(spark, {_SEVERAL_STATEFUL: "false"})
 
 
 def state_on_disk(spark: SparkSession) -> AbstractContextManager[None]:
-    """Streams started inside keep their state in RocksDB, as those with timers need."""
-    return setting(spark, _STATE_STORE, _ROCKSDB)
+    """Streams started inside keep their state in RocksDB, as those with timers need, in bounded memory."""
+    return settings(spark, {_STATE_STORE: _ROCKSDB, **_STATE_MEMORY})
 
 
 def start_files(

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickwatch.operators import moves
 from tickwatch.streaming.clocks import with_event_clock
-from tickwatch.streaming.runner import setting
+from tickwatch.streaming.runner import settings
 
 _POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
 def least_watermark(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside close windows by the least watermark of their sources."""
-    return setting(spark, _POLICY, "min")
+    return settings(spark, {_POLICY: "min"})
 
 
 def united(splits: Sequence[DataFrame], clock: str = "event_time", delay: str = "1 second") -> DataFrame:
