@@ -116,3 +116,101 @@ def test_numbers_side_by_side_are_still_found(documents):
     rows += [(100, "ring mobile 555-0199-22 555-0199-23 555-0199-24 now")]
     found = {r.id: [tuple(s) for s in r.learned] for r in pii.found_spans(documents(rows)).collect()}
     assert found[100] == [(12, pii.PHONE, 23)]
+
+
+def ringing(count):
+    return [(n, f"please ring me on mobile +1 555 010 {1000 + n} soon") for n in range(count)]
+
+
+def test_identifiers_may_be_of_any_length(documents):
+    rows = [(n, f"write to user{n}@host.org now") for n in range(12)]
+    long = "b" * 300 + "@" + "host" * 50
+    rows += [(100, f"write to {long} now"), (101, "write to b@h now"), (102, "write to you now")]
+    found = {r.id: [tuple(s) for s in r.learned] for r in pii.found_spans(documents(rows)).collect()}
+    assert found[100] == [(9, pii.EMAIL, 9 + len(long))] and found[101] == [(9, pii.EMAIL, 12)] and found[102] == []
+
+
+def test_long_seeds_that_begin_alike_are_different_values(documents):
+    rows = [(n, f"write to {'a' * 130}{n}@host.org now") for n in range(12)] + [(100, "write to bob@host now")]
+    found = {r.id: [tuple(s) for s in r.learned] for r in pii.found_spans(documents(rows)).collect()}
+    assert found[100] == [(9, pii.EMAIL, 17)]
+
+
+def test_contexts_are_whole_words():
+    long = "w" * 500
+    text = f"one {long}     {' ' * 200}\n x@y {' ' * 300}{long}er end"
+    at = text.index("x@y")
+    told = pii.told_apart(long)
+    assert pii.contexts(text, at, at + 3) == [f"< {told}", f"< one {told}", f"> {pii.told_apart(long + 'er')}"]
+    assert pii.contexts("x@y", 0, 3) == [] and told != pii.told_apart(long + "er") and len(told) == 65
+
+
+def brute_learned(texts, rules):
+    """Spans learned by plain dictionaries over all texts."""
+    seen = []
+    for number, text in enumerate(texts):
+        base = pii.base_spans(text or "")
+        for s, kind, e in base:
+            seen.append({"doc": number, "kind": kind, "value": text[s:e], "shapes": [], "patterns": pii.contexts(text, s, e), "shared": []})
+        seen += [{"doc": number, **one} for one in pii.unknowns(text or "", base)]
+    edges = {(p, o["value"], o["kind"], tuple(o["shapes"])) for o in seen for p in o["patterns"]}
+    values, seeds = {}, {}
+    for pattern, _, kind, _ in edges:
+        values[pattern] = values.get(pattern, 0) + 1
+        if kind is not None:
+            seeds[pattern, kind] = seeds.get((pattern, kind), 0) + 1
+    known = {key: n for key, n in seeds.items() if n >= rules.least_seeds}
+    scored = {key: n / (values[key[0]] + rules.doubt) for key, n in known.items()}
+    for _ in range(rules.rounds - 1):
+        beliefs = {}
+        for pattern, value, kind, shapes in edges:
+            for (other, guess), sure in scored.items():
+                if kind is None and other == pattern and guess in shapes:
+                    beliefs[value, guess] = max(beliefs.get((value, guess), 0), sure)
+        gained = {}
+        for pattern, value, kind, _ in edges:
+            for (other, guess), belief in beliefs.items():
+                if kind is None and other == value:
+                    gained[pattern, guess] = gained.get((pattern, guess), 0) + belief
+        scored = {key: (n + gained.get(key, 0.0)) / (values[key[0]] + rules.doubt) for key, n in known.items()}
+    sure = {key: found for key, found in scored.items() if found >= rules.confidence}
+    best = {}
+    for one in (o for o in seen if o["kind"] is None):
+        fits = [(-found, kind) for (p, kind), found in sure.items() if p in one["patterns"] + one["shared"] and kind in one["shapes"]]
+        if fits:
+            best.setdefault((one["doc"], one["outer"]), []).append((one["run"], (one["start"], min(fits)[1], one["end"])))
+    learned = {}
+    for (doc, _), spans in best.items():
+        runs = [span for run, span in spans if run]
+        learned.setdefault(doc, []).extend(runs or [span for _, span in spans])
+    return {doc: sorted(spans) for doc, spans in learned.items()}
+
+
+def test_whole_result_equals_brute_force(documents):
+    import random
+
+    source = random.Random(9)
+    lefts = ["ring me on mobile", "call tel", "write to", "my ip is", "charged visa", "see page", "no"]
+    texts = [text for _, text in ringing(8)] + ODD
+    for _ in range(250):
+        left = source.choice(lefts)
+        n = source.randrange(60)
+        value = {
+            0: [f"+1 555 010 {1000 + n}", f"555-01{n:02d}-22", f"(743) 555 38{n:02d}"], 1: [f"+49 30 1234 {n:03d}", f"030 1234 {n:03d}"],
+            2: [f"u{n}@host.org", f"u{n}@host"], 3: [f"10.0.0.{n}", f"fe80:0:0:{n}:1"], 4: ["4111 1111 1111 1111", f"4111 1111 1111 11{n:02d}"],
+            5: [f"{5000000 + n}"], 6: ["word", f"{n}"],
+        }[lefts.index(left)]
+        texts.append(f"{source.choice(['please', 'so', ''])} {left} {source.choice(value)} {source.choice(['soon', 'now', ''])}".strip())
+    rules = pii.Rules(confidence=0.5, least_seeds=3)
+    found = {r.id: r for r in pii.found_spans(documents(list(enumerate(texts))), rules).collect()}
+    learned = brute_learned(texts, rules)
+    assert sum(map(len, learned.values())) > 20
+    for number, text in enumerate(texts):
+        assert [tuple(s) for s in found[number].base] == brute(text or "")
+        assert [tuple(s) for s in found[number].learned] == learned.get(number, []), text
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "me@x.yz", "k", "b", 3)], "doc_id BIGINT, text STRING, text_key STRING, base STRING, id INT")
+    assert [tuple(s) for s in pii.found_spans(df).first().base] == [(0, pii.EMAIL, 7)]
+    assert tuple(pii.redact(df).first()) == (1, "<EMAIL>", "k", "b", 3)

@@ -8,6 +8,7 @@ rounds, sure patterns with enough seeds mark unknown identifiers of a fitting sh
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -36,8 +37,10 @@ NUMBER_SHAPE = re.compile(r"[0-9(+][0-9().+/\x20-]*")
 RUN = re.compile(r"(?<!\w)[(+]*[0-9](?:[\x20()./-]*[0-9])*(?!\w)")
 IP_SHAPE = re.compile(r"[0-9A-Fa-f]*(?:[.:][0-9A-Fa-f]*){3,}")
 EDGES = "\"'`.,;:!?()[]{}<>|*#&$%=/\\"
-AROUND = 64
-SHORTEST, LONGEST = 5, 64
+# Longer values and words are told apart by digests, which take no more room.
+LONGEST = 64
+# How far to look for a neighbouring word at first.
+NEAR = 64
 
 SPAN = T.ArrayType(T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "kind", "end")]))
 
@@ -94,7 +97,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def shapes(value: str) -> list[int]:
     """The kinds that an unknown identifier may be of by its looks."""
-    if "@" in value:
+    if "@" in value and len(value) > 1:
         return [EMAIL]
     digits = len(DIGIT.findall(value))
     fitting = [IP] if IP_SHAPE.fullmatch(value) else []
@@ -118,14 +121,12 @@ def unknown_spans(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tupl
         while end < len(text) and not text[end].isspace():
             end += 1
         done = end
-        if end - start > 2 * LONGEST:
-            continue
         word = text[start:end]
         start += len(word) - len(word.lstrip(EDGES))
         value = word.strip(EDGES)
         end = start + len(value)
         before = bisect_right(starts, end - 1)
-        if SHORTEST <= len(value) <= LONGEST and not (before and longest[before - 1] > start) and shapes(value):
+        if not (before and longest[before - 1] > start) and shapes(value):
             yield start, end
 
 
@@ -142,7 +143,7 @@ def unknown_runs(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple
                 start += 1
             around = match.start(), end + text[end : end + start - match.start()].count(")")
             value = text[start:end]
-            if " " in value and SHORTEST <= len(value) <= LONGEST and shapes(value):
+            if " " in value and shapes(value):
                 yield start, end, around
         done = max(done, last)
 
@@ -156,7 +157,7 @@ def unknowns(text: str, taken: list[tuple[int, int, int]]) -> Iterator[dict]:
 
     def one(start: int, end: int, outer: int, run: bool, patterns: list[str], shared: list[str]) -> dict:
         value = text[start:end]
-        made = {"kind": None, "start": start, "end": end, "value": value, "shapes": shapes(value)}
+        made = {"kind": None, "start": start, "end": end, "value": told_apart(value), "shapes": shapes(value)}
         return {**made, "patterns": patterns, "shared": shared, "outer": outer, "run": run}
 
     runs = list(unknown_runs(text, taken))
@@ -173,11 +174,38 @@ def unknowns(text: str, taken: list[tuple[int, int, int]]) -> Iterator[dict]:
         yield one(start, end, start, True, [p for p in patterns if p not in known], [p for p in patterns if p in known])
 
 
+def told_apart(value: str) -> str:
+    """A value itself or, if it is long, a digest of all of it."""
+    return value if len(value) <= LONGEST else "#" + hashlib.sha256(value.encode("utf-8", "replace")).hexdigest()
+
+
+def words_before(text: str, end: int) -> list[str]:
+    """The last two whole words before a place, however long they are and whatever blanks lie between."""
+    size = NEAR
+    while True:
+        at = max(0, end - size)
+        words = text[at:end].split()
+        # With a third word, or a blank before them, the last two are whole.
+        if at == 0 or len(words) > 2 or (len(words) == 2 and text[at].isspace()):
+            return words[-2:]
+        size *= 4
+
+
+def word_after(text: str, start: int) -> list[str]:
+    """The first whole word after a place, if there is one."""
+    size = NEAR
+    while True:
+        words = text[start : start + size].split()
+        if start + size >= len(text) or len(words) > 1 or (words and text[start + size - 1].isspace()):
+            return words[:1]
+        size *= 4
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a span: the word before, the two before, the word after; digits are all alike."""
-    plain = lambda word: DIGIT.sub("0", word.lower().strip(EDGES) or word)
-    left = [plain(word) for word in text[max(0, start - AROUND) : start].split()[-2:]]
-    right = [plain(word) for word in text[end : end + AROUND].split()[:1]]
+    plain = lambda word: told_apart(DIGIT.sub("0", word.lower().strip(EDGES) or word))
+    left = [plain(word) for word in words_before(text, start)]
+    right = [plain(word) for word in word_after(text, end)]
     found = ["< " + " ".join(left[-1:]), "< " + " ".join(left)] if left else []
     return list(dict.fromkeys(found + ["> " + word for word in right]))
 
@@ -217,7 +245,7 @@ def marked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 text = text.as_py() or ""
                 base = base_spans(text)
                 rows = [
-                    {"kind": kind, "start": s, "end": e, "value": text[s:e][: 2 * LONGEST], "shapes": [], "patterns": contexts(text, s, e)}
+                    {"kind": kind, "start": s, "end": e, "value": told_apart(text[s:e]), "shapes": [], "patterns": contexts(text, s, e)}
                     for s, kind, e in base
                 ]
                 rows.extend(unknowns(text, base))
@@ -255,7 +283,16 @@ def sure_patterns(occurrences: DataFrame, rules: Rules) -> DataFrame:
 
 
 def found_spans(df: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``text_key``, ``base`` and ``learned`` spans (start, kind, end; code points) of every row."""
+    """``id``, ``text_key``, ``base`` and ``learned`` spans (start, kind, end; code points) of every row.
+
+    One row for each row of the input, repeated rows too, in no order; spans are sorted.
+    Null and empty texts have none. Texts, identifiers and the words around them may be of
+    any length. An unknown identifier is a word, or a number over several words, that looks
+    like one: with an at sign, as an address of four parts or more, or with the digits of a
+    phone (7 to 15) or card (12 to 19). Of several kinds the surest counts, of equally sure
+    ones that listed first. Rows without an id are told apart by their texts; only the id
+    and the text are read, so no other column can clash. An empty table gives no rows.
+    """
     rows = as_table(marked(df, id_col, text_col), "marked")
     one = rows.select("id", "text_key", F.explode("seen").alias("one")).select("id", "text_key", "one.*")
     patterns = sure_patterns(one.withColumn("pattern", F.explode("patterns")), rules)
