@@ -84,7 +84,23 @@ def test_junk_goes_and_clean_texts_stay(documents):
 def test_short_and_unknown_languages_are_not_judged_by_words(documents):
     made = quality.judge(documents([(1, words_of(100, 1)), (2, "few words")], lang="xx")).collect()
     assert {r.doc_id: (r.class_distance is None, r.word_distance is None) for r in made} == {1: (False, True), 2: (True, True)}
-    assert quality.judge(documents([(1, words_of(100, 1))], lang=None)).first().word_distance is None
+    row = quality.judge(documents([(1, words_of(100, 1))], lang=None)).first()
+    assert row.word_distance is None and row.class_distance is None and row.kept
+
+
+def test_clean_texts_of_other_scripts_stay_among_many(documents):
+    arabic = " ".join(["هذا نص عربي نظيف يتحدث عن الطقس والمدينة والناس في كل يوم"] + [f"كلمة{chr(0x628 + n % 20)}{chr(0x62A + n % 7)}" for n in range(70)])
+    hebrew = " ".join(f"מילה{chr(0x5D0 + n % 22)}{chr(0x5D0 + n % 5)}" for n in range(80))
+    english = [(n, f"{CLEAN} {words_of(60, n)}") for n in range(40)]
+    docs = documents(english).unionByName(documents([(100, arabic), (101, arabic + " نعم")], lang="ar"))
+    docs = docs.unionByName(documents([(102, hebrew)], lang="he")).unionByName(documents([(103, hebrew)], lang=None))
+    made = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert len(made) == 44 and all(made[n].kept for n in (100, 101, 102, 103))
+    assert made[100].class_distance < 0.1 and made[102].class_distance == pytest.approx(0, abs=1e-9)
+    assert made[103].class_distance is None and made[100].word_distance is None
+    # A language's own reference still tells what is unlike it.
+    odd = documents([(n, arabic) for n in range(20)] + [(50, "X1 $$ " * 60 + words_of(60, 1).upper())], lang="ar")
+    assert [r.doc_id for r in quality.judge(odd).where("NOT kept").collect()] == [50]
 
 
 def test_clashing_columns_no_language_and_empty(documents, spark):

@@ -2,7 +2,8 @@
 
 A document's character classes and its common words are two histograms. Each is
 compared with the reference of the document's language by the Jensen-Shannon
-distance. References are the summed histograms of all documents of the language.
+distance. References are the summed histograms of all documents of the language; those of
+character classes are learned for every language there is, as a small table by language.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ BLANK = " \t\n\x0b\f\r"
 CLASSES = ["lower", "upper", "digit", "space", "symbol", "other"]
 # Histograms and how many counts each has; the last one is of everything else.
 HISTOGRAMS = {"class_counts": len(CLASSES), "word_counts": SLOTS + 1}
-ALL = "*"
 # Up to so many different repeated windows a lookup in their list is quicker than a sort.
 FEW = 32
 
@@ -59,9 +59,9 @@ class Rules:
 
 @dataclass(frozen=True)
 class References:
-    """Summed histograms by language, and of all documents under ``*``."""
+    """Summed histograms by language: of words those of the word lists, of classes as a table (lang, class_sums)."""
 
-    classes: dict[str, list[int]] = field(default_factory=dict)
+    classes: DataFrame
     words: dict[str, list[int]] = field(default_factory=dict)
 
 
@@ -98,7 +98,7 @@ def measure(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
     source = df.select(
         F.struct(F.lit(0).alias("none"), *[F.col(quoted(name)).alias(name) for name in df.columns]).alias("row"),
         text.alias("text"),
-        F.when(lang.isin(*COMMON_WORDS), lang).alias("lang"),
+        lang.alias("lang"),
     )
     text = F.col("text")
     # Most letters are small; what is left without them is short.
@@ -154,21 +154,22 @@ def measure(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
     return repeated_words(counted, [name for name in counted.columns if name != "windows"])
 
 
+def summed(name: str) -> list[Column]:
+    return [F.sum(F.get(name, F.lit(i))).alias(f"{name}_{i}") for i in range(HISTOGRAMS[name])]
+
+
 def learn_references(measured: DataFrame) -> References:
-    """Sum the histograms of all measured documents, by known language and in all.
+    """Sum the histograms of all measured documents by language.
 
-    One row for each language of the word lists and one for the rest comes to the driver.
+    The sums of classes are written to the shared folder, one row for each language
+    there is. One row for each word list comes to the driver.
     """
-    sums = [F.sum(F.get(name, F.lit(i))).alias(f"{name}_{i}") for name, size in HISTOGRAMS.items() for i in range(size)]
-    found = {name: {} for name in HISTOGRAMS}
-    whole = [0] * HISTOGRAMS["class_counts"]
-    for row in measured.groupBy("lang").agg(*sums).collect():
-        counts = {name: [row[f"{name}_{i}"] or 0 for i in range(size)] for name, size in HISTOGRAMS.items()}
-        whole = [a + b for a, b in zip(whole, counts["class_counts"])]
-        if row["lang"] is not None:
-            for name in HISTOGRAMS:
-                found[name][row["lang"]] = counts[name]
-    return References({**found["class_counts"], ALL: whole}, found["word_counts"])
+    by_language = measured.where(F.col("lang").isNotNull()).groupBy("lang").agg(*summed("class_counts"))
+    sums = [F.coalesce(f"class_counts_{i}", F.lit(0)) for i in range(HISTOGRAMS["class_counts"])]
+    classes = as_table(by_language.select("lang", F.array(*sums).alias("class_sums")), "class-references")
+    known = measured.where(F.col("lang").isin(*COMMON_WORDS)).groupBy("lang").agg(*summed("word_counts"))
+    words = {row["lang"]: [row[f"word_counts_{i}"] or 0 for i in range(SLOTS + 1)] for row in known.collect()}
+    return References(classes, words)
 
 
 def total(counts: str | Column) -> Column:
@@ -176,13 +177,12 @@ def total(counts: str | Column) -> Column:
 
 
 def shares(references: dict[str, list[int]]) -> Column:
-    """The reference histogram of a row's language as shares of 1, else that of all documents, else null."""
+    """The reference histogram of a row's language as shares of 1, null if there is none."""
     chosen = F.lit(None).cast("array<double>")
-    # The one of all documents comes first, so that those of the languages go before it.
     for name, counts in sorted(references.items()):
         if whole := sum(counts):
             here = F.array(*[F.lit(count / whole) for count in counts])
-            chosen = F.when(F.lit(True) if name == ALL else F.col("lang") == name, here).otherwise(chosen)
+            chosen = F.when(F.col("lang") == name, here).otherwise(chosen)
     return chosen
 
 
@@ -196,7 +196,8 @@ def distance(counts: str, reference: str) -> Column:
 
     terms = F.zip_with(counts, reference, divergence)
     summed = F.aggregate(terms, F.lit(0.0), lambda sum_, term: sum_ + term) / 2
-    return F.when(F.col(f"{counts}_total") > 0, F.sqrt(F.greatest(summed, F.lit(0.0))))
+    there = (F.col(f"{counts}_total") > 0) & F.col(reference).isNotNull()
+    return F.when(there, F.sqrt(F.greatest(summed, F.lit(0.0))))
 
 
 def repeated_words(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -232,11 +233,14 @@ def repeated_words(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def verdicts(measured: DataFrame, rules: Rules, references: References) -> DataFrame:
     """The input's columns, the base counts, both distances and the verdict of measured documents."""
+    # The table is small, a row for each language, and its written size tells the planner so.
+    joined = measured.join(references.classes, "lang", "left")
+    whole = total("class_sums")
     compared = computed_once(
-        measured,
+        joined,
         ["row", *BASE, "n_chars", *HISTOGRAMS],
         {
-            "class_shares": shares(references.classes),
+            "class_shares": F.when(whole > 0, F.transform("class_sums", lambda count: count / whole)),
             "word_shares": shares(references.words),
             **{f"{name}_total": total(name) for name in HISTOGRAMS},
         },
@@ -277,9 +281,8 @@ def judge(
     ``base_failed``: fewer than ``least_words`` words, or more than ``repeat_percent``
     per cent of them in repeated three-word windows. ``kept``: not so, and the
     distances within their bounds. A distance is null, and never a reason to reject,
-    for texts below the minimum lengths; the one of common words also for a null or
-    unknown language, whose characters are compared with those of all documents.
-    Null counts as the empty text. Rows stay as they are, repeated rows too; columns
+    for texts below the minimum lengths and without a language; the one of common words
+    also for a language without a word list. Null counts as the empty text. Rows stay as they are, repeated rows too; columns
     of the input with the names of results are replaced. Without ``references`` they
     are learned from the same documents, which are measured once, into a table in the
     shared folder. An empty table gives an empty result.
