@@ -122,3 +122,27 @@ def test_stored_rows_are_read_from_the_newest_days(spark, tmp_path):
     empty = str(tmp_path / "none")
     sinks.write_by_day(metrics(spark, rows), empty, 0)
     assert serving.newest_days(serving.stored(spark, empty).limit(0), 5).count() == 0
+
+
+def rows_scanned(df):
+    """Rows that the scan of a collected frame gave to the filter above it."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_one_markets_history_reads_few_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROW_GROUP_BYTES", 4096)
+    rows = spark.range(200 * 300).select(
+        F.timestamp_seconds(F.col("id") % 300 * 60).alias("checked_at"),
+        F.format_string("M%04d", (F.col("id") / 300).cast("int") * 2).alias("market"),
+        F.col("id").alias("collected_count"),
+    )
+    path = str(tmp_path / "history")
+    sinks.write_by_day(rows, path, 0)
+    table = serving.stored(spark, path)
+    one = table.where("market = 'M0100'")
+    assert one.count() == 300 and rows_scanned(one) < 3000
+    # A market that is not there lies between others; its Bloom filters leave nothing to read.
+    assert rows_scanned(table.where("market = 'M0101'")) == 0
+    assert rows_scanned(table.where("collected_count >= 0")) == 60_000

@@ -246,6 +246,10 @@ FROM clean WHERE fault IN ({_UNPRICED})""",
     "price_moves_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
     "price_moves_panes_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)} SELECT * FROM moves",
     "price_moves_split_stream": f"WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000, splits=4)} SELECT * FROM moves",
+    "price_moves_restarted": f"""WITH {_CLEAN}, {_moves(_SIX_HOURS, _HOUR_MS, _UNPRICED, 1000)},
+told AS (SELECT market_code, 'closed' AS state FROM moves UNION ALL SELECT market_code, 'open' FROM spans
+         WHERE start_ms + {_SIX_HOURS} > (SELECT max(event_ms) FROM priced) - 1000)
+SELECT market_code, state, count(*) AS windows, 0 AS late_rows FROM told GROUP BY ALL""",
     "move_status_counts": f"{_WIDE_MOVES} SELECT status, count(*) AS windows FROM moves GROUP BY status",
     "market_moves_referential": f"{_WIDE_MOVES} SELECT * FROM moves WHERE market_code IN (SELECT code FROM clean)",
     "stored_ticks": _stored(),

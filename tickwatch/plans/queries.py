@@ -17,8 +17,11 @@ from tickwatch.sources import append, buckets
 from tickwatch.streaming import clocks, jobs, ledger, panes, sinks, splits
 from tickwatch.streaming.runner import (
     drop_late_at_once,
+    dropped_late,
+    open_state,
     run_available,
     run_until_closed,
+    start_files,
     state_on_disk,
     wait_until_closed,
 )
@@ -216,6 +219,25 @@ def price_moves_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _comparable(run_available(moving, "split-moves"))
 
 
+def price_moves_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by market that a job closed, and those it holds open, after it was stopped and started again, and its late rows."""
+    parts, folder = views.ordered_parts(spark, sf_dir, 4)
+    checkpoint, out, late = f"{folder}/checkpoint", f"{folder}/rows", 0
+    for landed in (parts[:2], parts[2:]):
+        for part in landed:
+            part.write.mode("append").parquet(f"{folder}/ticks")
+        ticks = spark.readStream.schema(part.schema).parquet(f"{folder}/ticks")
+        moving = moves.price_moves(ticks, delay="1 second", **WIDE)
+        with drop_late_at_once(spark):
+            query = start_files(moving, out, checkpoint, available_now=True)
+        query.awaitTermination()
+        late += dropped_late(query)
+    closed = spark.read.schema(moving.schema).parquet(out).select("market_code", F.lit("closed").alias("state"))
+    held = open_state(spark, checkpoint).select("key.market_code", F.lit("open").alias("state"))
+    counts = closed.unionByName(held).groupBy("market_code", "state").agg(F.count("*").alias("windows"))
+    return counts.withColumn("late_rows", F.lit(late))
+
+
 def move_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.move_status_counts(moves.price_moves(views.ticks(spark, sf_dir), **WIDE))
 
@@ -461,6 +483,7 @@ QUERIES: dict[str, Query] = {
         price_moves_stream,
         price_moves_panes_stream,
         price_moves_split_stream,
+        price_moves_restarted,
         move_rejects,
         move_status_counts,
         market_moves_referential,

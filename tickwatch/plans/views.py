@@ -123,6 +123,12 @@ def quarter_of(spark: SparkSession, sf_dir: str) -> Column:
     return F.floor(F.col("tick_id") * 4 / (last + 1)).cast("int")
 
 
+def ordered_parts(spark: SparkSession, sf_dir: str, parts: int) -> tuple[list[DataFrame], str]:
+    """All ticks in parts of equal spans of event time, and a folder to land them in."""
+    rows, part = _by_time(spark, sf_dir, parts)
+    return [rows.where(part == number).drop("event_ms") for number in range(parts)], run_dir(spark, "landed")
+
+
 def _in_parts(rows: DataFrame, parts: list[Column], label: str) -> DataFrame:
     """Rows as a stream that reads one part after the other; each is written by as many tasks as the rows have."""
     folder = run_dir(rows.sparkSession, label)

@@ -82,6 +82,11 @@ def start_batches(
     return writer.start()
 
 
+def open_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The keys and values that a stopped stream holds, read from its checkpoint."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+
 def run_available(df: DataFrame, label: str) -> DataFrame:
     """Run a stream over all data that is there now and read back what it wrote."""
     spark = df.sparkSession

@@ -11,6 +11,10 @@ from tickwatch.operators import moves, quality
 from tickwatch.streaming import ledger
 
 
+# Row groups of market metrics are small, so that one market's history reads little else.
+ROW_GROUP_BYTES = 8 << 20
+
+
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each batch to its own folder.
 
@@ -89,13 +93,17 @@ def write_by_day(metrics: DataFrame, path: str, batch_id: int | None = None) ->
     """Add metric rows to a table by day, newest first within files; market metrics also by market.
 
     A range partitioning on (day, market, time) splits a hot market over several
-    files; row group statistics then find one market's history. With a batch id the
-    rows have a folder of their own, which a repeated batch overwrites; without one
-    they are appended. ``serving`` reads the table.
+    files; row group statistics then find one market's history, and where a row group
+    spans several markets its Bloom filter tells whether the market is one of them. With a
+    batch id the rows have a folder of their own, which a repeated batch overwrites;
+    without one they are appended. ``serving`` reads the table.
     """
-    order = ["checked_date", *(["market"] if "market" in metrics.columns else []), F.desc("checked_at")]
+    by_market = "market" in metrics.columns
+    order = ["checked_date", *(["market"] if by_market else []), F.desc("checked_at")]
     dated = metrics.withColumn("checked_date", F.to_date("checked_at"))
     rows = dated.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("checked_date")
+    if by_market:
+        rows = rows.option("parquet.bloom.filter.enabled#market", "true").option("parquet.block.size", ROW_GROUP_BYTES)
     if batch_id is None:
         rows.mode("append").parquet(f"{path}/batch_id=-1")
     else:
