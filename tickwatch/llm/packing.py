@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +34,14 @@ END_ID = 1
 LONG = 1 << 20
 WORDS_AT_ONCE = 1 << 18
 # Words whose ids are kept, in each of two generations.
-ENTRIES = 400_000
+ENTRIES = 200_000
 # Signs behind words; an apostrophe may belong to the word.
 SIGNS = string.punctuation.replace("'", "")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # The tokeniser's own pieces of a lower-cased text, and the texts that are cut up here: Latin
 # letters, each of which has one lower case, and usual signs, without its special tokens.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+NUMBERS = r"\d²³¹¼½¾"
+PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W_{NUMBERS}]+|[{NUMBERS}]|(?:[^\s\w]|_)+")
 LATIN = re.compile("[\x00-\x1b\x20-\x7f\xa1-\u012f\u0131-\u024f\u2010-\u2026\u20ac]*")
 SPECIAL = "<|"
 # str.split also splits at these, the tokeniser does not.
