@@ -34,7 +34,7 @@ END_ID = 1
 LONG = 1 << 20
 WORDS_AT_ONCE = 1 << 18
 # Words whose ids are kept, in each of two generations.
-ENTRIES = 200_000
+ENTRIES = 400_000
 # Signs behind words; an apostrophe may belong to the word.
 SIGNS = string.punctuation.replace("'", "")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
