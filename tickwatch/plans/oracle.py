@@ -222,6 +222,8 @@ ORACLES: dict[str, str] = {
     "tick_rename_long": _renamed(),
     "publish_envelope": f"WITH {_CLEAN} SELECT 'unknown' AS key, {_text(False)} AS value FROM clean WHERE fault NOT IN (2, 15)",
     "publish_rejects": f"WITH {_CLEAN} SELECT tick_id, {_text(False)} AS value FROM clean WHERE fault IN (2, 15)",
+    "publish_encoded": f"""WITH {_CLEAN} SELECT tick_id, code, price AS trade_price, stream_type,
+{dict(FULL_FIELDS)['market_state']} AS market_state, 0 AS without_market FROM clean""",
     "publish_envelope_by_code": f"""WITH {_CLEAN} SELECT CASE WHEN fault IN (5, 6) THEN 'unknown' WHEN fault = 10 THEN 'MKT-NONE'
 WHEN fault = 16 THEN '0' ELSE code END AS key, {_text(False)} AS value FROM clean WHERE fault NOT IN (2, 15)""",
     "health_metrics": f"WITH {_CLEAN}, {_GLOBAL}, {_health(_SECOND, '1s')} SELECT * FROM health",
@@ -279,6 +281,7 @@ SELECT (SELECT n FROM created) AS created_count,
        (SELECT count(*) FROM ({_NEW})) AS new_count, (SELECT count(*) FROM ({_GONE})) AS delisted_count""",
     "market_listing_report": f"""WITH {_MARKETS} SELECT 'new' AS listing, market FROM ({_NEW})
 UNION ALL SELECT 'delisted', market FROM ({_GONE})""",
+    "market_sync_landed": _snapshot("false", "true"),
     "market_sync_buckets": _snapshot("false", "true"),
     "market_sync_one_change": f"""WITH {_MARKETS}, codes AS (SELECT market FROM existing UNION SELECT market FROM feed)
 SELECT 1 AS renamed, count(*) AS markets, 0 AS without_change, 1 AS with_one FROM codes""",

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.operators import compare, distinct, markets, metrics, moves, quality, serving, sketches
-from tickwatch.operators.ticks import metric_events, rename_long
+from tickwatch.operators.ticks import metric_events, rename_long, to_json_value
 from tickwatch.operators.ticks import publish_envelope as envelope
 from tickwatch.operators.ticks import publish_rejects as rejected
 from tickwatch.plans import views
 from tickwatch.settings import as_table, run_dir
-from tickwatch.sources import append, buckets
+from tickwatch.sources import append, buckets, files
 from tickwatch.streaming import clocks, jobs, ledger, panes, sinks, splits
 from tickwatch.streaming.runner import (
     drop_late_at_once,
@@ -78,6 +78,18 @@ def publish_envelope_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(views.ticks(spark, sf_dir), key_fields=("code", "cd"))
 
 
+def publish_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured ticks as messages, encoded anew, and what they hold when they are read again."""
+    long = rename_long(views.short_named_ticks(spark, sf_dir))
+    sent = to_json_value(long, ["tick_id", "code", "trade_price", "trade_volume", "stream_type", "market_state"])
+    read = metric_events(sent.select("value", F.lit(None).cast("timestamp").alias("ingest_time")))
+    texts = ("tick_id", "code", "trade_price", "stream_type", "market_state")
+    fields = sent.select(*[F.get_json_object("value", f"$.{name}").alias(name) for name in texts])
+    bad = read.agg(F.count_if(F.col("market").isNull()).alias("without_market")).first()[0]
+    typed = {"tick_id": F.col("tick_id").cast("bigint"), "trade_price": F.col("trade_price").cast("double")}
+    return fields.withColumns(typed).withColumn("without_market", F.lit(bad))
+
+
 # Health ---------------------------------------------------------------------
 
 
@@ -339,6 +351,14 @@ def market_delistings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markets.delistings(views.existing_markets(spark, sf_dir), views.market_feed(spark, sf_dir))
 
 
+def market_sync_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of ``market_sync_snapshot`` from a written market table and a reply in a file."""
+    folder, feed = run_dir(spark, "markets"), views.landed_feed(spark, sf_dir)
+    path = files.write_markets(views.existing_markets(spark, sf_dir), folder, "1")
+    path, _ = jobs.sync_markets(spark, path, feed, folder, "2")
+    return files.read_markets(spark, path)
+
+
 def market_sync_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot of ``market_sync_snapshot`` from a table in buckets."""
     store = buckets.MarketStore(spark, run_dir(spark, "markets"))
@@ -465,6 +485,7 @@ QUERIES: dict[str, Query] = {
         publish_envelope,
         publish_envelope_by_code,
         publish_rejects,
+        publish_encoded,
         health_metrics,
         health_metrics_hourly,
         health_metrics_stream,
@@ -502,6 +523,7 @@ QUERIES: dict[str, Query] = {
         market_listing_report,
         market_new_listings,
         market_delistings,
+        market_sync_landed,
         market_sync_buckets,
         market_sync_one_change,
         market_changes_by_digest,

@@ -255,3 +255,17 @@ def market_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(first.schema["market_event"].dataType).alias("market_event"),
     )
     return first.unionByName(second).unionByName(suppliers)
+
+
+def landed_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as it comes: one reply, a JSON array in one file, in a folder of its own."""
+    entries = market_feed(spark, sf_dir).orderBy("seq", "market")
+    order = F.monotonically_increasing_id()
+    lines = entries.select(order.alias("at"), F.to_json(F.struct("market", "korean_name", "english_name", "market_event")).alias("text"))
+    first = lines.agg(F.min("at")).first()[0]
+    body = lines.select("at", F.concat(F.when(F.col("at") == first, "[").otherwise(","), "text").alias("text"))
+    ends = spark.createDataFrame([(None, "]" if first is not None else "[]")], "at BIGINT, text STRING")
+    folder = run_dir(spark, "feed")
+    # A reply is one file; its entries are in order within it.
+    body.unionByName(ends).coalesce(1).sortWithinPartitions(F.col("at").asc_nulls_last()).select("text").write.text(folder)
+    return folder
