@@ -138,7 +138,8 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
     """Add the packed token ids of each whole text (binary, four little-endian bytes an id).
 
     Each match of ``pattern`` is merged separately. Null counts as the empty text and
-    gives no ids. Rows stay as they are; a same-named column is replaced.
+    gives no ids. Very long texts are encoded part by part, whole. Rows stay as they are,
+    repeated rows too; a same-named column is replaced, and an empty table stays empty.
     """
 
     @F.arrow_udf("ids binary")
@@ -150,7 +151,11 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """Add the bytes that packed ids stand for; null ids give no bytes, an id outside the vocabulary fails."""
+    """Add the bytes that packed ids stand for; null ids give no bytes, an id outside the vocabulary fails.
+
+    Ids of any number are decoded part by part. Rows stay as they are, repeated rows too; a
+    same-named column is replaced, and an empty table stays empty.
+    """
 
     @F.arrow_udf("decoded binary")
     def decoded(ids: pa.Array) -> pa.Array:

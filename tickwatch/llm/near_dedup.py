@@ -37,7 +37,8 @@ MISS = 1e-6
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
 SHINGLES_AT_ONCE = 1 << 11
-# Bits that mark the ids of documents to look up, a megabyte of them.
+# Bits that mark the ids of documents to look up, a megabyte of them. Ids that share a bit are
+# looked up in vain, so the map saves less work the more ids are asked for; no link depends on it.
 BITS = 1 << 23
 
 

@@ -120,7 +120,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", otherwise:
     verdict are left out. A URL that no rule fits has a null rule and the verdict
     ``otherwise``. So have null URLs and texts without ``://``, whose host and path
     are empty. Rows stay as they are, repeated rows too; same-named columns of the
-    input are replaced. Without any rules, or rows, nothing fits.
+    input are replaced. Without any rules, or rows, nothing fits. URLs may be of any length.
     """
     # Equal URLs are judged once, so that a frequent one is one probe.
     host, path = url_parts(F.col(quoted(url_col)).cast("string"))
