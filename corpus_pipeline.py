@@ -24,29 +24,32 @@ def like(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, unchanged."""
+    """Documents that the quality rules keep, unchanged; null and short texts go, repeated rows alike."""
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that stay only in the largest document id that holds them."""
+    """All documents, without the lines that stay only in the largest document id that holds them; null becomes empty."""
     return like(docs, line_dedup.dedup(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group of near duplicates, unchanged; documents without an id stay."""
+    """One document, the smallest id, of each group of near duplicates, unchanged.
+
+    Documents without an id, without words or with a null text stay.
+    """
     judged = near_dedup.near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
     gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind; null stays null."""
     return like(docs, pii.redact(docs))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of all documents, and where each piece lies in a sequence of 4096."""
+    """The token ids of all documents, and where each piece lies in a sequence of 4096; null has the end id alone."""
     # Ids are stored and shuffled with two bytes each.
     packed = packing.pack(packing.token_pieces(docs, public_tokenizers.path(TOKENISER), narrow=True))
     return packed.withColumn("ids", packing.widened(F.col("ids")))
