@@ -77,14 +77,14 @@ def test_run_over_a_folder(spark, documents, tmp_path):
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name[: name.index("_") + 1] for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name[: name.index("_") + 1] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     relation = duck.execute(ORACLES[name])
     names = [column[0] for column in relation.description]
