@@ -241,6 +241,25 @@ def test_a_hot_market_is_split(spark, texts):
             spark.conf.set(name, setting)
 
 
+def test_ticks_of_one_market_from_one_task_reach_many(spark, texts):
+    rows = [changed(trade_price=i) for i in range(600)] + [changed(code="KRW-Z", trade_price=i) for i in range(600)]
+    ticks = texts([(i, 0, text) for i, text in enumerate([*rows, *["{"] * 600])]).coalesce(1)
+    markets = spark.createDataFrame([("KRW-A",), ("KRW-A",), (None,)], "market STRING")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, setting in conf.items():
+        spark.conf.set(name, setting)
+    try:
+        frame = quality.route(ticks, markets)
+        found = frame.groupBy(quality.outcome().alias("o"), F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+    for outcome in ("stored", "skipped", "dead_letter"):
+        counts = [r["count"] for r in found if r.o == outcome]
+        assert sum(counts) == 600 and max(counts) <= 400
+
+
 def test_same_result_without_broadcast(spark, texts):
     ticks = texts([(i, 0, changed(code="KRW-A" if i % 3 else "KRW-Z")) for i in range(60)])
     markets = spark.createDataFrame([("KRW-A",)], "market STRING")

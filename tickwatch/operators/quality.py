@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.functions.barrier import computed_once
@@ -71,6 +71,11 @@ def validate(df: DataFrame, value: str = "value") -> DataFrame:
     return computed_once(decoded, [*rest, "raw_data", "saved", "unread"], checked)
 
 
+def shares(spark: SparkSession) -> int:
+    """How many partitions the ticks of one market are dealt to: a quarter of those of a shuffle."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
 def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     """One row per tick with what decides its outcome, and its load time ``created_at``.
 
@@ -78,18 +83,23 @@ def route(df: DataFrame, markets: DataFrame, value: str = "value") -> DataFrame:
     one that does not fit the storage columns is unstorable; the rest is stored.
     One decode and one join give all four. The join is left to the planner: it
     broadcasts the markets while their measured size allows and otherwise
-    shuffles, where AQE splits the partitions of a hot market.
+    shuffles. A hot market is dealt to several partitions, as the markets stand
+    there in as many shares; AQE splits what is still too large, but never what one
+    task wrote.
     """
     checked = validate(df, value)
     lookup = F.when(F.col("error_log").isNull(), F.col("saved.market_code"))
+    dealt = shares(df.sparkSession)
     # AQE splits a join only where both sides come straight from a shuffle. On the
     # market alone the distinct markets would lie right already and not be shuffled.
     known = markets.select(F.col("market").alias("_known")).distinct()
-    known = known.withColumn("_known_sum", F.crc32("_known"))
-    # Ticks that look nothing up match no market whatever their sum; theirs spreads them.
-    code_sum = F.coalesce(F.crc32(lookup), F.crc32("raw_data"))
-    joined = checked.withColumns({"_code": lookup, "_code_sum": code_sum}).join(
-        known, (F.col("_code") == F.col("_known")) & (F.col("_code_sum") == F.col("_known_sum")), "left"
+    known = known.withColumn("_known_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(dealt - 1).cast("bigint"))))
+    # A share hangs on what a tick holds, so that a task that runs again deals alike. Ticks
+    # that look nothing up match no market whatever their share; they go anywhere.
+    spread = F.xxhash64(*[name for name in checked.columns if name not in ("saved", "unread", "error_log")])
+    share = F.when(lookup.isNull(), spread).otherwise(F.pmod(spread, F.lit(dealt)))
+    joined = checked.withColumns({"_code": lookup, "_code_share": share}).join(
+        known, (F.col("_code") == F.col("_known")) & (F.col("_code_share") == F.col("_known_share")), "left"
     )
     rest = [name for name in checked.columns if name != "unread"]
     may_store = F.col("error_log").isNull() & F.col("_known").isNotNull()
