@@ -92,6 +92,24 @@ def test_markets_without_a_number_are_left_out(spark):
     (row,) = distinct.distinct_counts(distinct.market_bitmaps(events, numbers)).collect()
     assert row.unique_market_count == 1
 
+def test_spans_with_few_markets_stay_small(spark):
+    rows = [(i * 1000, f"M{m}", False) for i in range(300) for m in {i % 200, 199}]
+    events = event_rows(spark, rows)
+    seconds = distinct.market_bitmaps(events, distinct.numbered(events))
+    assert dict(seconds.dtypes)["markets"] == "bigint" and seconds.count() <= len(rows)
+    counts = distinct.distinct_counts(distinct.rolled_up(seconds, "1 hour"))
+    assert [row.unique_market_count for row in counts.collect()] == [200]
+    assert "SortAggregate" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_bit_of_a_bitmap(spark):
+    events = event_rows(spark, [(5, f"M{n}", False) for n in range(1, 130)])
+    numbers = spark.createDataFrame([(f"M{n}", n) for n in range(1, 130)], "market STRING, number BIGINT")
+    bitmaps = distinct.market_bitmaps(events, numbers)
+    assert sorted(map(tuple, bitmaps.select("part", "markets").collect())) == [(0, -1), (1, -1), (2, 1)]
+    (row,) = distinct.distinct_counts(distinct.rolled_up(bitmaps, "1 day")).collect()
+    assert row.unique_market_count == 129
+
 
 # Digests ------------------------------------------------------------------------
 
