@@ -50,6 +50,58 @@ def test_an_empty_reply_may_be_allowed(spark, tmp_path):
     assert files.read_market_feed(spark, str(tmp_path), allow_empty=True).count() == 0
 
 
+def lined(entries):
+    return "".join(f"{',' if n else '['}{entry}\n" for n, entry in enumerate(entries)) + "]\n"
+
+
+def test_a_reply_with_an_entry_a_line_is_read_in_splits(spark, tmp_path):
+    items = [item(f"M{n % 700}", f"k{n}, [\u00e9] }}{{ \"", PRICE_FLUCTUATIONS=n % 3 == 0) for n in range(1000)]
+    (tmp_path / "old.json").write_text("[")
+    os.utime(tmp_path / "old.json", (1000, 1000))
+    path = tmp_path / "new.json"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = []
+        for reply in (lined(map(json.dumps, items)), json.dumps(items)):
+            path.write_text(reply)
+            feed = files.read_market_feed(spark, str(tmp_path))
+            rows = feed.withColumn("task", F.spark_partition_id()).orderBy("seq").collect()
+            assert [row.seq for row in rows] == [*range(1000)]
+            found.append([(row.market, row.korean_name, row.market_event.caution.PRICE_FLUCTUATIONS) for row in rows])
+        assert found[0] == found[1] == [(one["market"], one["korean_name"], one["market_event"]["caution"]["PRICE_FLUCTUATIONS"]) for one in items]
+        path.write_text(lined(map(json.dumps, items)))
+        plan = files.read_market_feed(spark, str(tmp_path))
+        plan.collect()
+        # No task holds the whole reply: the entries come from several files of lines.
+        assert len(plan.inputFiles()) > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+TWO = '{"market":"B","korean_name":"b","english_name":"b"}'
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        [f"[{ONE}", f",{TWO}"], [f"[{ONE}", f",{TWO}", "]", "]"], [f"[{ONE}", f"[{TWO}", "]"], [f",{ONE}", f",{TWO}", "]"],
+        [f"[{ONE}", f",{TWO}", "]", f",{TWO}"], [f"[{ONE}", f",{TWO}],[{ONE}", "]"], [f"[{ONE}", ',{"market":"B"}', "]"],
+        [f"[{ONE}", ",1", "]"], [f"[{ONE}", f",{TWO},", "]"], [f"[{ONE}", f"{TWO}", "]"], ["[", "]"],
+    ],
+)
+def test_a_broken_reply_of_lines_fails(spark, tmp_path, lines):
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    with pytest.raises(Exception, match="feed entry without|MALFORMED|not one list|feed reply is empty"):
+        files.read_market_feed(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("reply", [f"[{ONE}\n,{TWO}\n]", f"[\n{ONE},\n{TWO}\n]", f" [ {ONE}\r\n , {TWO}\r\n]\r\n", f"\n[{ONE},{TWO}\n\n]"])
+def test_a_reply_may_have_any_layout(spark, tmp_path, reply):
+    (tmp_path / "a.json").write_bytes(reply.encode())
+    assert [(r.seq, r.market) for r in files.read_market_feed(spark, str(tmp_path)).collect()] == [(0, "A"), (1, "B")]
+
+
 def test_markets_round_trip(spark, tmp_path):
     feed_dir = tmp_path / "feed"
     feed_dir.mkdir()

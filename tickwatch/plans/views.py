@@ -258,14 +258,14 @@ def market_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_feed(spark: SparkSession, sf_dir: str) -> str:
-    """The feed as it comes: one reply, a JSON array in one file, in a folder of its own."""
-    entries = market_feed(spark, sf_dir).orderBy("seq", "market")
-    order = F.monotonically_increasing_id()
-    lines = entries.select(order.alias("at"), F.to_json(F.struct("market", "korean_name", "english_name", "market_event")).alias("text"))
-    first = lines.agg(F.min("at")).first()[0]
-    body = lines.select("at", F.concat(F.when(F.col("at") == first, "[").otherwise(","), "text").alias("text"))
-    ends = spark.createDataFrame([(None, "]" if first is not None else "[]")], "at BIGINT, text STRING")
+    """The feed as it comes: one reply, a JSON array in one file with an entry a line, in a folder of its own."""
+    text = F.to_json(F.struct("market", "korean_name", "english_name", "market_event")).alias("text")
+    entries = market_feed(spark, sf_dir).select(F.lit(False).alias("end"), "seq", "market", text)
+    end = spark.range(1).selectExpr("true AS end", "CAST(NULL AS BIGINT) AS seq", "CAST(NULL AS STRING) AS market", "']' AS text")
     folder = run_dir(spark, "feed")
-    # A reply is one file; its entries are in order within it.
-    body.unionByName(ends).coalesce(1).sortWithinPartitions(F.col("at").asc_nulls_last()).select("text").write.text(folder)
+    # A reply is one file, so one task writes it; its entries are in order within it.
+    lines = entries.unionByName(end).repartition(1).sortWithinPartitions("end", "seq", "market")
+    lines = lines.select("end", "text", F.monotonically_increasing_id().alias("at"))
+    mark = F.when(F.col("at") == 0, "[").when(F.col("end"), "").otherwise(",")
+    lines.select(F.concat(mark, "text").alias("text")).write.text(folder)
     return folder
