@@ -99,6 +99,28 @@ def test_word_pairs_beyond_the_first_tokens_are_told_apart(spark):
     assert {r.doc_id % 2 for r in held[:30]} == {1} and {r.doc_id % 2 for r in held[30:]} == {0}
 
 
+def test_ids_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK", 20)
+    source = random.Random(3)
+    rows = [(n % 50, prose(source, ["the", "cat", "dog"], n % 7) or None, n % 50 < 20) for n in range(60)] + [(None, "the cat", False)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, target BOOLEAN")
+    names = ["ids", "chunk", "place"]
+    good = spark.createDataFrame([(n % 20,) for n in range(30)] + [(None,)], "doc_id BIGINT")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        encoded = lm_scoring.tokens(df, *PLACE, VOCABULARY, "text", names)
+        made = lm_scoring.score_ids(encoded, lambda rows: rows.join(good, "doc_id", "left_semi"), names, VOCABULARY)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        # Of the two sides that meet by chunk only the losses are dealt by it.
+        assert plan.count("FlatMapCoGroupsInArrow") == 1 and plan.count("Exchange hashpartitioning(chunk") == 1
+        flagged = lm_scoring.score(df, "target", *PLACE, vocabulary=VOCABULARY)
+        assert made.columns == flagged.columns
+        assert sorted(map(repr, made.collect())) == sorted(map(repr, flagged.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_chunks_of_any_size_give_the_same(spark, monkeypatch):
     source = random.Random(7)
     rows = [(n, prose(source, ["the", "cat", "dog", "a"], n % 9) or None, n % 3 == 0) for n in range(90)]

@@ -10,7 +10,7 @@ counts each of its bigrams once, asks for what they cost, and sums that up by do
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.llm import byte_bpe
 from tickwatch.llm.frames import quoted, unused, with_struct
-from tickwatch.settings import as_table
+from tickwatch.settings import as_buckets, as_table
 
 COLUMNS = ["n_tokens", "target_loss", "background_loss", "score"]
 MODELS = ["target", "background"]
@@ -44,38 +44,30 @@ def packed_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def tokens(df: DataFrame, path: str, pattern: str, vocabulary: int | None, text_col: str, name: str) -> DataFrame:
-    """Add packed token ids; null is the empty text."""
+def tokens(df: DataFrame, path: str, pattern: str, vocabulary: int | None, text_col: str, names: list[str]) -> DataFrame:
+    """Add packed token ids, the chunk of each row, which is a run of rows of one task, and its place there; null is the empty text."""
 
-    @F.arrow_udf("ids binary")
-    def encoded(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("ids binary, chunk bigint, place bigint")
+    def dealt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = codec(path, pattern, vocabulary)
         kind = packed_type(len(one.ranks))
-        ids = [np.frombuffer(one.encode(text.as_py() or ""), "<u4").astype(kind).tobytes() for text in texts]
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary())], ["ids"])
-
-    return with_struct(df, encoded(F.col(quoted(text_col)).cast("string")), {"ids": name})
-
-
-def chunked(df: DataFrame, ids: str, names: list[str]) -> DataFrame:
-    """Add the chunk of each row, which is a run of rows of one task, and its place there."""
-
-    @F.arrow_udf("chunk bigint, place bigint")
-    def dealt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         chunk, place, held = TaskContext.get().partitionId() << 32, 0, 0
-        for sizes in batches:
-            chunks, places = [], []
-            for size in sizes.to_pylist():
+        for texts in batches:
+            found, chunks, places = [], [], []
+            for text in texts:
+                ids = np.frombuffer(one.encode(text.as_py() or ""), "<u4").astype(kind).tobytes()
                 # Each row counts as one byte more, so that empty ones fill a chunk as well.
-                if held and held + size + 1 > 2 * CHUNK:
+                if held and held + len(ids) + 1 > 2 * CHUNK:
                     chunk, place, held = chunk + 1, 0, 0
+                found.append(ids)
                 chunks.append(chunk)
                 places.append(place)
-                place, held = place + 1, held + size + 1
-            yield pa.StructArray.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int64())], ["chunk", "place"])
+                place, held = place + 1, held + len(ids) + 1
+            columns = [pa.array(found, pa.binary()), pa.array(chunks, pa.int64()), pa.array(places, pa.int64())]
+            yield pa.StructArray.from_arrays(columns, ["ids", "chunk", "place"])
 
-    made = dealt.asNondeterministic()(F.octet_length(F.col(quoted(ids))).cast("bigint"))
-    return with_struct(df, made, dict(zip(["chunk", "place"], names)))
+    made = dealt.asNondeterministic()(F.col(quoted(text_col)).cast("string"))
+    return with_struct(df, made, dict(zip(["ids", "chunk", "place"], names)))
 
 
 def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -111,10 +103,10 @@ def added(numbers: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
     return [numbers[starts], *(np.add.reduceat(one[order], starts) for one in counts)]
 
 
-def chunk_counts(encoded: DataFrame, vocabulary: int) -> DataFrame:
-    """``chunk``, ``bigram`` and its counts there in target documents and in all.
+def chunk_counts(rows: DataFrame, targets: DataFrame, vocabulary: int) -> DataFrame:
+    """``chunk``, ``bigram`` and its counts there in target documents and in all; a chunk is one group.
 
-    Input: ``ids``, ``chunk`` and ``target``. A chunk that is read in two tasks gives two rows for a bigram of both.
+    Input: ``chunk``, ``place`` and ``ids`` of rows; ``chunk`` and ``place`` of target rows.
     """
 
     def slice_counts(texts: list[bytes], wanted: np.ndarray) -> list[np.ndarray]:
@@ -127,30 +119,18 @@ def chunk_counts(encoded: DataFrame, vocabulary: int) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
         return [numbers[starts], np.add.reduceat(target, starts), np.diff(np.append(starts, len(found)))]
 
-    def counted(chunk: int, texts: list[bytes], wanted: list[bool]) -> Iterator[pa.RecordBatch]:
-        flags = np.array(wanted, np.int64)
+    def counted(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("ids").to_pylist()
+        flags = np.isin(left.column("place").to_numpy(), right.column("place").to_numpy()).astype(np.int64)
         each = [slice_counts(texts[a:b], flags[a:b]) for a, b in slices(texts)]
-        columns = added(*map(np.concatenate, zip(*each)))
-        for at in range(0, len(columns[0]), ROWS_AT_ONCE):
-            part = [pa.array(column[at : at + ROWS_AT_ONCE], pa.int64()) for column in columns]
-            same = pa.array(np.full(len(part[0]), chunk, np.int64))
-            yield pa.RecordBatch.from_arrays([same, *part], names=["chunk", "bigram", *MODELS])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, texts, wanted = None, [], []
-        for batch in batches:
-            for ids, its, target in zip(*(batch.column(name).to_pylist() for name in ("ids", "chunk", "target"))):
-                if its != chunk and texts:
-                    yield from counted(chunk, texts, wanted)
-                    texts, wanted = [], []
-                chunk = its
-                texts.append(ids)
-                wanted.append(target)
-        if texts:
-            yield from counted(chunk, texts, wanted)
+        columns = added(*map(np.concatenate, zip(*each))) if each else [np.zeros(0, np.int64)] * 3
+        same = np.full(len(columns[0]), left.column("chunk")[0].as_py() if texts else 0, np.int64)
+        made = pa.table({name: pa.array(column, pa.int64()) for name, column in zip(["chunk", "bigram", *MODELS], [same, *columns])})
+        # In small batches, as the JVM holds each whole.
+        return pa.Table.from_batches(made.to_batches(ROWS_AT_ONCE), made.schema)
 
     schema = "chunk bigint, bigram bigint, target bigint, background bigint"
-    return encoded.select("ids", "chunk", "target").mapInArrow(count, schema)
+    return rows.groupBy("chunk").cogroup(targets.groupBy("chunk")).applyInArrow(counted, schema)
 
 
 def losses(counts: DataFrame, vocabulary: int) -> DataFrame:
@@ -228,27 +208,30 @@ def score(
     token ids and the counts of all bigrams are written to the shared folder; one row
     of sums comes to the driver.
     """
-    (ids,) = unused(df, "ids")
+    names = unused(df, "ids", "chunk", "place")
     size = vocabulary or vocabulary_size(path, pattern)
-    return score_ids(tokens(df, path, pattern, vocabulary, text_col, ids), target, ids, size).drop(ids)
+    return score_ids(tokens(df, path, pattern, vocabulary, text_col, names), target, names, size)
 
 
 def vocabulary_size(path: str, pattern: str) -> int:
     return len(codec(path, pattern).ranks)
 
 
-def score_ids(df: DataFrame, target: str, ids_col: str, vocabulary: int) -> DataFrame:
-    """``score`` of rows that have their token ids, as ``tokens`` packs them, in a column."""
-    held = unused(df, "chunk", "place", "found")
-    chunk, place, found = held
-    encoded = as_table(chunked(df, ids_col, held[:2]), "lm-tokens")
-    flag = F.coalesce(F.col(quoted(target)).cast("boolean"), F.lit(False))
-    rows = encoded.select(
-        F.col(quoted(ids_col)).alias("ids"), F.col(chunk).alias("chunk"), F.col(place).alias("place"), flag.alias("target")
-    )
-    partial = chunk_counts(rows, vocabulary)
+def score_ids(df: DataFrame, target: str | Callable[[DataFrame], DataFrame], names: list[str], vocabulary: int) -> DataFrame:
+    """``score`` of rows with the columns of ``tokens``, which go by these names and are left out of the result.
+
+    ``target`` may also be a function that takes the rows and gives those of the target,
+    each at most once; it may join them without their ids, which are not shuffled.
+    """
+    ids, chunk, place = names
+    (found,) = unused(df, "found")
+    encoded = as_buckets(df, "lm-tokens", chunk)
+    rows = encoded.select(F.col(chunk).alias("chunk"), F.col(place).alias("place"), F.col(ids).alias("ids"))
+    chosen = target(encoded.drop(ids)) if callable(target) else encoded.where(F.col(quoted(target)).cast("boolean"))
+    targets = chosen.select(F.col(chunk).alias("chunk"), F.col(place).alias("place"))
+    partial = as_table(chunk_counts(rows, targets, vocabulary), "lm-chunks")
     counts = as_table(partial.groupBy("bigram").agg(*[F.sum(name).alias(name) for name in MODELS]), "lm-counts")
     # A bigram stands once for each chunk, however often its documents have it.
     costs = partial.select("chunk", "bigram").join(losses(counts, vocabulary), "bigram")
-    results = summed(rows.select("chunk", "place", "ids"), costs, vocabulary).toDF(chunk, place, found)
-    return with_struct(encoded.join(results, [chunk, place]), F.col(found), COLUMNS).drop(*held)
+    results = summed(rows, costs, vocabulary).toDF(chunk, place, found)
+    return with_struct(encoded.join(results, [chunk, place]), F.col(found), COLUMNS).drop(*names, found)

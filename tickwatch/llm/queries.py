@@ -135,12 +135,14 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much more every document resembles those of good quality than all documents."""
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # Token ids are joined and written, not the texts.
-    docs = lm_scoring.tokens(docs, *vocabulary, None, "text", "ids").select("doc_id", "ids").join(good, "doc_id", "left")
-    scored = lm_scoring.score_ids(docs, "target", "ids", lm_scoring.vocabulary_size(*vocabulary))
+    names = ["ids", "chunk", "place"]
+    docs = lm_scoring.tokens(docs, *vocabulary, None, "text", names).select("doc_id", *names)
+    # Neither texts nor token ids meet the labels.
+    in_target = lambda rows: rows.join(good, "doc_id", "left_semi")
+    scored = lm_scoring.score_ids(docs, in_target, names, lm_scoring.vocabulary_size(*vocabulary))
     return scored.select("doc_id", *lm_scoring.COLUMNS)
 
 
