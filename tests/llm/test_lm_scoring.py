@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import public_tokenizers
@@ -113,7 +114,7 @@ def test_ids_are_not_shuffled(spark, monkeypatch):
         made = lm_scoring.score_ids(encoded, lambda rows: rows.join(good, "doc_id", "left_semi"), names, VOCABULARY)
         plan = made._jdf.queryExecution().executedPlan().toString()
         # Of the two sides that meet by chunk only the losses are dealt by it.
-        assert plan.count("FlatMapCoGroupsInArrow") == 1 and plan.count("Exchange hashpartitioning(chunk") == 1
+        assert plan.count("FlatMapCoGroupsInArrow") == 1 and len(re.findall(r"Exchange hashpartitioning\(chunk#\d+L, \d", plan)) == 1
         flagged = lm_scoring.score(df, "target", *PLACE, vocabulary=VOCABULARY)
         assert made.columns == flagged.columns
         assert sorted(map(repr, made.collect())) == sorted(map(repr, flagged.collect()))
