@@ -29,6 +29,12 @@ def spark(tmp_path_factory):
     own.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached_before(spark):
+    """Tables that one module's tests left cached are not there in the next."""
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def texts(spark):
     """Make ticks of (seq, ingest ms, text) rows."""
