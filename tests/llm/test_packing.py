@@ -4,6 +4,7 @@ import struct
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from samples import ODD
 from tokenizers import Tokenizer
@@ -130,3 +131,38 @@ def test_words_of_odd_letters_equal_the_library():
     for text in texts:
         ids = tokeniser.encode(text, add_special_tokens=False).ids
         assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+
+
+def test_rounds_write_few_files(spark, monkeypatch):
+    files, as_table = defaultdict(list), packing.as_table
+
+    def counted(df, label):
+        made = as_table(df, label)
+        files[label].append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(packing, "as_table", counted)
+    settings = {"spark.sql.shuffle.partitions": "9", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert packed(spark, [n % 50 + 1 for n in range(400)], 100) >= 102
+        few = {label: max(files[label]) for label in ("swept", "pairs", "waiting", "gaps")}
+        assert max(few.values()) == 1
+        files.clear()
+        monkeypatch.setattr(packing, "ROWS_A_FILE", 100)
+        packed(spark, [n % 50 + 1 for n in range(400)], 100)
+        assert files["swept"][0] == 4
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_a_worker_keeps_no_words_of_its_last_task():
+    own, names = packing.tokeniser(PATH), ["doc_id", "piece", "start", "length", "ids"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words \u03c9", None])], names=["id", "text"])
+    task = packing.cut_up(iter([batch]), PATH, 16, struct.pack("<I", 1), False, names)
+    made = next(task)
+    assert made.column(0).to_pylist() == [1, 2] and (own.pieces or own.packed)
+    assert list(task) == [] and not (own.pieces or own.packed or own.pieces.older or own.packed.older)

@@ -31,3 +31,8 @@ class BoundedCache(dict):
                 self.clear()
             self[key] = value
         return value
+
+    def forget(self) -> None:
+        """Let go of all results, of both generations."""
+        self.clear()
+        self.older = {}

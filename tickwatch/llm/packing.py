@@ -33,6 +33,8 @@ CAPACITY = 4096
 END_ID = 1
 LONG = 1 << 20
 WORDS_AT_ONCE = 1 << 18
+# Rows in each file of a round's tables, which are a few numbers each.
+ROWS_A_FILE = 1 << 16
 # Words whose ids are kept, in each of two generations.
 ENTRIES = 400_000
 # Signs behind words; an apostrophe may belong to the word.
@@ -91,6 +93,11 @@ class WordTokeniser:
             out += b"".join(map(self.packed.__getitem__, part))
         return bytes(out)
 
+    def forget(self) -> None:
+        """Let go of all words kept."""
+        self.packed.forget()
+        self.pieces.forget()
+
 
 @functools.lru_cache(maxsize=2)
 def tokeniser(path: str) -> WordTokeniser:
@@ -98,6 +105,44 @@ def tokeniser(path: str) -> WordTokeniser:
     return WordTokeniser(path)
 
 
+def cut_up(
+    batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: bytes, narrow: bool, names: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of the texts of one task, each batch an id and a text.
+
+    Words and texts are let go when it ends: a worker that waits for its next task,
+    of which an executor may have several, holds no more than the tokeniser.
+    """
+    own = tokeniser(path)
+    try:
+        for batch in batches:
+            # Some hundred texts at a time, as ids take more room than text.
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                rows, pieces, starts, sizes, ids = [], [], [], [], []
+                for row, text in enumerate(part.column(1)):
+                    packed = own.encode(text.as_py() or "") + end
+                    for number, begin in enumerate(range(0, len(packed), 4 * capacity)):
+                        piece = packed[begin : begin + 4 * capacity]
+                        rows.append(row)
+                        pieces.append(number)
+                        starts.append(begin // 4)
+                        sizes.append(len(piece) // 4)
+                        ids.append(np.frombuffer(piece, "<u4").astype("<u2").tobytes() if narrow else piece)
+                columns = [
+                    part.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array(pieces, pa.int32()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+    finally:
+        batch = part = columns = text = rows = pieces = starts = sizes = ids = packed = piece = None
+        own.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def token_pieces(
     df: DataFrame,
     path: str,
@@ -123,30 +168,10 @@ def token_pieces(
     if narrow and tokeniser(path).tokeniser.get_vocab_size() > 1 << 16:
         raise ValueError("the vocabulary has more ids than two bytes have")
 
+    names = schema.fieldNames()
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokeniser(path).encode
-        for batch in batches:
-            # Some hundred texts at a time, as ids take more room than text.
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows, pieces, starts, sizes, ids = [], [], [], [], []
-                for row, text in enumerate(part.column(1)):
-                    packed = encode(text.as_py() or "") + end
-                    for number, begin in enumerate(range(0, len(packed), 4 * capacity)):
-                        own = packed[begin : begin + 4 * capacity]
-                        rows.append(row)
-                        pieces.append(number)
-                        starts.append(begin // 4)
-                        sizes.append(len(own) // 4)
-                        ids.append(np.frombuffer(own, "<u4").astype("<u2").tobytes() if narrow else own)
-                columns = [
-                    part.column(0).take(pa.array(rows, pa.int64())),
-                    pa.array(pieces, pa.int32()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+        return cut_up(batches, path, capacity, end, narrow, names)
 
     return source.mapInArrow(cut, schema)
 
@@ -216,7 +241,16 @@ def ranges_between(left: dict[int, dict[int, int]]) -> list[tuple[int, int, int,
     return ranges
 
 
-RANGES = "number bigint, size bigint, gap_block int, first_gap bigint, piece_block int, first_piece bigint"
+RANGES = pa.schema(
+    {
+        "number": pa.int64(),
+        "size": pa.int64(),
+        "gap_block": pa.int32(),
+        "first_gap": pa.int64(),
+        "piece_block": pa.int32(),
+        "first_piece": pa.int64(),
+    }
+)
 
 
 def matched(spark: SparkSession, swept: DataFrame) -> DataFrame:
@@ -228,8 +262,9 @@ def matched(spark: SparkSession, swept: DataFrame) -> DataFrame:
     ranges = ranges_between(counts)
     if not ranges:
         return pairs
-    # At most two rows a block.
-    known = F.broadcast(spark.createDataFrame(ranges, RANGES))
+    # At most two rows a block; as an Arrow table they need no Python workers of their own.
+    known = pa.Table.from_pylist([dict(zip(RANGES.names, one)) for one in ranges], RANGES)
+    known = F.broadcast(spark.createDataFrame(known))
     gap_at = F.col("at") - F.col("first_gap")
     gaps = swept.where(F.col("what") == GAP_LEFT).join(known, F.col("block") == F.col("gap_block"))
     gaps = gaps.where(gap_at.between(0, F.col("size") - 1))
@@ -260,6 +295,12 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     waiting = items.where(F.col("length") < capacity).select("item", F.col("length").cast("int").alias("length"))
     gaps = spark.createDataFrame([], "sequence bigint, gap int")
     opened, widest = 0, 0
+
+    def as_files(df: DataFrame, label: str) -> DataFrame:
+        # As many files as rows need, not one for each shuffle partition: on local disks Spark
+        # forks the executor several times for each file it opens.
+        return as_table(df.repartition(-(-max(sizes["count"], opened) // ROWS_A_FILE)), label)
+
     while True:
         sizes = waiting.agg(
             F.count(F.lit(1)).alias("count"),
@@ -284,14 +325,14 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         order = ["size", "is_gap", "id"]
         ranged = events.unionByName(open_slots).repartitionByRange(*order).sortWithinPartitions(*order)
         ranged = ranged.select("size", "is_gap", "id", F.spark_partition_id().alias("block"))
-        swept = as_table(ranged.mapInArrow(sweep, SWEPT), "swept")
-        pairs = as_table(matched(spark, swept), "pairs")
+        swept = as_files(ranged.mapInArrow(sweep, SWEPT), "swept")
+        pairs = as_files(matched(spark, swept), "pairs")
         placed.append(pairs.select("item", F.col("length").cast("bigint").alias("length"), F.col("sequence").alias("sequence_id")))
         left = swept.where(F.col("what") == PIECE_LEFT).select("item", "length")
         used = pairs.groupBy("sequence").agg(F.sum("length").alias("used"))
         gap = (F.col("gap") - F.coalesce("used", F.lit(0))).cast("int")
-        waiting = as_table(left.join(pairs.select("item"), "item", "left_anti"), "waiting")
-        gaps = as_table(usable.join(used, "sequence", "left").select("sequence", gap.alias("gap")).where("gap > 0"), "gaps")
+        waiting = as_files(left.join(pairs.select("item"), "item", "left_anti"), "waiting")
+        gaps = as_files(usable.join(used, "sequence", "left").select("sequence", gap.alias("gap")).where("gap > 0"), "gaps")
         widest = gaps.agg(F.max("gap")).first()[0] or 0
     # A sequence has no more pieces than its capacity.
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "item").rowsBetween(Window.unboundedPreceding, -1)
